@@ -114,13 +114,17 @@ def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
 
 
 def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Check the landed events; raises ``QualityGateError`` if a check fails."""
+    """Check the landed events; raises ``QualityGateError`` if a check fails.
+
+    The checks see all events that will be published, in one pass and without a join,
+    unless a sample is asked for.
+    """
     listed = lake.in_scope(read_table(spark, lake.path("raw/matches")))
+    events = lake.in_scope(read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE))
     if lake.sample_matches is not None:
         listed = listed.where(F.col("pos") < lake.sample_matches)
-    events = lake.in_scope(read_table(spark, lake.path("raw/events")))
-    batch = checked_events(only_listed(events, listed, ["match_id"]))
-    report = gate(check(batch, lake.checks))
+        events = only_listed(events, listed, ["match_id"])
+    report = gate(check(checked_events(events), lake.checks))
     return {
         "rows_validated": str(report[0]["rows"]),
         "matches_sampled": str(listed.count()),

@@ -140,7 +140,7 @@ def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     for scopes in (SCOPES[:1], SCOPES, SCOPES):
         run(spark, Lake(root, scopes), feed, groups={"ingestion"})
     raw = read_table(spark, Lake(root).path("raw/events"))
-    return raw.groupBy("match_id").agg(F.count("payload").alias("n"))
+    return raw.where("payload IS NOT NULL").groupBy("match_id").agg(F.count("payload").alias("n"))
 
 
 _published: dict[tuple[str, str], Lake] = {}

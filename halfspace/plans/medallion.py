@@ -78,6 +78,16 @@ class Lake:
         return df.where(wanted)
 
 
+def _listed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Entries of the scopes' match lists; an empty list has none."""
+    return lake.in_scope(read_table(spark, lake.path("raw/matches"))).where("payload IS NOT NULL")
+
+
+def _landed(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Every landed event; none before the first landing."""
+    return read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE)
+
+
 def land_catalog(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
     """Land the catalog anew."""
     path = lake.path("raw/competitions")
@@ -90,15 +100,13 @@ def land_matches(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     """Land the scopes' match lists anew, leaving other scopes alone."""
     path = lake.path("raw/matches")
     replace_partitions(listed_matches(feed.match_lists(spark, lake.scopes)), path, SCOPE)
-    landed = lake.in_scope(read_table(spark, path))
-    return {"match_count": str(landed.count()), "scopes": str(lake.scopes), "path": path}
+    return {"match_count": str(_listed(spark, lake).count()), "scopes": str(lake.scopes), "path": path}
 
 
 def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
     """Land the events of listed matches that have not landed yet."""
     path = lake.path("raw/events")
-    listed = lake.in_scope(read_table(spark, lake.path("raw/matches")))
-    landed = read_table_or_empty(spark, path, RAW_EVENTS_TABLE)
+    listed, landed = _listed(spark, lake), _landed(spark, lake)
     counts = landing_counts(listed, landed, "match_id").first()
     if counts.ingested:
         scope = listed.groupBy("match_id").agg(F.min(F.struct(*SCOPE)).alias("scope"))
@@ -119,8 +127,7 @@ def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
     The checks see all events that will be published, in one pass and without a join,
     unless a sample is asked for.
     """
-    listed = lake.in_scope(read_table(spark, lake.path("raw/matches")))
-    events = lake.in_scope(read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE))
+    listed, events = _listed(spark, lake), lake.in_scope(_landed(spark, lake))
     if lake.sample_matches is not None:
         listed = listed.where(F.col("pos") < lake.sample_matches)
         events = only_listed(events, listed, ["match_id"])
@@ -138,7 +145,7 @@ def publish_events(spark: SparkSession, lake: Lake) -> Metrics:
     pages of all other types.
     """
     path = lake.path("trusted/events")
-    raw = lake.in_scope(read_table(spark, lake.path("raw/events")))
+    raw = lake.in_scope(_landed(spark, lake))
     events = trusted_events(raw, keep=[*SCOPE, "match_id"])
     replace_partitions(events.sortWithinPartitions(*SCOPE, "event_type"), path, SCOPE)
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
@@ -147,8 +154,7 @@ def publish_events(spark: SparkSession, lake: Lake) -> Metrics:
 def publish_matches(spark: SparkSession, lake: Lake) -> Metrics:
     """Flatten the scopes' match lists into the trusted table."""
     path = lake.path("trusted/matches")
-    raw = lake.in_scope(read_table(spark, lake.path("raw/matches")))
-    replace_partitions(trusted_matches(raw, keep=SCOPE), path, SCOPE)
+    replace_partitions(trusted_matches(_listed(spark, lake), keep=SCOPE), path, SCOPE)
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
 
 

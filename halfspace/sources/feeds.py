@@ -1,7 +1,8 @@
 """Feeds: where a run gets its raw documents from.
 
 A feed offers the catalog, the match lists of the wanted scopes, and the events of the
-matches asked for. All three are rows of JSON text, one per array element.
+matches asked for. All three are rows of JSON text, one per array element; an empty
+array is a row without text, so a list that became empty still replaces the old one.
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ class FileFeed:
             for group, name in ((1, "competition_id"), (2, "season_id"))
         ]
         documents = read_texts(spark, paths).select("payload", *scope_of)
-        return elements(documents, "competition_id", "season_id").where("payload IS NOT NULL")
+        return elements(documents, "competition_id", "season_id")
 
     def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[DataFrame]:
         """The events of ``count`` keyed matches, a batch of matches at a time.
@@ -86,7 +87,9 @@ class TableFeed:
 
     def match_lists(self, spark: SparkSession, scopes: Sequence[Scope]) -> DataFrame:
         wanted = spark.createDataFrame(list(scopes), "competition_id INT, season_id INT")
-        return self.matches.join(F.broadcast(wanted), ["competition_id", "season_id"], "left_semi")
+        lists = self.matches.join(F.broadcast(wanted), ["competition_id", "season_id"], "left_semi")
+        # A row without a document for each scope, as an empty list file gives.
+        return lists.unionByName(wanted, allowMissingColumns=True)
 
     def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[DataFrame]:
         yield self.documents.join(keys, "match_id").select(
@@ -98,4 +101,6 @@ def listed_matches(match_lists: DataFrame) -> DataFrame:
     """Match lists with each entry's ``match_id``; an entry without one fails."""
     parsed = parse_json("payload", "match_id INT").getField("match_id")
     missing = F.raise_error(F.lit("a listed match has no match_id")).cast("int")
-    return match_lists.withColumn("match_id", F.coalesce(parsed, missing))
+    return match_lists.withColumn(
+        "match_id", F.when(F.col("payload").isNotNull(), F.coalesce(parsed, missing))
+    )

@@ -1,0 +1,180 @@
+"""The seven queries and the operators under them."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from halfspace.formats import TRUSTED_EVENT
+from halfspace.operators import first_listed, only_listed, share_of_total, top_rows
+from halfspace.plans import (
+    event_mix,
+    home_standings,
+    pass_density,
+    shot_map,
+    team_passing,
+    team_xg,
+    top_pressers,
+)
+
+SCHEMA = ", ".join(f"{name} {kind}" for name, kind, _ in TRUSTED_EVENT)
+
+
+@pytest.fixture
+def events(spark):
+    """Trusted events; fields that are not given are NULL."""
+
+    def make(*rows):
+        return spark.createDataFrame(
+            [tuple(row.get(name) for name, _, _ in TRUSTED_EVENT) for row in rows], SCHEMA
+        )
+
+    return make
+
+
+def tuples(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_standings_count_home_games_and_keep_unplayed_ones(spark):
+    matches = spark.createDataFrame(
+        [("Reds", 2, 1), ("Reds", 0, 0), ("Blues", 0, 3), ("Greens", None, None)],
+        "home_team STRING, home_score INT, away_score INT",
+    )
+    table = home_standings(matches)
+    assert table.columns == ["team", "home_pts", "home_gf", "home_ga"]
+    assert tuples(table) == [
+        ("Reds", 4, 2, 1),
+        ("Blues", 0, 0, 3),
+        ("Greens", 0, None, None),
+    ]
+
+
+def test_team_xg_counts_shots_without_xg(events):
+    shots = events(
+        {"event_type": "Shot", "team_name": "Reds", "xg": 0.30005},
+        {"event_type": "Shot", "team_name": "Reds", "xg": 0.1},
+        {"event_type": "Shot", "team_name": "Reds"},
+        {"event_type": "Shot", "team_name": "Blues", "xg": 0.9},
+        {"event_type": "Shot", "xg": 0.2},
+        {"event_type": "Pass", "team_name": "Blues", "xg": 5.0},
+    )
+    table = team_xg(shots)
+    assert table.columns == ["team_name", "shots", "total_xg", "avg_xg_per_shot"]
+    assert tuples(table) == [
+        ("Blues", 1, 0.9, 0.9),
+        ("Reds", 3, 0.4, 0.2),
+        (None, 1, 0.2, 0.2),
+    ]
+
+
+def test_shot_map_leaves_out_shots_without_xg_and_cuts_ties_by_name(events):
+    shots = [{"event_type": "Shot", "player_name": p, "xg": 0.5} for p in "dbca"]
+    table = shot_map(events(*shots, {"event_type": "Shot", "player_name": "z"}), k=3)
+    assert table.columns == ["player_name", "team_name", "loc_x", "loc_y", "xg", "shot_outcome"]
+    assert [row.player_name for row in table.collect()] == ["a", "b", "c"]
+    assert shot_map(events(*shots)).count() == 4
+
+
+def test_pass_density_edges_open_a_further_cell(events):
+    passes = [
+        {"event_type": "Pass", "loc_x": x, "loc_y": y}
+        for x, y in [(0.0, 0.0), (9.99, 7.99), (120.0, 80.0), (None, 4.0), (4.0, None)]
+    ]
+    assert tuples(pass_density(events(*passes))) == [(0, 0, 2), (12, 10, 1)]
+
+
+def test_team_passing_uses_passes_with_a_length(events):
+    passes = events(
+        {"event_type": "Pass", "team_name": "Reds", "pass_length": 10.0, "pass_angle_rad": 0.5},
+        {"event_type": "Pass", "team_name": "Reds", "pass_length": 20.06},
+        {"event_type": "Pass", "team_name": "Reds", "pass_angle_rad": 3.0},
+        {"event_type": "Pass", "team_name": "Blues", "pass_length": 30.0},
+    )
+    table = team_passing(passes)
+    assert table.columns == ["team_name", "passes", "avg_length_m", "avg_angle_rad"]
+    assert tuples(table) == [("Blues", 1, 30.0, None), ("Reds", 2, 15.0, 0.5)]
+
+
+def test_top_pressers_in_the_opponents_half(events):
+    def press(player, x):
+        return {"event_type": "Pressure", "player_name": player, "loc_x": x, "loc_y": 10.0}
+
+    table = top_pressers(
+        events(press("a", 61.0), press("a", 70.0), press("b", 60.0), press("b", None),
+               press("c", 60.1), press("d", 100.0)),
+        k=2,
+    )
+    assert tuples(table) == [("a", None, 2, 65.5, 10.0), ("c", None, 1, 60.1, 10.0)]
+
+
+def test_event_mix_keeps_events_without_a_type(events):
+    rows = [{"event_type": "Pass"}] * 5 + [{"event_type": "Shot"}] + [{}] * 2
+    assert tuples(event_mix(events(*rows))) == [
+        ("Pass", 5, 62.5),
+        (None, 2, 25.0),
+        ("Shot", 1, 12.5),
+    ]
+
+
+def test_share_of_an_empty_table_is_empty(events):
+    assert tuples(event_mix(events())) == []
+
+
+def test_top_rows_orders_ties(spark):
+    rows = spark.createDataFrame([(1.0, 3), (1.0, 1), (2.0, 9), (None, 0)], "x DOUBLE, k INT")
+    assert tuples(top_rows(rows, "x", 2, ["k"], ["k"])) == [(9,), (1,)]
+
+
+def test_sample_by_smallest_keys(spark):
+    rows = spark.createDataFrame([(k, v) for k in (5, 3, 8) for v in (1, 2)], "k INT, v INT")
+    sample = only_listed(rows, first_listed(rows, "k", 2), ["k"])
+    assert sorted(tuples(sample)) == [(3, 1), (3, 2), (5, 1), (5, 2)]
+
+
+# --- Plans -------------------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def stored(spark, events, tmp_path):
+    path = str(tmp_path / "events")
+    events({"event_type": "Shot", "team_name": "Reds", "xg": 0.5, "loc_x": 70.0}).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_filters_and_columns_reach_the_scan(stored):
+    plan = plan_of(top_pressers(stored))
+    assert "EqualTo(event_type,Pressure)" in plan
+    assert "GreaterThan(loc_x,60.0)" in plan
+    assert "possession" not in plan and "xg" not in plan
+    assert "struct<event_type:string>" in plan_of(event_mix(stored))
+
+
+def test_top_k_does_not_sort_everything(stored):
+    for df in (shot_map(stored), top_pressers(stored)):
+        assert "TakeOrderedAndProject" in plan_of(df)
+
+
+def test_groups_are_combined_before_the_shuffle(stored):
+    for df in (team_xg(stored), team_passing(stored), pass_density(stored), event_mix(stored)):
+        assert "partial_count" in plan_of(df)
+
+
+def test_share_needs_no_window_and_no_second_shuffle(spark, stored):
+    df = share_of_total(stored.repartition(4), "event_type")
+    assert "Window" not in plan_of(df)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in final or "ReusedSubquery" in final
+
+
+def test_one_key_with_a_third_of_the_rows(spark):
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("key")
+    )
+    top = share_of_total(rows, "key").first()
+    assert (top.key, top.total, top.pct) == (0, 100_000, 33.33)

@@ -9,7 +9,7 @@ from halfspace.plans.analytics import (
     team_xg,
     top_pressers,
 )
-from halfspace.plans.medallion import GROUPS, Lake, run
+from halfspace.plans.medallion import GROUPS, Lake, run, trusted_views
 from halfspace.plans.trusted import checked_events, trusted_events, trusted_matches
 
 __all__ = [
@@ -26,4 +26,5 @@ __all__ = [
     "top_pressers",
     "trusted_events",
     "trusted_matches",
+    "trusted_views",
 ]

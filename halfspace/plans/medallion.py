@@ -36,6 +36,10 @@ from halfspace.sources.feeds import Scope, listed_matches
 SCOPE = ["competition_id", "season_id"]
 GROUPS = ("ingestion", "validation", "transformation")
 
+# JSON text shrinks about twentyfold in a table, and parsing it is the work of a run.
+# Small row groups let a scan hand that work to more tasks than whole 128 MB blocks.
+RAW_ROW_GROUP = 4 * 1024 * 1024
+
 RAW_EVENTS_TABLE = (
     "match_id INT, pos INT, payload STRING, competition_id INT, season_id INT"
 )
@@ -78,13 +82,24 @@ class Lake:
         return df.where(wanted)
 
 
+def trusted_views(spark: SparkSession, lake: Lake) -> None:
+    """Offer the trusted tables to SQL as the views ``events`` and ``matches``."""
+    for name in ("events", "matches"):
+        read_table(spark, lake.path(f"trusted/{name}")).createOrReplaceTempView(name)
+
+
+def _documents(raw: DataFrame) -> DataFrame:
+    """The rows of a raw table that hold a document; those of empty arrays hold none."""
+    return raw.where("payload IS NOT NULL")
+
+
 def _listed(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Entries of the scopes' match lists; an empty list has none."""
-    return lake.in_scope(read_table(spark, lake.path("raw/matches"))).where("payload IS NOT NULL")
+    """Entries of the scopes' match lists."""
+    return lake.in_scope(_documents(read_table(spark, lake.path("raw/matches"))))
 
 
 def _landed(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Every landed event; none before the first landing."""
+    """Everything landed from event files; nothing before the first landing."""
     return read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE)
 
 
@@ -92,8 +107,7 @@ def land_catalog(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     """Land the catalog anew."""
     path = lake.path("raw/competitions")
     replace_table(feed.catalog(spark), path)
-    landed = read_table(spark, path).where("payload IS NOT NULL")
-    return {"competition_count": str(landed.count()), "path": path}
+    return {"competition_count": str(_documents(read_table(spark, path)).count()), "path": path}
 
 
 def land_matches(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
@@ -113,7 +127,7 @@ def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
         new = unlanded_keys(listed, landed, "match_id").join(scope, "match_id")
         keys = new.select("match_id", "scope.*")
         for events in feed.events(spark, keys, counts.ingested):
-            append_rows(events, path, SCOPE)
+            append_rows(events, path, SCOPE, row_group=RAW_ROW_GROUP)
     return {
         "ingested": str(counts.ingested),
         "skipped_existing": str(counts.skipped),
@@ -127,7 +141,7 @@ def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
     The checks see all events that will be published, in one pass and without a join,
     unless a sample is asked for.
     """
-    listed, events = _listed(spark, lake), lake.in_scope(_landed(spark, lake))
+    listed, events = _listed(spark, lake), lake.in_scope(_documents(_landed(spark, lake)))
     if lake.sample_matches is not None:
         listed = listed.where(F.col("pos") < lake.sample_matches)
         events = only_listed(events, listed, ["match_id"])
@@ -145,7 +159,7 @@ def publish_events(spark: SparkSession, lake: Lake) -> Metrics:
     pages of all other types.
     """
     path = lake.path("trusted/events")
-    raw = lake.in_scope(_landed(spark, lake))
+    raw = lake.in_scope(_documents(_landed(spark, lake)))
     events = trusted_events(raw, keep=[*SCOPE, "match_id"])
     replace_partitions(events.sortWithinPartitions(*SCOPE, "event_type"), path, SCOPE)
     return {"trusted_path": path, "format": "Parquet/ZSTD"}

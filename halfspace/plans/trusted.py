@@ -15,11 +15,8 @@ CHECKED_COLUMNS = tuple(column for column in TRUSTED_EVENT if column[0] in CHECK
 
 
 def _parsed(raw: DataFrame, schema: str, keep: Sequence[str]) -> DataFrame:
-    """Documents of a raw table as columns; rows of empty arrays hold no document."""
-    documents = raw.where("payload IS NOT NULL")
-    return documents.select(*keep, parse_json("payload", schema).alias("doc")).select(
-        *keep, "doc.*"
-    )
+    """Documents of a raw table as columns; each document is parsed once."""
+    return raw.select(*keep, parse_json("payload", schema).alias("doc")).select(*keep, "doc.*")
 
 
 def trusted_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

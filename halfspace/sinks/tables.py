@@ -28,6 +28,11 @@ def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     )
 
 
-def append_rows(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Add rows to a table."""
-    df.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(path)
+def append_rows(
+    df: DataFrame, path: str, by: Sequence[str] = (), row_group: int | None = None
+) -> None:
+    """Add rows to a table, in row groups of about ``row_group`` bytes if given."""
+    writer = df.write.mode("append").option("compression", "zstd").partitionBy(*by)
+    if row_group:
+        writer = writer.option("parquet.block.size", row_group)
+    writer.parquet(path)

@@ -7,9 +7,10 @@ from pathlib import Path
 import pytest
 
 from conftest import event, match
+from halfspace.__main__ import main
 from halfspace.operators import QualityGateError
-from halfspace.plans import Lake, event_mix, home_standings, run, team_xg
-from halfspace.sources import FileFeed, read_table
+from halfspace.plans import Lake, event_mix, home_standings, run, team_xg, trusted_views
+from halfspace.sources import FileFeed, TableFeed, read_table
 
 
 @pytest.fixture
@@ -118,3 +119,46 @@ def test_seasons_are_published_side_by_side(spark, played, lake, site):
         (91, 1),
     }
     assert read_table(spark, lake.path("trusted/matches")).count() == 7
+
+
+def test_trusted_tables_answer_sql(spark, played, lake):
+    run(spark, lake, played)
+    trusted_views(spark, lake)
+    rows = spark.sql(
+        "SELECT team_name, count(*) AS n FROM events WHERE event_type = 'Shot' GROUP BY team_name"
+    )
+    assert [tuple(r) for r in rows.collect()] == [("Reds", 6)]
+    assert spark.sql("SELECT sum(home_score) AS goals FROM matches").first().goals == 6
+
+
+def test_command_line(spark, played, lake, capsys):
+    common = ["--lake", lake.root, "--scopes", "11/90"]
+    main(["run", "--source", played.root, *common])
+    assert "events_raw ingested=6 skipped_existing=0 total_matches=6" in capsys.readouterr().out
+    main(["query", "team_xg", *common])
+    assert "|Reds     |6    |2.1     |0.35" in capsys.readouterr().out
+
+
+def test_join_without_broadcast_lands_a_hot_match(spark, tmp_path):
+    """A match with a third of all events, keyed by a shuffled join."""
+    lake = Lake(str(tmp_path / "lake"))
+    matches = spark.range(300).selectExpr(
+        "11 AS competition_id",
+        "90 AS season_id",
+        "cast(id AS INT) AS pos",
+        "to_json(named_struct('match_id', cast(id AS INT))) AS payload",
+    )
+    events = spark.range(30_000).selectExpr(
+        "cast(if(id % 3 = 0, 7, id % 300) AS INT) AS match_id",
+        "cast(id AS INT) AS pos",
+        "to_json(named_struct('id', cast(id AS STRING), 'period', 1)) AS payload",
+    )
+    feed = TableFeed(matches.select("pos", "payload"), matches, events)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        run(spark, lake, feed)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    published = read_table(spark, lake.path("trusted/events"))
+    assert published.count() == published.select("event_id").distinct().count() == 30_000
+    assert published.where("match_id = 7").count() > 10_000

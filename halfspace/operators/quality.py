@@ -8,13 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _present(df: DataFrame, column: str) -> Column:
-    """Whether the column has a value; NaN counts as having none."""
-    value = F.col(column)
-    if df.schema[column].dataType.typeName() in ("float", "double"):
-        return value.isNotNull() & ~F.isnan(value)
-    return value.isNotNull()
+from halfspace.functions import present
 
 
 @dataclass(frozen=True)
@@ -29,7 +23,7 @@ class NotNull:
         return f"not_null({self.column})"
 
     def unexpected(self, df: DataFrame) -> Column:
-        return F.count_if(~_present(df, self.column))
+        return F.count_if(~present(df, self.column))
 
     def judged(self, df: DataFrame) -> Column:
         return F.count("*")
@@ -53,10 +47,10 @@ class InRange:
 
     def unexpected(self, df: DataFrame) -> Column:
         inside = F.col(self.column).between(self.low, self.high)
-        return F.count_if(_present(df, self.column) & ~inside)
+        return F.count_if(present(df, self.column) & ~inside)
 
     def judged(self, df: DataFrame) -> Column:
-        return F.count_if(_present(df, self.column))
+        return F.count_if(present(df, self.column))
 
 
 @dataclass(frozen=True)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from halfspace.functions import present
+
 
 def top_rows(
     df: DataFrame, by: str, k: int, columns: Sequence[str], ties: Sequence[str] = ()
@@ -20,5 +22,10 @@ def top_rows(
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows that have a value in every one of the columns."""
-    return df.dropna(subset=list(columns))
+    """Rows that have a value in every one of the columns.
+
+    One condition per column, so that each reaches the scan by itself.
+    """
+    for column in columns:
+        df = df.where(present(df, column))
+    return df

@@ -6,7 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from halfspace.formats import TRUSTED_EVENT
-from halfspace.operators import first_listed, only_listed, share_of_total, top_rows
+from halfspace.operators import (
+    drop_incomplete,
+    first_listed,
+    only_listed,
+    share_of_total,
+    top_rows,
+)
 from halfspace.plans import (
     event_mix,
     home_standings,
@@ -178,3 +184,11 @@ def test_one_key_with_a_third_of_the_rows(spark):
     )
     top = share_of_total(rows, "key").first()
     assert (top.key, top.total, top.pct) == (0, 100_000, 33.33)
+
+
+def test_incomplete_rows_are_dropped_by_the_scan(spark, tmp_path):
+    rows = [(1.0, "a"), (None, "b"), (float("nan"), "c"), (2.0, None)]
+    spark.createDataFrame(rows, "x DOUBLE, y STRING").write.parquet(str(tmp_path / "t"))
+    complete = drop_incomplete(spark.read.parquet(str(tmp_path / "t")), ["x", "y"])
+    assert tuples(complete) == [(1.0, "a")]
+    assert "IsNotNull(x)" in plan_of(complete) and "IsNotNull(y)" in plan_of(complete)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gallery.registry import query, table
+from gallery.registry import exact, query, table
 from halfspace.operators import (
     density,
     drop_incomplete,
@@ -20,11 +20,6 @@ from halfspace.operators import (
 )
 
 
-def exact(column: str) -> str:
-    """SQL for the sum of a double column that does not depend on the row order."""
-    return f"cast(sum(cast({column} as decimal(18,4))) as double)"
-
-
 @query("""
     select event_type, count(*) as total,
            round(100.0 * count(*) / sum(count(*)) over (), 2) as pct

@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gallery.registry import query, table
+from gallery.registry import exact, query, table
 from halfspace.plans import (
     Lake,
     event_mix,
@@ -112,20 +112,55 @@ EVENTS_SQL = """
 """
 
 
-def exact(column: str) -> str:
-    """SQL for the sum of a double column that does not depend on the row order."""
-    return f"cast(sum(cast({column} as decimal(18,4))) as double)"
-
-
-EVENT_MIX_SQL = f"""
-    {EVENTS_SQL}
+# The seven queries over the trusted tables, here named `matches` and `trusted`.
+STANDINGS = """
+    select home_team as team,
+           cast(sum(case when home_score > away_score then 3
+                         when home_score = away_score then 1 else 0 end) as bigint) as home_pts,
+           cast(sum(home_score) as bigint) as home_gf,
+           cast(sum(away_score) as bigint) as home_ga
+    from matches group by home_team
+"""
+XG = f"""
+    select team_name, count(*) as shots, round({exact("xg")}, 2) as total_xg,
+           round({exact("xg")} / nullif(count(xg), 0), 4) as avg_xg_per_shot
+    from trusted where event_type = 'Shot' group by team_name
+"""
+SHOTS = """
+    select player_name, team_name, loc_x, loc_y, xg, shot_outcome
+    from trusted where event_type = 'Shot' and xg is not null
+    order by xg desc, player_name, team_name, loc_x, loc_y, shot_outcome limit 50
+"""
+PASS_GRID = """
+    select cast(floor(loc_x / 10) as int) as grid_x, cast(floor(loc_y / 8) as int) as grid_y,
+           count(*) as pass_count
+    from trusted
+    where event_type = 'Pass' and loc_x is not null and loc_y is not null
+    group by grid_x, grid_y
+"""
+PASSING = f"""
+    select team_name, count(*) as passes,
+           round({exact("pass_length")} / count(pass_length), 1) as avg_length_m,
+           round({exact("pass_angle_rad")} / nullif(count(pass_angle_rad), 0), 3)
+               as avg_angle_rad
+    from trusted where event_type = 'Pass' and pass_length is not null group by team_name
+"""
+PRESSERS = f"""
+    select player_name, team_name, count(*) as pressures,
+           round({exact("loc_x")} / count(loc_x), 1) as avg_press_x,
+           round({exact("loc_y")} / nullif(count(loc_y), 0), 1) as avg_press_y
+    from trusted where event_type = 'Pressure' and loc_x > 60
+    group by player_name, team_name
+    order by pressures desc, player_name, team_name limit 20
+"""
+EVENT_MIX = """
     select event_type, count(*) as total,
            round(100.0 * count(*) / sum(count(*)) over (), 2) as pct
     from trusted group by event_type
 """
 
 
-@query(EVENT_MIX_SQL)
+@query(EVENTS_SQL + EVENT_MIX)
 def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land, check and publish everything, then the event mix of the trusted table."""
     lake = Lake(fresh_dir(spark, "lake"), SCOPES)
@@ -133,7 +168,10 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_mix(read_table(spark, lake.path("trusted/events")))
 
 
-@query(f"{EVENTS_SQL} select cast(match_id as int) as match_id, count(*) as n from trusted group by 1")
+@query(
+    EVENTS_SQL
+    + "select cast(match_id as int) as match_id, count(*) as n from trusted group by match_id"
+)
 def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A match list that grows by a season, landed run by run: each match lands once."""
     feed, root = _feed(spark, sf_dir), fresh_dir(spark, "lake")
@@ -156,75 +194,36 @@ def _trusted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, _published[key].path(f"trusted/{name}"))
 
 
-@query(f"""
-    {MATCHES_SQL}
-    select home_team as team,
-           cast(sum(case when home_score > away_score then 3
-                         when home_score = away_score then 1 else 0 end) as bigint) as home_pts,
-           cast(sum(home_score) as bigint) as home_gf,
-           cast(sum(away_score) as bigint) as home_ga
-    from matches group by home_team
-""")
+@query(MATCHES_SQL + STANDINGS)
 def football_standings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return home_standings(_trusted(spark, sf_dir, "matches"))
 
 
-@query(f"""
-    {EVENTS_SQL}
-    select team_name, count(*) as shots, round({exact("xg")}, 2) as total_xg,
-           round({exact("xg")} / count(xg), 4) as avg_xg_per_shot
-    from trusted where event_type = 'Shot' group by team_name
-""")
+@query(EVENTS_SQL + XG)
 def football_xg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return team_xg(_trusted(spark, sf_dir, "events"))
 
 
-@query(f"""
-    {EVENTS_SQL}
-    select player_name, team_name, loc_x, loc_y, xg, shot_outcome
-    from trusted where event_type = 'Shot' and xg is not null
-    order by xg desc, player_name, team_name, loc_x, loc_y, shot_outcome limit 50
-""")
+@query(EVENTS_SQL + SHOTS)
 def football_shots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shot_map(_trusted(spark, sf_dir, "events"))
 
 
-@query(f"""
-    {EVENTS_SQL}
-    select cast(floor(loc_x / 10) as int) as grid_x, cast(floor(loc_y / 8) as int) as grid_y,
-           count(*) as pass_count
-    from trusted
-    where event_type = 'Pass' and loc_x is not null and loc_y is not null
-    group by grid_x, grid_y
-""")
+@query(EVENTS_SQL + PASS_GRID)
 def football_pass_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pass_density(_trusted(spark, sf_dir, "events"))
 
 
-@query(f"""
-    {EVENTS_SQL}
-    select team_name, count(*) as passes,
-           round({exact("pass_length")} / count(pass_length), 1) as avg_length_m,
-           round({exact("pass_angle_rad")} / count(pass_angle_rad), 3) as avg_angle_rad
-    from trusted where event_type = 'Pass' and pass_length is not null group by team_name
-""")
+@query(EVENTS_SQL + PASSING)
 def football_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return team_passing(_trusted(spark, sf_dir, "events"))
 
 
-@query(f"""
-    {EVENTS_SQL}
-    select player_name, team_name, count(*) as pressures,
-           round({exact("loc_x")} / count(loc_x), 1) as avg_press_x,
-           round({exact("loc_y")} / count(loc_y), 1) as avg_press_y
-    from trusted where event_type = 'Pressure' and loc_x > 60
-    group by player_name, team_name
-    order by pressures desc, player_name, team_name limit 20
-""")
+@query(EVENTS_SQL + PRESSERS)
 def football_pressers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_pressers(_trusted(spark, sf_dir, "events"))
 
 
-@query(EVENT_MIX_SQL)
+@query(EVENTS_SQL + EVENT_MIX)
 def football_event_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_mix(_trusted(spark, sf_dir, "events"))

@@ -1,8 +1,8 @@
 """Writing tables as zstd-compressed Parquet.
 
 The writers create missing folders. Rows are staged by the tasks and moved into place
-when the whole job has succeeded, so a lost executor costs a retry of its tasks and no
-half-written table.
+when the job has succeeded, so a lost executor costs a retry of its tasks and leaves no
+half-written rows.
 """
 
 from __future__ import annotations
@@ -13,12 +13,19 @@ from pyspark.sql import DataFrame
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a whole table anew, as many files as there are tasks."""
+    """Write a whole table anew.
+
+    The old files are removed first; ``replace_partitions`` keeps them until the new
+    ones are complete.
+    """
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others alone."""
+    """Replace the partitions that occur in ``df`` and leave all others alone.
+
+    If the write fails, the old partitions are still there.
+    """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

@@ -17,10 +17,13 @@ from pyspark.sql import functions as F
 from halfspace.functions import parse_json
 from halfspace.sources.json_documents import elements
 from halfspace.sources.objects import read_texts
+from halfspace.sources.tables import read_table_or_empty
 from halfspace.workspace import fresh_dir
 
 Scope = tuple[int, int]
 
+KEYS = "match_id INT, competition_id INT, season_id INT"
+
 
 @dataclass(frozen=True)
 class FileFeed:
@@ -53,13 +56,13 @@ class FileFeed:
         """
         plan = fresh_dir(spark, "landing")
         batches = max(1, math.ceil(count / self.batch))
-        (
-            keys.withColumn("batch", F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int"))
-            .write.partitionBy("batch")
-            .parquet(plan)
+        number = F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int")
+        # Keys are distinct, so the batches are of like size, and each becomes one file.
+        keys.withColumn("batch", number).repartition("batch").write.partitionBy("batch").parquet(
+            plan
         )
         for number in range(batches):
-            batch = spark.read.parquet(plan).where(F.col("batch") == number).drop("batch")
+            batch = read_table_or_empty(spark, f"{plan}/batch={number}", KEYS)
             paths = [f"{self.root}/events/{row.match_id}.json" for row in batch.collect()]
             if not paths:
                 continue

@@ -1,0 +1,88 @@
+"""The seven queries on random tables with NULLs, ties and a hot team, against SQL."""
+
+from __future__ import annotations
+
+import random
+
+import duckdb
+import pandas as pd
+import pytest
+
+from gallery import matches as gallery
+from halfspace import plans
+
+EVENTS = {
+    "event_type": "string",
+    "team_name": "string",
+    "player_name": "string",
+    "loc_x": "double",
+    "loc_y": "double",
+    "xg": "double",
+    "shot_outcome": "string",
+    "pass_length": "double",
+    "pass_angle_rad": "double",
+}
+MATCHES = {"home_team": "string", "home_score": "int", "away_score": "int"}
+
+
+def rows(draw: random.Random, n: int):
+    def number(low, high, places):
+        return None if draw.random() < 0.2 else round(draw.uniform(low, high), places)
+
+    def name(prefix, kinds):
+        return draw.choice([None, f"{prefix} 0", *(f"{prefix} {i}" for i in range(kinds))])
+
+    events = [
+        (
+            draw.choice(["Shot", "Pass", "Pressure", "Carry", None]),
+            "hot" if draw.random() < 0.34 else name("team", 4),
+            name("player", 8),
+            number(-1, 121, 1),
+            number(-1, 81, 1),
+            number(0, 1, 2),
+            name("outcome", 3),
+            number(0, 80, 4),
+            number(-3, 3, 4),
+        )
+        for _ in range(n)
+    ]
+    scores = [None, 0, 1, 2, 3]
+    matches = [
+        (name("team", 5), draw.choice(scores), draw.choice(scores)) for _ in range(n // 10)
+    ]
+    return events, matches
+
+
+@pytest.fixture(scope="module", params=[(1, 4000), (2, 300), (3, 0)], ids=str)
+def tables(request, spark):
+    seed, n = request.param
+    events, matches = rows(random.Random(seed), n)
+    schema = [", ".join(f"{c} {t}" for c, t in kinds.items()) for kinds in (EVENTS, MATCHES)]
+    ours = spark.createDataFrame(events, schema[0]), spark.createDataFrame(matches, schema[1])
+    duck = duckdb.connect()
+    for name, kinds, data in (("trusted", EVENTS, events), ("matches", MATCHES, matches)):
+        frame = pd.DataFrame(data, columns=list(kinds), dtype=object)  # noqa: F841
+        sql = {"string": "varchar", "double": "double", "int": "int"}
+        columns = ", ".join(f"cast({c} as {sql[t]}) as {c}" for c, t in kinds.items())
+        duck.execute(f"create table {name} as select {columns} from frame")
+    return (*ours, duck)
+
+
+@pytest.mark.parametrize(
+    ("function", "sql", "table"),
+    [
+        (plans.home_standings, gallery.STANDINGS, "matches"),
+        (plans.team_xg, gallery.XG, "events"),
+        (plans.shot_map, gallery.SHOTS, "events"),
+        (plans.pass_density, gallery.PASS_GRID, "events"),
+        (plans.team_passing, gallery.PASSING, "events"),
+        (plans.top_pressers, gallery.PRESSERS, "events"),
+        (plans.event_mix, gallery.EVENT_MIX, "events"),
+    ],
+)
+def test_query_agrees(tables, function, sql, table):
+    events, matches, duck = tables
+    df = function(events if table == "events" else matches)
+    expected = duck.sql(sql)
+    assert df.columns == expected.columns
+    assert sorted(map(repr, map(tuple, df.collect()))) == sorted(map(repr, expected.fetchall()))

@@ -4,12 +4,17 @@ its line items are the match's events.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gallery.checks import at_least_sql, in_range_sql, not_null_sql
 from gallery.registry import exact, query, table
+from halfspace.operators import check
 from halfspace.plans import (
     Lake,
+    checked_batch,
     event_mix,
     home_standings,
     pass_density,
@@ -31,14 +36,14 @@ def _numbered(prefix: str, key: Column, kinds: int) -> Column:
     return F.concat(F.lit(prefix), F.pmod(key, F.lit(kinds)).cast("string"))
 
 
-def _documents(*fields: Column) -> Column:
-    return F.to_json(F.struct(*fields)).alias("payload")
+def _document(*fields: Column) -> Column:
+    return F.struct(*fields).alias("document")
 
 
 def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     competitions = table(spark, sf_dir, "region").select(
         F.col("r_regionkey").alias("pos"),
-        _documents(
+        _document(
             F.col("r_regionkey").alias("competition_id"), F.col("r_name").alias("competition_name")
         ),
     )
@@ -48,7 +53,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
         F.lit(COMPETITION).alias("competition_id"),
         F.when(in_debt, 1).otherwise(2).alias("season_id"),
         key.cast("int").alias("pos"),
-        _documents(
+        _document(
             key.cast("int").alias("match_id"),
             F.date_add(F.lit("2020-09-01").cast("date"), nation).alias("match_date"),
             F.struct(_numbered("team ", nation, 25).alias("home_team_name")).alias("home_team"),
@@ -70,7 +75,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     events = table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("int").alias("match_id"),
         line.alias("pos"),
-        _documents(
+        _document(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"),
             line.alias("index"),
             F.when(F.col("l_linestatus") == "O", 1).otherwise(2).alias("period"),
@@ -184,14 +189,66 @@ def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
 _published: dict[tuple[str, str], Lake] = {}
 
 
-def _trusted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A trusted table of the published lake, which is made once per session."""
+def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A published lake, made once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _published:
         lake = Lake(fresh_dir(spark, "lake"), SCOPES)
         run(spark, lake, _feed(spark, sf_dir))
         _published[key] = lake
-    return read_table(spark, _published[key].path(f"trusted/{name}"))
+    return _published[key]
+
+
+def _trusted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return read_table(spark, _lake(spark, sf_dir).path(f"trusted/{name}"))
+
+
+@query("""
+    with counted as (
+        select (select count(*) from region) as competitions,
+               (select count(*) from supplier) as matches,
+               (select count(*) from lineitem where l_suppkey in (select s_suppkey from supplier))
+                   as events
+    )
+    select 'competitions_raw' as stage, 'competition_count' as metric, competitions as value
+    from counted
+    union all select 'matches_raw', 'match_count', matches from counted
+    union all select 'events_raw', 'ingested', matches from counted
+    union all select 'events_raw', 'skipped_existing', 0 from counted
+    union all select 'events_raw', 'total_matches', matches from counted
+    union all select 'events_validated', 'rows_validated', events from counted
+    union all select 'events_validated', 'matches_sampled', matches from counted
+""")
+def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts that the stages of a run left in its table."""
+    runs = read_table(spark, _lake(spark, sf_dir).path("runs"))
+    metrics = runs.select("stage", F.explode("metrics").alias("metric", "text"))
+    counts = metrics.select("stage", "metric", F.col("text").try_cast("bigint").alias("value"))
+    return counts.where(F.col("value").isNotNull())
+
+
+SAMPLED = """(select * from (
+        select l_orderkey as event_id, l_linestatus as period,
+               case when l_tax > 0 then l_quantity * cast(2 as double) end as loc_x,
+               case when l_tax > 0 then l_discount * cast(800 as double) end as loc_y
+        from lineitem where l_suppkey < 5 and l_suppkey in (select s_suppkey from supplier)))"""
+
+
+@query(
+    " union all ".join(
+        [
+            at_least_sql(1, SAMPLED),
+            not_null_sql("event_id", SAMPLED),
+            not_null_sql("period", SAMPLED),
+            in_range_sql("loc_x", 0.0, 120.0, 0.99, SAMPLED),
+            in_range_sql("loc_y", 0.0, 80.0, 0.99, SAMPLED),
+        ]
+    )
+)
+def dq_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of a run on the first five places of its match lists."""
+    lake = replace(_lake(spark, sf_dir), sample_matches=5)
+    return check(checked_batch(spark, lake), lake.checks)
 
 
 @query(MATCHES_SQL + STANDINGS)

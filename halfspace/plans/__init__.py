@@ -9,12 +9,13 @@ from halfspace.plans.analytics import (
     team_xg,
     top_pressers,
 )
-from halfspace.plans.medallion import GROUPS, Lake, run, trusted_views
+from halfspace.plans.medallion import GROUPS, Lake, checked_batch, run, trusted_views
 from halfspace.plans.trusted import checked_events, trusted_events, trusted_matches
 
 __all__ = [
     "GROUPS",
     "Lake",
+    "checked_batch",
     "checked_events",
     "event_mix",
     "home_standings",

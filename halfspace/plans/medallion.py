@@ -135,20 +135,28 @@ def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     }
 
 
-def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Check the landed events; raises ``QualityGateError`` if a check fails.
+def _sampled(spark: SparkSession, lake: Lake) -> DataFrame:
+    """Entries of the match lists whose events are checked."""
+    listed = _listed(spark, lake)
+    if lake.sample_matches is None:
+        return listed
+    return listed.where(F.col("pos") < lake.sample_matches)
 
-    The checks see all events that will be published, in one pass and without a join,
-    unless a sample is asked for.
-    """
-    listed, events = _listed(spark, lake), lake.in_scope(_documents(_landed(spark, lake)))
+
+def checked_batch(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The events that the checks see: all that will be published, or a sample."""
+    events = lake.in_scope(_documents(_landed(spark, lake)))
     if lake.sample_matches is not None:
-        listed = listed.where(F.col("pos") < lake.sample_matches)
-        events = only_listed(events, listed, ["match_id"])
-    report = gate(check(checked_events(events), lake.checks))
+        events = only_listed(events, _sampled(spark, lake), ["match_id"])
+    return checked_events(events)
+
+
+def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
+    """Check the landed events in one pass; raises ``QualityGateError`` on a failure."""
+    report = gate(check(checked_batch(spark, lake), lake.checks))
     return {
         "rows_validated": str(report[0]["rows"]),
-        "matches_sampled": str(listed.count()),
+        "matches_sampled": str(_sampled(spark, lake).count()),
     }
 
 

@@ -11,7 +11,7 @@ import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfspace.functions import parse_json
@@ -74,11 +74,10 @@ class FileFeed:
 
 @dataclass(frozen=True)
 class TableFeed:
-    """Documents already held as rows.
+    """Documents already held as rows, each in a struct column ``document``.
 
-    ``competitions`` has ``payload``; ``matches`` has ``competition_id``,
-    ``season_id``, ``pos`` and ``payload``; ``documents`` has ``match_id``, ``pos`` and
-    ``payload``.
+    ``matches`` also has ``competition_id``, ``season_id`` and ``pos``, ``documents``
+    has ``match_id`` and ``pos``. Text is made of the documents asked for only.
     """
 
     competitions: DataFrame
@@ -86,20 +85,25 @@ class TableFeed:
     documents: DataFrame
 
     def catalog(self, spark: SparkSession) -> DataFrame:
-        return self.competitions
+        return self.competitions.select("pos", _payload())
 
     def match_lists(self, spark: SparkSession, scopes: Sequence[Scope]) -> DataFrame:
         wanted = spark.createDataFrame(list(scopes), "competition_id INT, season_id INT")
         lists = self.matches.join(F.broadcast(wanted), ["competition_id", "season_id"], "left_semi")
+        entries = lists.select("competition_id", "season_id", "pos", _payload())
         # A row without a document for each scope, as an empty list file gives.
-        return lists.unionByName(wanted, allowMissingColumns=True)
+        return entries.unionByName(wanted, allowMissingColumns=True)
 
     def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[DataFrame]:
         yield self.documents.join(keys, "match_id").select(
-            "competition_id", "season_id", "match_id", "pos", "payload"
+            "competition_id", "season_id", "match_id", "pos", _payload()
         )
 
 
+def _payload() -> Column:
+    return F.to_json("document").alias("payload")
+
+
 def listed_matches(match_lists: DataFrame) -> DataFrame:
     """Match lists with each entry's ``match_id``; an entry without one fails."""
     parsed = parse_json("payload", "match_id INT").getField("match_id")

@@ -146,14 +146,14 @@ def test_join_without_broadcast_lands_a_hot_match(spark, tmp_path):
         "11 AS competition_id",
         "90 AS season_id",
         "cast(id AS INT) AS pos",
-        "to_json(named_struct('match_id', cast(id AS INT))) AS payload",
+        "named_struct('match_id', cast(id AS INT)) AS document",
     )
     events = spark.range(30_000).selectExpr(
         "cast(if(id % 3 = 0, 7, id % 300) AS INT) AS match_id",
         "cast(id AS INT) AS pos",
-        "to_json(named_struct('id', cast(id AS STRING), 'period', 1)) AS payload",
+        "named_struct('id', cast(id AS STRING), 'period', 1) AS document",
     )
-    feed = TableFeed(matches.select("pos", "payload"), matches, events)
+    feed = TableFeed(matches.select("pos", "document"), matches, events)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         run(spark, lake, feed)

@@ -16,6 +16,7 @@ from halfspace.operators import flatten
 from halfspace.plans import checked_events, trusted_events, trusted_matches
 from halfspace.sinks import replace_table
 from halfspace.sources import list_objects, read_bytes, read_table, read_texts, scan_documents
+from halfspace.streaming import land_new_files
 from halfspace.workspace import fresh_dir
 
 
@@ -124,6 +125,40 @@ def json_scan_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(scan_documents(spark, paths, RAW_EVENT, array_files=False), TRUSTED_EVENT)
 
 
+# Elements of one array file: a few megabytes, as much as a match file holds.
+ARRAY_SIZE = 10_000
+
+
+def _write_array_files(payloads: DataFrame, path: str) -> None:
+    """Write documents as files of one JSON array each.
+
+    Rows are grouped by their place in their task, so an array never holds more than
+    ``ARRAY_SIZE`` of them, whatever the data.
+    """
+    chunk = F.floor(F.monotonically_increasing_id() / F.lit(ARRAY_SIZE))
+    arrays = payloads.groupBy(chunk.alias("chunk")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list("payload"), ","), F.lit("]")).alias("text")
+    )
+    arrays.select("text").write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query(EVENT_SQL)
+def json_scan_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are one JSON array each, read as one table."""
+    path = fresh_dir(spark, "scan")
+    _write_array_files(_event_payloads(table(spark, sf_dir, "events")), path)
+    return flatten(scan_documents(spark, path, RAW_EVENT), TRUSTED_EVENT)
+
+
+@query(EVENT_SQL)
+def landing_stream_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files landed element by element by a stream, then flattened."""
+    root = fresh_dir(spark, "stream")
+    _write_array_files(_event_payloads(table(spark, sf_dir, "events")), f"{root}/source")
+    land_new_files(spark, f"{root}/source", f"{root}/raw", f"{root}/checkpoint")
+    return trusted_events(read_table(spark, f"{root}/raw"))
+
+
 def _match_fields() -> list[Column]:
     """Fields of a match document, one per supplier."""
     key, nation = F.col("s_suppkey").cast("int"), F.col("s_nationkey")

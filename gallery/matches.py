@@ -191,7 +191,7 @@ _published: dict[tuple[str, str], Lake] = {}
 
 def _lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A published lake, made once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _published:
         lake = Lake(fresh_dir(spark, "lake"), SCOPES)
         run(spark, lake, _feed(spark, sf_dir))

@@ -114,7 +114,8 @@ def land_matches(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     """Land the scopes' match lists anew, leaving other scopes alone."""
     path = lake.path("raw/matches")
     replace_partitions(listed_matches(feed.match_lists(spark, lake.scopes)), path, SCOPE)
-    return {"match_count": str(_listed(spark, lake).count()), "scopes": str(lake.scopes), "path": path}
+    count = _listed(spark, lake).count()
+    return {"match_count": str(count), "scopes": str(lake.scopes), "path": path}
 
 
 def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:

@@ -18,10 +18,13 @@ from halfspace.functions import parse_json
 from halfspace.sources.json_documents import elements
 from halfspace.sources.objects import read_texts
 from halfspace.sources.tables import read_table_or_empty
-from halfspace.workspace import fresh_dir
+from halfspace.workspace import fresh_dir, setting
 
 Scope = tuple[int, int]
 
+LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+PATHS_PER_LOOKUP = 100
+
 KEYS = "match_id INT, competition_id INT, season_id INT"
 
 
@@ -32,8 +35,8 @@ class FileFeed:
     """
 
     root: str
-    # Matches read and appended per job; also the most paths the driver ever holds.
-    batch: int = 20_000
+    # Matches read and appended per job, and so the paths the driver holds at a time.
+    batch: int = 50_000
 
     def catalog(self, spark: SparkSession) -> DataFrame:
         return elements(read_texts(spark, f"{self.root}/competitions.json"))
@@ -67,7 +70,11 @@ class FileFeed:
             if not paths:
                 continue
             match_id = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int")
-            documents = read_texts(spark, paths).select("payload", match_id.alias("match_id"))
+            # By default 10,000 tasks look the paths up, which takes longer than reading.
+            lookups = str(math.ceil(len(paths) / PATHS_PER_LOOKUP))
+            with setting(spark, LOOKUP_TASKS, lookups):
+                documents = read_texts(spark, paths)
+            documents = documents.select("payload", match_id.alias("match_id"))
             keyed = documents.join(F.broadcast(batch), "match_id")
             yield elements(keyed, "competition_id", "season_id", "match_id")
 

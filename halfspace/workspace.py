@@ -1,9 +1,11 @@
-"""Shared scratch space for jobs that write and read back intermediate tables."""
+"""Shared scratch space for intermediate tables, and settings for a while."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,3 +27,14 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A path below the shared root that no other call gets."""
     return f"{shared_root(spark).rstrip('/')}/halfspace/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """Change a setting of the session for the length of a block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

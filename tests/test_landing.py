@@ -21,7 +21,7 @@ from halfspace.sources import (
     read_texts,
 )
 from halfspace.streaming import land_new_files
-from halfspace.workspace import fresh_dir
+from halfspace.workspace import fresh_dir, setting
 
 
 def keys(spark, *values):
@@ -53,7 +53,7 @@ def season(site):
 def land(spark, site, tmp_path):
     lake = Lake(str(tmp_path / "lake"))
 
-    def make(batch=20_000):
+    def make(batch=50_000):
         feed = FileFeed(str(site.root), batch)
         land_catalog(spark, lake, feed)
         land_matches(spark, lake, feed)
@@ -220,6 +220,15 @@ def test_only_a_missing_table_counts_as_empty(spark, tmp_path):
         read_table_or_empty(spark, str(tmp_path / "broken"), "k INT").collect()
 
 
+def test_setting_is_put_back(spark):
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError), setting(spark, key, "3"):
+        assert spark.conf.get(key) == "3"
+        raise RuntimeError
+    assert spark.conf.get(key) == before
+
+
 def test_scratch_lies_below_the_shared_folder(spark):
     first, second = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert first.startswith(spark.conf.get("spark.checkpoint.dir")) and first != second

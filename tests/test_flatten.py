@@ -137,4 +137,5 @@ def test_flatten_without_array_paths_is_strict(spark):
     rows = spark.createDataFrame([("x",)], "a STRING")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         flatten(rows, [("a", "int", "a")]).collect()
-    assert flatten(rows.select(F.array("a").alias("a")), [("a", "double", "a[1]")]).first().a is None
+    arrays = rows.select(F.array("a").alias("a"))
+    assert flatten(arrays, [("a", "double", "a[1]")]).first().a is None

@@ -165,7 +165,7 @@ def test_stream_lands_new_files_once(spark, site, tmp_path):
     land_new_files(spark, f"{site.root}/events", *paths)
     land_new_files(spark, f"{site.root}/events", *paths)
     rows = read_table(spark, paths[0]).select("name", "pos", "payload").collect()
-    found = sorted((r.name, r.pos, r.payload and json.loads(r.payload)["id"]) for r in rows if r.payload)
+    found = sorted((r.name, r.pos, json.loads(r.payload)["id"]) for r in rows if r.payload)
     assert found == [("1", 0, "a"), ("1", 1, "b"), ("3", 0, "c")]
     assert [r.name for r in rows if r.payload is None] == ["2"]
 
@@ -174,7 +174,8 @@ def test_stream_in_several_batches(spark, site, tmp_path):
     for i in range(5):
         site.put(f"events/{i}.json", [event("Pass", id=str(i))])
     raw = str(tmp_path / "raw")
-    land_new_files(spark, f"{site.root}/events", raw, str(tmp_path / "checkpoint"), files_per_batch=2)
+    paths = [f"{site.root}/events", raw, str(tmp_path / "checkpoint")]
+    land_new_files(spark, *paths, files_per_batch=2)
     assert sorted(r.name for r in read_table(spark, raw).collect()) == list("01234")
 
 
@@ -186,7 +187,8 @@ def test_objects_are_listed_and_read_whole(spark, site):
     site.put("a/b/2.json", [])
     site.put("a/b/3.txt", [])
     listed = list_objects(spark, f"{site.root}/a", "*.json")
-    assert {r.path.rsplit("/", 1)[1]: r.length for r in listed.collect()} == {"1.json": 6, "2.json": 2}
+    sizes = {r.path.rsplit("/", 1)[1]: r.length for r in listed.collect()}
+    assert sizes == {"1.json": 6, "2.json": 2}
     assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
     assert read_texts(spark, f"{site.root}/a/1.json").first().payload == '["é"]'
     assert bytes(read_bytes(spark, f"{site.root}/a/1.json").first().content) == '["é"]'.encode()
@@ -206,7 +208,8 @@ def test_failed_replacement_keeps_the_old_partition(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, p STRING")
     replace_partitions(rows, path, ["p"])
-    broken = rows.withColumn("k", F.when(F.col("k") == 2, F.raise_error(F.lit("boom"))).otherwise(9))
+    fails = F.when(F.col("k") == 2, F.raise_error(F.lit("boom"))).otherwise(9)
+    broken = rows.withColumn("k", fails)
     with pytest.raises(Exception, match="boom"):
         replace_partitions(broken, path, ["p"])
     assert sorted((r.k, r.p) for r in read_table(spark, path).collect()) == [(1, "a"), (2, "b")]

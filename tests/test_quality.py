@@ -74,7 +74,8 @@ def test_gate_returns_the_report_or_raises(numbers):
 
 
 def test_all_checks_share_one_scan(spark):
-    events = spark.createDataFrame([("a", 1, 1.0, 1.0)], "event_id STRING, period INT, loc_x DOUBLE, loc_y DOUBLE")
+    schema = "event_id STRING, period INT, loc_x DOUBLE, loc_y DOUBLE"
+    events = spark.createDataFrame([("a", 1, 1.0, 1.0)], schema)
     plan = check(events, EVENT_CHECKS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1

@@ -22,7 +22,7 @@ from halfspace.operators import (
 
 @query("""
     select event_type, count(*) as total,
-           round(100.0 * count(*) / sum(count(*)) over (), 2) as pct
+           round(cast(100 as double) * count(*) / (select count(*) from events), 2) as pct
     from events group by event_type
 """)
 def ratio_to_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +31,8 @@ def ratio_to_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     select l_suppkey,
-           cast(sum(case when l_discount > l_tax then 3
-                         when l_discount = l_tax then 1 else 0 end) as bigint) as points,
+           3 * count(*) filter (where l_discount > l_tax)
+               + count(*) filter (where l_discount = l_tax) as points,
            {exact("l_discount")} as scored,
            {exact("l_tax")} as conceded
     from lineitem group by l_suppkey
@@ -65,11 +65,11 @@ def shot_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    select cast(floor(l_quantity / 10) as int) as grid_x,
-           cast(floor(l_discount / cast(0.02 as double)) as int) as grid_y,
-           count(*) as n
-    from lineitem where l_quantity is not null and l_discount is not null
-    group by grid_x, grid_y
+    select grid_x, grid_y, count(*) as n
+    from (select cast(floor(l_quantity / 10) as int) as grid_x,
+                 cast(floor(l_discount / cast(0.02 as double)) as int) as grid_y
+          from lineitem)
+    where grid_x is not null and grid_y is not null group by grid_x, grid_y
 """)
 def grid_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density(table(spark, sf_dir, "lineitem"), ("l_quantity", 10), ("l_discount", 0.02))

@@ -120,8 +120,8 @@ EVENTS_SQL = """
 # The seven queries over the trusted tables, here named `matches` and `trusted`.
 STANDINGS = """
     select home_team as team,
-           cast(sum(case when home_score > away_score then 3
-                         when home_score = away_score then 1 else 0 end) as bigint) as home_pts,
+           3 * count(*) filter (where home_score > away_score)
+               + count(*) filter (where home_score = away_score) as home_pts,
            cast(sum(home_score) as bigint) as home_gf,
            cast(sum(away_score) as bigint) as home_ga
     from matches group by home_team
@@ -137,11 +137,11 @@ SHOTS = """
     order by xg desc, player_name, team_name, loc_x, loc_y, shot_outcome limit 50
 """
 PASS_GRID = """
-    select cast(floor(loc_x / 10) as int) as grid_x, cast(floor(loc_y / 8) as int) as grid_y,
-           count(*) as pass_count
-    from trusted
-    where event_type = 'Pass' and loc_x is not null and loc_y is not null
-    group by grid_x, grid_y
+    select grid_x, grid_y, count(*) as pass_count
+    from (select cast(floor(loc_x / 10) as int) as grid_x,
+                 cast(floor(loc_y / 8) as int) as grid_y
+          from trusted where event_type = 'Pass')
+    where grid_x is not null and grid_y is not null group by grid_x, grid_y
 """
 PASSING = f"""
     select team_name, count(*) as passes,
@@ -160,7 +160,7 @@ PRESSERS = f"""
 """
 EVENT_MIX = """
     select event_type, count(*) as total,
-           round(100.0 * count(*) / sum(count(*)) over (), 2) as pct
+           round(cast(100 as double) * count(*) / (select count(*) from trusted), 2) as pct
     from trusted group by event_type
 """
 

@@ -71,8 +71,8 @@ def test_sum_of_nothing_is_null(spark):
     assert (row.s, row.m) == (None, None)
 
 
-def test_value_too_large_to_be_exact_raises(spark):
-    rows = spark.createDataFrame([(1e15,)], "x DOUBLE")
+def test_value_beyond_any_integer_raises(spark):
+    rows = spark.createDataFrame([(1e19,)], "x DOUBLE")
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
         rows.agg(exact_sum("x")).collect()
 
@@ -85,3 +85,16 @@ def test_many_large_values_do_not_overflow(spark):
 def test_path_through_null_struct(spark):
     rows = spark.createDataFrame([((None,),), (None,)], "a STRUCT<b: STRUCT<c: INT>>")
     assert [r.v for r in rows.select(at_path("a.b.c").alias("v")).collect()] == [None, None]
+
+
+def test_one_value_out_of_all_bounds_does_not_stop_a_mean(spark):
+    rows = spark.createDataFrame([(45.2,), (34.1,), (1e9,), (-7e17,)], "x DOUBLE")
+    row = rows.agg(exact_sum("x", 12).alias("s")).first()
+    assert row.s == pytest.approx(sum([45.2, 34.1, 1e9, -7e17]), rel=1e-15)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cents=st.lists(st.integers(-(10**9), 10**9), min_size=1, max_size=300))
+def test_sums_of_two_places_are_exact(spark, cents):
+    rows = spark.createDataFrame([(c / 100,) for c in cents], "x DOUBLE")
+    assert rows.agg(exact_sum("x").alias("s")).first().s == sum(cents) / 100

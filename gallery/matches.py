@@ -28,7 +28,7 @@ from halfspace.sources import TableFeed, read_table
 from halfspace.workspace import fresh_dir
 
 COMPETITION = 11
-# Suppliers in debt play in the first season, the others in the second.
+# Suppliers of the first nations play in the first season, the others in the second.
 SCOPES = ((COMPETITION, 1), (COMPETITION, 2))
 
 
@@ -51,7 +51,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     in_debt = F.col("s_acctbal") < 0
     matches = table(spark, sf_dir, "supplier").select(
         F.lit(COMPETITION).alias("competition_id"),
-        F.when(in_debt, 1).otherwise(2).alias("season_id"),
+        F.when(nation < 12, 1).otherwise(2).alias("season_id"),
         key.cast("int").alias("pos"),
         _document(
             key.cast("int").alias("match_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,15 +80,16 @@ class QualityGateError(Exception):
 
     def __init__(self, report: list[dict]):
         self.report = report
-        failed = [entry["check"] for entry in report if not entry["success"]]
+        failed = sorted({entry["check"] for entry in report if not entry["success"]})
         super().__init__(f"quality checks failed: {', '.join(failed)}")
 
 
-def check(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def check(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """One report row per check, from a single aggregate over ``df``.
 
     ``nonnull`` is the number of rows judged by the check, ``unexpected_pct`` its
-    percentage of bad ones.
+    percentage of bad ones. With ``by``, each group is checked for itself, so that a
+    large good one does not make up for a small bad one.
     """
     counters = [F.count("*").alias("rows")]
     for i, c in enumerate(checks):
@@ -109,12 +110,24 @@ def check(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
                 F.coalesce(kept >= F.lit(float(c.mostly)), F.lit(True)).alias("success"),
             )
         )
-    return df.agg(*counters).select(F.inline(F.array(*entries)))
+    return df.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*entries)))
 
 
-def gate(report: DataFrame) -> list[dict]:
-    """Return the report's entries, one per check, or raise if any check failed."""
+def gate(
+    report: DataFrame, by: Sequence[str] = (), expected: Collection[tuple] = ()
+) -> list[dict]:
+    """Return the report's entries, or raise if any check failed.
+
+    ``expected`` are the groups of a report made with ``by`` that must have rows. The
+    driver sees one entry per group and check.
+    """
     entries = [row.asDict() for row in report.collect()]
+    found = {tuple(entry[column] for column in by) for entry in entries}
+    entries += [
+        {**dict(zip(by, group, strict=True)), "check": "has_rows", "rows": 0, "success": False}
+        for group in expected
+        if group not in found
+    ]
     if not all(entry["success"] for entry in entries):
         raise QualityGateError(entries)
     return entries

@@ -149,14 +149,19 @@ def checked_batch(spark: SparkSession, lake: Lake) -> DataFrame:
     events = lake.in_scope(_documents(_landed(spark, lake)))
     if lake.sample_matches is not None:
         events = only_listed(events, _sampled(spark, lake), ["match_id"])
-    return checked_events(events)
+    return checked_events(events, keep=SCOPE)
 
 
 def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Check the landed events in one pass; raises ``QualityGateError`` on a failure."""
-    report = gate(check(checked_batch(spark, lake), lake.checks))
+    """Check the landed events of each scope; raises ``QualityGateError`` on a failure.
+
+    All checks of all scopes are one aggregate over one scan.
+    """
+    report = check(checked_batch(spark, lake), lake.checks, by=SCOPE)
+    entries = gate(report, by=SCOPE, expected=lake.scopes)
+    rows = {tuple(entry[column] for column in SCOPE): entry["rows"] for entry in entries}
     return {
-        "rows_validated": str(report[0]["rows"]),
+        "rows_validated": str(sum(rows.values())),
         "matches_sampled": str(_sampled(spark, lake).count()),
     }
 

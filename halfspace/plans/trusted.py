@@ -29,9 +29,9 @@ def trusted_matches(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return flatten(_parsed(raw, RAW_MATCH, keep), TRUSTED_MATCH, keep)
 
 
-def checked_events(raw: DataFrame) -> DataFrame:
+def checked_events(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The 7 event columns that are checked; no other field is parsed."""
     read = {path.split(".")[0].split("[")[0] for _, _, path in CHECKED_COLUMNS}
     fields = [f for f in T.StructType.fromDDL(RAW_EVENT) if f.name in read]
-    parsed = _parsed(raw, T.StructType(fields).toDDL(), ())
-    return flatten(parsed, CHECKED_COLUMNS).select(*CHECKED_EVENT)
+    parsed = _parsed(raw, T.StructType(fields).toDDL(), keep)
+    return flatten(parsed, CHECKED_COLUMNS, keep).select(*keep, *CHECKED_EVENT)

@@ -104,7 +104,7 @@ def test_sample_is_the_first_matches_of_the_list(spark, played, lake, site):
 
 def test_run_without_events_fails(spark, site, lake):
     site.season([])
-    with pytest.raises(QualityGateError, match="at_least_rows"):
+    with pytest.raises(QualityGateError, match="has_rows"):
         run(spark, lake, FileFeed(str(site.root)))
 
 
@@ -162,3 +162,31 @@ def test_join_without_broadcast_lands_a_hot_match(spark, tmp_path):
     published = read_table(spark, lake.path("trusted/events"))
     assert published.count() == published.select("event_id").distinct().count() == 30_000
     assert published.where("match_id = 7").count() > 10_000
+
+
+def test_scopes_are_folders_of_the_scan(spark, played, lake):
+    run(spark, lake, played)
+    rows = lake.in_scope(read_table(spark, lake.path("trusted/events")))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    folders = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "competition_id" in folders and "season_id" in folders
+    assert "DataFilters: []" in plan
+
+
+def test_a_good_season_does_not_make_up_for_a_bad_one(spark, lake, site):
+    site.season([match(1, "Reds", "Blues", (1, 0))], season=90)
+    site.season([match(2, "Reds", "Blues", (1, 0))], season=91)
+    site.put("events/1.json", [event("Pass", id=str(i)) for i in range(500)])
+    site.put("events/2.json", [event("Pass"), event("Pass", location=[500.0, 1.0])])
+    both = Lake(lake.root, ((11, 90), (11, 91)))
+    with pytest.raises(QualityGateError, match=r"in_range\(loc_x\)") as raised:
+        run(spark, both, FileFeed(str(site.root)))
+    failed = [(e["season_id"], e["rows"]) for e in raised.value.report if not e["success"]]
+    assert failed == [(91, 2)]
+
+
+def test_each_season_needs_events(spark, played, lake, site):
+    site.season([], season=91)
+    both = Lake(lake.root, ((11, 90), (11, 91)))
+    with pytest.raises(QualityGateError, match="has_rows"):
+        run(spark, both, played)

@@ -79,3 +79,17 @@ def test_all_checks_share_one_scan(spark):
     plan = check(events, EVENT_CHECKS)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
     assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+
+
+def test_groups_are_checked_one_by_one(spark):
+    rows = spark.createDataFrame([(1, 1.0), (1, 2.0), (2, None)], "g INT, x DOUBLE")
+    report = check(rows, [NotNull("x"), InRange("x", 0, 1, mostly=0.5)], by=["g"])
+    found = {(r.g, r.check): (r.rows, r.success) for r in report.collect()}
+    assert found == {
+        (1, "not_null(x)"): (2, True),
+        (1, "in_range(x)"): (2, True),
+        (2, "not_null(x)"): (1, False),
+        (2, "in_range(x)"): (1, True),
+    }
+    with pytest.raises(QualityGateError, match="has_rows, not_null"):
+        gate(report, by=["g"], expected=[(1,), (3,)])

@@ -59,11 +59,10 @@ class FileFeed:
         """
         plan = fresh_dir(spark, "landing")
         batches = max(1, math.ceil(count / self.batch))
-        number = F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int")
         # Keys are distinct, so the batches are of like size, and each becomes one file.
-        keys.withColumn("batch", number).repartition("batch").write.partitionBy("batch").parquet(
-            plan
-        )
+        spread = F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int")
+        numbered = keys.withColumn("batch", spread).repartition("batch")
+        numbered.write.partitionBy("batch").parquet(plan)
         for number in range(batches):
             batch = read_table_or_empty(spark, f"{plan}/batch={number}", KEYS)
             paths = [f"{self.root}/events/{row.match_id}.json" for row in batch.collect()]

@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from gallery import ORACLES, QUERIES
 
 TYPES = {
     "bigint": "BIGINT",
@@ -37,7 +38,7 @@ def canonical(rows):
     return sorted(tuple(repr(value) for value in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, duck, sf_dir, name):
     df = contract.queries()[name](spark, sf_dir)
     expected = duck.sql(contract.oracle_sql()[name])
@@ -53,7 +54,9 @@ def test_query_agrees_with_its_sql(spark, duck, sf_dir, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the driver's tables")

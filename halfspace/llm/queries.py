@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from halfspace.llm.exact_dedup import OP3_SQL, op3_exact_dedup
+from halfspace.llm.licenses import op10_license_scan
 from halfspace.llm.packing import op4_packing
+from halfspace.llm.page_text import op8_page_text
 from halfspace.llm.quality_crf import op2_quality_classifier
+from halfspace.llm.quality_rules import op9_quality_rules
+from halfspace.llm.sentence_pieces import op7_sentence_pieces
 from halfspace.llm.sharding import op5_sharding
 from halfspace.llm.simhash import op6_simhash
 from halfspace.llm.toxicity import op1_toxicity
@@ -22,6 +26,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_packing,
         op5_sharding,
         op6_simhash,
+        op7_sentence_pieces,
+        op8_page_text,
+        op9_quality_rules,
+        op10_license_scan,
     )
 }
 

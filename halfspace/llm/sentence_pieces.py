@@ -10,8 +10,8 @@ these meet in one boundary, the ids up to it are committed and the window moves
 size depends on the vocabulary, not on the text.
 
 No piece holds a word's end and the space after it (this is checked when the model is
-loaded), so all paths meet where a word begins, and short words are remembered. The
-codec is broadcast: a worker process loads it once, and its tasks share what it has seen.
+loaded), so all paths meet where a word begins. Short words are searched from their end
+and remembered, by all tasks of a worker process together.
 """
 
 from __future__ import annotations
@@ -19,11 +19,12 @@ from __future__ import annotations
 import re
 import sys
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ SPACE = "▁"
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 # Words and runs remembered at a time, and how long they may be.
-MEMO = 400_000
+MEMO = 300_000
 MEMO_CHARS = 48
 # Pairs of pieces whose stability is remembered at a time.
 PAIRS = 2_000_000
@@ -54,7 +55,7 @@ class Pieces:
         ]
         self.byte = {int(self.text[i][1:-1], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.byte.items()}
-        self.control = {i for i in range(size) if special[i] and i not in self.byte_of}
+        self.special = np.array(special)
         self.id = {self.text[i]: i for i in range(size) if not special[i]}
         self.score = {i: model.get_score(i) for i in self.id.values()}
         self.longest = max(map(len, self.id))
@@ -62,15 +63,39 @@ class Pieces:
         lone = {c for p in self.id for c in p} - self.id.keys()
         if inner or lone or len(self.byte) != 256:
             raise ValueError("the model's pieces cross words, or lack characters or bytes")
-        # A node of the trie: the piece that ends there, or None, and the nodes below.
+        self.stable: dict[int, bool] = {}
+
+    @cached_property
+    def onward(self) -> dict:
+        """Pieces by their characters: a node is the piece that ends there, and what is below."""
         root: list = [None, {}]
         for piece, number in self.id.items():
             node = root
             for character in piece:
                 node = node[1].setdefault(character, [None, {}])
             node[0] = number
-        self.trie = root[1]
-        self.stable: dict[int, bool] = {}
+        return root[1]
+
+    @cached_property
+    def backward(self) -> dict:
+        """Pieces by their characters from the last on.
+
+        A node is (length, piece) of the pieces that the characters to it end with, the
+        longest first, and what is below.
+        """
+        root: list = [[], {}]
+        for piece in self.id:
+            node = root
+            for character in reversed(piece):
+                node = node[1].setdefault(character, [[], {}])
+            node[0] = [(len(piece), self.id[piece])]
+        pending = [root]
+        while pending:
+            above = pending.pop()
+            for node in above[1].values():
+                node[0] = node[0] + above[0] if node[0] else above[0]
+                pending.append(node)
+        return root[1]
 
     def merge(self, text: str) -> list[int]:
         """Byte-pair merges of a short text: the best pair first, the leftmost of equals."""
@@ -88,8 +113,13 @@ class Pieces:
     def follows(self, before: int, piece: int) -> bool:
         """Whether a piece is stable after another, or at a start (``before`` is -1)."""
         if before < 0:
-            return self.merge(self.text[piece]) == [piece]
-        return self.merge(self.text[before] + self.text[piece]) == [before, piece]
+            fits = self.merge(self.text[piece]) == [piece]
+        else:
+            fits = self.merge(self.text[before] + self.text[piece]) == [before, piece]
+        if len(self.stable) >= PAIRS:
+            self.stable.clear()
+        self.stable[before + 1 << 24 | piece] = fits
+        return fits
 
     def lay(self, text: str, at: int, last: list[int | None], back: list[int]) -> None:
         """Lay the edges that begin at a boundary, if a path ends there.
@@ -99,7 +129,7 @@ class Pieces:
         before = last[at]
         if before is None:
             return
-        below, stable, first = self.trie, self.stable, before + 1 << 24
+        below, stable, first = self.onward, self.stable, before + 1 << 24
         end = at
         for character in text[at : at + self.longest]:
             node = below.get(character)
@@ -110,13 +140,39 @@ class Pieces:
             if piece is not None and last[end] is None:
                 fits = stable.get(first | piece)
                 if fits is None:
-                    if len(stable) >= PAIRS:
-                        stable.clear()
-                    fits = stable[first | piece] = self.follows(before, piece)
+                    fits = self.follows(before, piece)
                 if fits:
                     last[end] = piece
                     back[end] = end - at
 
+    def settle(self, text: str, end: int, last: list[int | None]) -> int:
+        """The last piece of the path to a boundary, or -2 if none ends there.
+
+        Goes back from the boundary, so only edges that its path may have are looked at;
+        boundaries settled on the way are kept in ``last``.
+        """
+        below, ending = self.backward, ()
+        for at in range(end - 1, -1, -1):
+            node = below.get(text[at])
+            if node is None:
+                break
+            ending, below = node
+        stable = self.stable
+        for length, piece in ending:
+            before = last[end - length]
+            if before is None:
+                before = self.settle(text, end - length, last)
+            if before == -2:
+                continue
+            fits = stable.get(before + 1 << 24 | piece)
+            if fits is None:
+                fits = self.follows(before, piece)
+            if fits:
+                last[end] = piece
+                return piece
+        last[end] = -2
+        return -2
+
 
 def path(last: list[int | None], back: list[int], end: int) -> list[int]:
     """The pieces from the first boundary to another."""
@@ -188,8 +244,8 @@ def packed(ids: list[int]) -> bytes:
     return numbers.tobytes()
 
 
-def unpacked(data: bytes | None) -> list[int]:
-    return np.frombuffer(data or b"", "<u4").tolist()
+def unpacked(data: bytes | None) -> np.ndarray:
+    return np.frombuffer(data or b"", "<u4")
 
 
 class Codec:
@@ -202,9 +258,6 @@ class Codec:
     def __init__(self, path: str, block: int = 4096):
         self.path, self.block = path, block
 
-    def __getstate__(self) -> dict:
-        return {"path": self.path, "block": self.block}
-
     @cached_property
     def pieces(self) -> Pieces:
         return Pieces(self.path)
@@ -220,17 +273,22 @@ class Codec:
         return {}
 
     def _run(self, characters: str) -> list[int]:
-        """The ids of a run of known characters; a run within one block needs no window."""
+        """The ids of a run of known characters; a short one needs no window."""
         n = len(characters)
-        if n > self.block:
+        if n > MEMO_CHARS:
             search, ids = Search(self.pieces), []
             for at in range(0, n, self.block):
                 ids += search.push(characters[at : at + self.block])
             return ids + search.finish()
-        last, back, lay = [-1] + [None] * n, [0] * (n + 1), self.pieces.lay
-        for at in range(n):
-            lay(characters, at, last, back)
-        return path(last, back, n)
+        last: list[int | None] = [-1] + [None] * n
+        ids, end, texts = [], n, self.pieces.text
+        while end:
+            piece = last[end]
+            if piece is None:
+                piece = self.pieces.settle(characters, end, last)
+            ids.append(piece)
+            end -= len(texts[piece])
+        return ids[::-1]
 
     def _remembered_run(self, characters: str) -> list[int]:
         ids = self.runs.get(characters)
@@ -280,34 +338,48 @@ class Codec:
     def _plain(self, stretch: str) -> bool:
         return all(map(self.pieces.id.__contains__, stretch))
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The text of ids. Bytes that are not UTF-8 give U+FFFD, control ids nothing."""
-        parts, pending = [], bytearray()
+        ids = np.asarray(ids, np.int64)
         text, byte_of = self.pieces.text, self.pieces.byte_of
-        for number in ids:
-            if number in byte_of:
-                pending.append(byte_of[number])
-                continue
-            if pending:
+        parts, pending, start = [], bytearray(), 0
+        for at in np.flatnonzero(self.pieces.special[ids]).tolist():
+            if at > start:
                 parts.append(pending.decode("utf-8", "replace"))
-                pending = bytearray()
-            if number not in self.pieces.control:
-                parts.append(text[number])
+                pending.clear()
+                parts.extend(map(text.__getitem__, ids[start:at].tolist()))
+            start = at + 1
+            byte = byte_of.get(int(ids[at]))
+            if byte is not None:
+                pending.append(byte)
         parts.append(pending.decode("utf-8", "replace"))
+        parts.extend(map(text.__getitem__, ids[start:].tolist()))
         return "".join(parts).replace(SPACE, " ").removeprefix(" ")
 
 
+def kept_codec(process: Broadcast, model: str) -> Codec:
+    """The worker process's codec.
+
+    A worker process loads a broadcast value once, so what its first task puts into a
+    broadcast dictionary is there for its later tasks.
+    """
+    if model not in process.value:
+        process.value[model] = Codec(model)
+    return process.value[model]
+
+
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_ids and ids (little-endian unsigned 32-bit numbers) of each row's text.
 
     A NULL or empty text has no ids. A text of any length is searched in blocks. Equal
     texts have equal ids. Other columns are ignored; an empty table gives an empty result.
     """
-    codec = docs.sparkSession.sparkContext.broadcast(Codec(model))
+    process = docs.sparkSession.sparkContext.broadcast({})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = kept_codec(process, model)
         for part in slices(batches, "text"):
-            coded = [codec.value.encode(t or "") for t in part.column("text").to_pylist()]
+            coded = [codec.encode(t or "") for t in part.column("text").to_pylist()]
             sizes = pa.array([len(c) // 4 for c in coded], pa.int64())
             ids = pa.array(coded, pa.binary())
             yield pa.record_batch([part.column("doc_id"), sizes, ids], ["doc_id", "n_ids", "ids"])
@@ -324,11 +396,12 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
     The text is the one that was encoded, except that U+2581 has become a space. NULL ids
     give an empty text.
     """
-    codec = coded.sparkSession.sparkContext.broadcast(Codec(model))
+    process = coded.sparkSession.sparkContext.broadcast({})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = kept_codec(process, model)
         for part in slices(batches, "ids"):
-            texts = [codec.value.decode(unpacked(d)) for d in part.column("ids").to_pylist()]
+            texts = [codec.decode(unpacked(d)) for d in part.column("ids").to_pylist()]
             columns = [part.column(c) for c in ("doc_id", "n_ids", "ids")]
             yield pa.record_batch([*columns, pa.array(texts)], ["doc_id", "n_ids", "ids", "text"])
 

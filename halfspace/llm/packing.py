@@ -29,7 +29,7 @@ OPEN_WINDOWS = 64
 # A gap of fewer tokens is padded; a larger one takes the head of the next piece.
 LEAST_CUT = 16
 # Tasks whose leftovers are merged together: this many times OPEN_WINDOWS windows at most.
-MERGE = 32
+MERGE = 8
 END_ID = 1
 
 PIECES = (

@@ -57,6 +57,32 @@ def hot_join(left: DataFrame, right: DataFrame, on: Sequence[str], weight: str)
     return left.join(hot, list(on)).unionByName(rest.join(cold, list(on)))
 
 
+def one_row_each(docs: DataFrame, chosen: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The rows of ``docs`` whose keys are in ``chosen``, one for each, with all columns.
+
+    ``keys`` gives each key column of ``chosen`` as it is worked out from ``docs``; NULL
+    equals NULL. Joining and removing repeated rows use the same columns, so whole rows
+    are shuffled once.
+    """
+    there = {f"__{name}": F.coalesce(key.isNull(), F.lit(False)) for name, key in keys.items()}
+    wanted = chosen.select(
+        *[F.coalesce(name, _blank(chosen, name)).alias(f"__key_{name}") for name in keys],
+        *[F.col(name).isNull().alias(f"__{name}") for name in keys],
+    ).distinct()
+    given = {
+        f"__key_{name}": F.coalesce(key, _blank(chosen, name)) for name, key in keys.items()
+    }
+    on = [*given, *there]
+    return docs.withColumns({**given, **there}).join(wanted, on).dropDuplicates(on).select(
+        *docs.columns
+    )
+
+
+def _blank(df: DataFrame, column: str) -> Column:
+    kind = df.schema[column].dataType
+    return F.lit(b"" if kind.typeName() == "binary" else 0).cast(kind)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

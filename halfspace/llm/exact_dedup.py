@@ -19,7 +19,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from halfspace.llm.common import documents, hot_join, shared_table
+from halfspace.llm.common import documents, hot_join, one_row_each, shared_table
 
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 
@@ -153,13 +153,9 @@ def mark_duplicates(
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns, one for each text."""
-    keepers = build_index(_keyed(docs)).select(
-        F.col("keep_id").alias("__keep_id"), F.col("sha").alias("__sha")
-    )
-    rows = docs.withColumn("__digest", F.unhex(F.sha2(normalised(F.col("text")), 256)))
-    same = F.col("doc_id").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__sha"))
-    one = ["doc_id", "__digest"]
-    return rows.join(keepers, same).dropDuplicates(one).select(*docs.columns)
+    keepers = build_index(_keyed(docs)).select("keep_id", "sha")
+    digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
+    return one_row_each(docs, keepers, {"keep_id": F.col("doc_id"), "sha": digest})
 
 
 def op3_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from halfspace.llm.common import documents, hot_join, shared_table, slices
+from halfspace.llm.common import documents, hot_join, one_row_each, shared_table, slices
 from halfspace.llm.components import connected_components
 
 BITS = 64
@@ -216,11 +216,15 @@ def near_duplicates(
         ),
         "labelled",
     )
-    smallest = labelled.groupBy("label").agg(
-        F.min("least").alias("component_id"), F.sum("n").alias("n_all")
+    smallest = shared_table(
+        labelled.groupBy("label").agg(
+            F.min("least").alias("component_id"), F.count("*").alias("n_nodes")
+        ),
+        "smallest",
     )
     of_node = shared_table(
-        labelled.join(smallest, "label").select("node", "n", "component_id"), "classes"
+        hot_join(labelled, smallest, ["label"], "n_nodes").select("node", "n", "component_id"),
+        "classes",
     )
     return hot_join(rows, of_node, ["node"], "n").select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
@@ -236,11 +240,8 @@ def keep_representatives(
     component whose rows all lack an id keeps one of them.
     """
     classes = near_duplicates(docs, words, distance)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("__kept_id")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("__kept_id"))
-    return docs.join(kept.distinct(), same).dropDuplicates(["doc_id"]).select(*docs.columns)
+    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return one_row_each(docs, kept, {"component_id": F.col("doc_id")})
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

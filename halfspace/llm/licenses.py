@@ -132,7 +132,7 @@ def passages(files: DataFrame) -> DataFrame:
 
 
 def closest_templates(spark: SparkSession, found: DataFrame) -> DataFrame:
-    """passage, license and similarity of the passages close enough to a template.
+    """passage, its number n, license and similarity, if it is close enough to a template.
 
     The templates' vectors are a fixed table of some hundred rows, and broadcast. Equal
     passages are compared once: a notice that a third of all files carry is one row.
@@ -142,7 +142,7 @@ def closest_templates(spark: SparkSession, found: DataFrame) -> DataFrame:
         rows, "license string, template int, token string, weight double, idf double"
     )
     idf = F.broadcast(vectors.select("token", "idf").distinct())
-    different = found.select("passage").distinct()
+    different = found.groupBy("passage").agg(F.count("*").alias("n"))
     tokens = F.filter(F.split(F.lower("passage"), TOKEN), lambda t: t != "")
     terms = (
         different.select("passage", F.explode(tokens).alias("token"))
@@ -166,7 +166,9 @@ def closest_templates(spark: SparkSession, found: DataFrame) -> DataFrame:
         .groupBy("passage")
         .agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("best"))
     )
-    return best.select("passage", "best.license", (-F.col("best.s")).alias("similarity"))
+    return best.join(different, "passage").select(
+        "passage", "n", "best.license", (-F.col("best.s")).alias("similarity")
+    )
 
 
 def directory_of(path: Column) -> Column:
@@ -212,7 +214,8 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     files = files.select("path", F.coalesce("text", F.lit("")).alias("text"))
     found = shared_table(passages(files.where("path IS NOT NULL")), "passages")
-    matched = found.join(closest_templates(spark, found), "passage")
+    closest = shared_table(closest_templates(spark, found), "matches")
+    matched = hot_join(found, closest, ["passage"], "n")
     rank = F.struct((-F.col("similarity")).alias("s"), "license")
     whole = F.max("named") | (F.sum("share") >= MOSTLY)
     own = shared_table(

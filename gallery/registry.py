@@ -10,6 +10,9 @@ from halfspace.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Decimal places with which the driver's doubles are summed.
+PLACES = 4
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -31,4 +34,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def exact(column: str) -> str:
     """SQL for the sum of a double column that does not depend on the row order."""
-    return f"cast(sum(cast({column} as decimal(18,4))) as double)"
+    return f"cast(sum(cast({column} as decimal(18,{PLACES}))) as double)"

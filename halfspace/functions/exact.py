@@ -4,7 +4,10 @@ Floating-point addition is not associative, so a distributed ``sum(double)`` may
 change its last bits between runs, and rounding can make that visible. Here a value is
 taken apart into a whole number and a fraction in units of ``10**-places``, and both
 are summed as integers: one answer for any partitioning, retry or merge order, inside
-generated code and about four times as fast as summing decimals.
+generated code and faster than summing decimals.
+
+``places`` has no default, as it says which digits count: each value is rounded to so many
+decimal places before it is added.
 """
 
 from __future__ import annotations
@@ -12,15 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimal places are exact as long as all digits of a value are at most 15.
-PLACES = 6
+# Whole numbers are summed in limbs of so many bits, so a limb's sum holds 2**41 rows.
+LIMB = 22
 
 
-def _integer_total(number: Column, low_bits: int) -> Column:
-    """Sum of integers; the low bits are summed apart, so that neither part overflows."""
-    high = F.sum(F.shiftright(number, low_bits)).cast("decimal(38,0)")
-    low = F.sum(number.bitwiseAND(F.lit((1 << low_bits) - 1)))
-    return (high * F.lit(1 << low_bits) + low).cast("double")
+def _integer_total(number: Column, limbs: int) -> Column:
+    """Sum of integers, limb by limb; a limb has the sign of its number."""
+    total, scale, rest = F.lit(0).cast("decimal(38,0)"), 1, number
+    for i in range(limbs):
+        last = i == limbs - 1
+        limb = rest if last else rest % F.lit(1 << LIMB)
+        total = total + F.sum(limb).cast("decimal(20,0)") * F.lit(scale).cast("decimal(18,0)")
+        scale <<= LIMB
+        # Integer division towards zero, exact as the limb was taken off.
+        rest = F.call_function("div", rest - limb, F.lit(1 << LIMB))
+    return total.cast("double")
 
 
 def _exact_total(value: Column, places: int) -> Column:
@@ -28,17 +37,17 @@ def _exact_total(value: Column, places: int) -> Column:
     unit = F.lit(float(10**places))
     whole = F.rint(value)
     fraction = F.rint((value - whole) * unit)
-    wholes = _integer_total(whole.cast("bigint"), 32)
-    fractions = _integer_total(fraction.cast("bigint"), 20)
+    wholes = _integer_total(whole.cast("bigint"), 3)
+    fractions = _integer_total(fraction.cast("bigint"), 2)
     return wholes + fractions / unit
 
 
-def exact_sum(column: str, places: int = PLACES) -> Column:
+def exact_sum(column: str, places: int) -> Column:
     """Sum of a double column, NULLs left out; NULL when nothing is left."""
     return _exact_total(F.col(column), places)
 
 
-def exact_mean(column: str, places: int = PLACES) -> Column:
+def exact_mean(column: str, places: int) -> Column:
     """Mean of a double column, NULLs left out; NULL when nothing is left."""
     value = F.col(column)
     return F.try_divide(_exact_total(value, places), F.count(value).cast("double"))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halfspace.functions import exact_mean, exact_sum, round_half_away
-from halfspace.functions.exact import PLACES
 
 
 def _largest_first(by: str, ties: Sequence[str]) -> list[Column]:
@@ -32,16 +31,19 @@ def points_by(
     scored: str,
     conceded: str,
     names: tuple[str, str, str] = ("points", "scored", "conceded"),
-    exact: bool = False,
+    places: int | None = None,
 ) -> DataFrame:
     """Table of points per key: 3 for scoring more, 1 for a draw, otherwise 0.
 
-    A row without scores counts as 0 points and stays in its group. ``exact`` is for
-    scores held as doubles.
+    A row without scores counts as 0 points and stays in its group. ``places`` is for
+    scores held as doubles: the decimal places they are summed with.
     """
     ours, theirs = F.col(scored), F.col(conceded)
     earned = F.when(ours > theirs, 3).when(ours == theirs, 1).otherwise(0)
-    total = exact_sum if exact else F.sum
+
+    def total(column: str) -> Column:
+        return F.sum(column) if places is None else exact_sum(column, places)
+
     points, for_, against = names
     return (
         df.groupBy(key)
@@ -58,9 +60,9 @@ def total_and_mean_by(
     df: DataFrame,
     key: str,
     value: str,
+    places: int,
     names: tuple[str, str, str] = ("n", "total", "mean"),
     digits: tuple[int, int] = (2, 4),
-    places: int = PLACES,
 ) -> DataFrame:
     """Rows, rounded total and rounded mean of a value per key.
 
@@ -84,7 +86,7 @@ def means_by(
     key: str,
     count: str,
     means: Mapping[str, tuple[str, int]],
-    places: int = PLACES,
+    places: int,
 ) -> DataFrame:
     """Rows and rounded means per key, sorted by the first mean.
 
@@ -104,7 +106,7 @@ def top_groups(
     count: str,
     means: Mapping[str, tuple[str, int]],
     k: int,
-    places: int = PLACES,
+    places: int,
 ) -> DataFrame:
     """The k largest groups with their rounded means, ties cut in key order."""
     return (

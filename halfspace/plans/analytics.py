@@ -20,8 +20,7 @@ from halfspace.operators import (
     total_and_mean_by,
 )
 
-# Decimal places kept of expected goals, lengths, angles and coordinates: exact below
-# 9,000, which is far above any of them.
+# Decimal places kept of expected goals, lengths, angles and coordinates.
 PLACES = 12
 
 
@@ -42,8 +41,8 @@ def team_xg(events: DataFrame) -> DataFrame:
         _events(events, "Shot"),
         "team_name",
         "xg",
+        PLACES,
         ("shots", "total_xg", "avg_xg_per_shot"),
-        places=PLACES,
     )
 
 

@@ -52,7 +52,7 @@ def test_sums_do_not_depend_on_partitioning(spark):
     rows = spark.createDataFrame([(c / 100,) for c in cents], "x DOUBLE")
     for partitions in (1, 3, 17):
         row = rows.repartition(partitions).agg(
-            exact_sum("x").alias("total"), exact_mean("x").alias("mean")
+            exact_sum("x", 6).alias("total"), exact_mean("x", 6).alias("mean")
         ).first()
         assert row.total == sum(cents) / 100
         assert row.mean == sum(cents) / 100 / len(cents)
@@ -67,19 +67,38 @@ def test_sum_of_small_values(spark, places):
 
 def test_sum_of_nothing_is_null(spark):
     rows = spark.createDataFrame([(None,)], "x DOUBLE")
-    row = rows.agg(exact_sum("x").alias("s"), exact_mean("x").alias("m")).first()
+    row = rows.agg(exact_sum("x", 6).alias("s"), exact_mean("x", 6).alias("m")).first()
     assert (row.s, row.m) == (None, None)
 
 
 def test_value_beyond_any_integer_raises(spark):
     rows = spark.createDataFrame([(1e19,)], "x DOUBLE")
     with pytest.raises(Exception, match="CAST_OVERFLOW"):
-        rows.agg(exact_sum("x")).collect()
+        rows.agg(exact_sum("x", 6)).collect()
 
 
 def test_many_large_values_do_not_overflow(spark):
     rows = spark.range(4_000).select(F.lit(9e12).alias("x"))
-    assert rows.agg(exact_sum("x").alias("s")).first().s == 4_000 * 9e12
+    assert rows.agg(exact_sum("x", 6).alias("s")).first().s == 4_000 * 9e12
+
+
+def test_small_values_are_not_cut(spark):
+    rows = spark.range(1_000).select(F.lit(4e-7).alias("x"), F.lit(-3e-11).alias("y"))
+    row = rows.agg(exact_sum("x", 7).alias("x"), exact_sum("y", 12).alias("y")).first()
+    assert (row.x, row.y) == (4e-4, -3e-8)
+
+
+def test_groups_past_31_bits_of_rows_do_not_overflow(spark):
+    n = 2**31 + 200_000_000
+    assert spark.range(n).select(F.lit(-1.0).alias("x")).agg(
+        exact_sum("x", 0).alias("s")
+    ).first().s == -float(n)
+
+
+@pytest.mark.parametrize("value", [1.0, -1.0, 4194303.75, -4194304.5, 9e18, -9e18, 2**62 + 0.0])
+def test_limbs_add_up_with_either_sign(spark, value):
+    rows = spark.range(1_001).select(F.lit(value).alias("x"))
+    assert rows.agg(exact_sum("x", 6).alias("s")).first().s == value * 1_001
 
 
 def test_path_through_null_struct(spark):
@@ -97,4 +116,4 @@ def test_one_value_out_of_all_bounds_does_not_stop_a_mean(spark):
 @given(cents=st.lists(st.integers(-(10**9), 10**9), min_size=1, max_size=300))
 def test_sums_of_two_places_are_exact(spark, cents):
     rows = spark.createDataFrame([(c / 100,) for c in cents], "x DOUBLE")
-    assert rows.agg(exact_sum("x").alias("s")).first().s == sum(cents) / 100
+    assert rows.agg(exact_sum("x", 6).alias("s")).first().s == sum(cents) / 100

@@ -41,7 +41,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--sample-matches", type=int, help="check only the first matches")
     query = commands.add_parser("query", help="print a query's rows")
     query.add_argument("name", choices=QUERIES)
-    query.add_argument("--rows", type=int, default=50, help="rows to print")
+    query.add_argument("--rows", type=int, help="rows to print; all of them by default")
     for command in (run, query):
         command.add_argument("--lake", required=True, help="folder of the lake's tables")
         command.add_argument(
@@ -66,7 +66,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
         lake = plans.Lake(given.lake, tuple(given.scopes))
         query, table = QUERIES[given.name]
         rows = lake.in_scope(read_table(spark, lake.path(f"trusted/{table}")))
-        query(rows).show(given.rows, truncate=False)
+        found = query(rows)
+        found.show(found.count() if given.rows is None else given.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from halfspace.formats import (
@@ -24,14 +25,13 @@ from halfspace.operators import (
     check,
     gate,
     landing_counts,
-    only_listed,
     unlanded_keys,
 )
 from halfspace.operators.quality import Check
-from halfspace.plans.trusted import checked_events, trusted_events, trusted_matches
-from halfspace.sinks import append_rows, replace_partitions, replace_table
+from halfspace.plans.trusted import trusted_events, trusted_matches
+from halfspace.sinks import append_rows, exists, move, remove, replace_partitions, replace_table
 from halfspace.sources import FileFeed, TableFeed, read_table, read_table_or_empty
-from halfspace.sources.feeds import Scope, listed_matches
+from halfspace.sources.feeds import Batch, Scope, listed_matches
 
 SCOPE = ["competition_id", "season_id"]
 GROUPS = ("ingestion", "validation", "transformation")
@@ -40,9 +40,10 @@ GROUPS = ("ingestion", "validation", "transformation")
 # Small row groups let a scan hand that work to more tasks than whole 128 MB blocks.
 RAW_ROW_GROUP = 4 * 1024 * 1024
 
-RAW_EVENTS_TABLE = (
-    "match_id INT, pos INT, payload STRING, competition_id INT, season_id INT"
-)
+RAW_EVENTS_TABLE = "match_id INT, pos INT, payload STRING, batch STRING"
+LANDED_TABLE = "match_id INT, batch STRING, events BIGINT"
+MATCHES_TABLE = "match_id INT, competition_id INT, season_id INT, batch STRING"
+PASSED_TABLE = "state STRING, staged STRING, metrics MAP<STRING, STRING>, finished TIMESTAMP"
 RUNS_TABLE = "run_id STRING, stage STRING, finished TIMESTAMP, metrics MAP<STRING, STRING>"
 
 EVENT_CHECKS: tuple[Check, ...] = (
@@ -99,8 +100,34 @@ def _listed(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def _landed(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Everything landed from event files; nothing before the first landing."""
-    return read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE)
+    """One row per landed match, with the batch that holds its events.
+
+    The manifest alone says what has landed. Rows of a batch that was not finished are
+    in no manifest and never read; of a match that two runs landed, one batch counts.
+    """
+    manifest = read_table_or_empty(spark, lake.path("raw/landed"), LANDED_TABLE)
+    return manifest.groupBy("match_id").agg(F.min("batch").alias("batch"))
+
+
+def _landed_in_scope(spark: SparkSession, lake: Lake, only_sampled: bool = False) -> DataFrame:
+    """match_id, batch and scope of landed matches, once for each scope that lists them."""
+    listed = (_sampled if only_sampled else _listed)(spark, lake)
+    return listed.select("match_id", *SCOPE).distinct().join(_landed(spark, lake), "match_id")
+
+
+def landed_events(
+    spark: SparkSession, lake: Lake, matches: DataFrame | None = None
+) -> DataFrame:
+    """Raw events of the scopes' landed matches; other batches' folders are not read.
+
+    ``matches`` may give these matches as a written table. Spark then knows its size when
+    it plans the join, and sends it to the events if it is small.
+    """
+    matches = _landed_in_scope(spark, lake) if matches is None else matches
+    batches = [row.batch for row in matches.select("batch").distinct().collect()]
+    raw = read_table_or_empty(spark, lake.path("raw/events"), RAW_EVENTS_TABLE)
+    wanted = raw.where(F.col("batch").isin(batches))
+    return _documents(wanted).join(matches, ["match_id", "batch"]).drop("batch")
 
 
 def land_catalog(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
@@ -118,20 +145,49 @@ def land_matches(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     return {"match_count": str(count), "scopes": str(lake.scopes), "path": path}
 
 
+class IncompleteBatchError(Exception):
+    """Raised when files of a landing batch gave no rows; nothing of it has landed."""
+
+
+def _land_batch(spark: SparkSession, lake: Lake, landing: Batch) -> int:
+    """Write a batch of events and then its manifest; returns its number of matches."""
+    batch = f"b{uuid.uuid4().hex}"
+    folder = lake.path(f"raw/events/batch={batch}")
+    append_rows(landing.events, folder, row_group=RAW_ROW_GROUP)
+    columns = "match_id INT, payload STRING"
+    written = read_table_or_empty(spark, folder, columns).groupBy("match_id")
+    counted = written.agg(F.count("payload").alias("events"))
+    # The manifest's few bytes per match are kept, so as to be written as they were checked.
+    manifest = landing.keys.select("match_id").join(counted, "match_id", "left").persist()
+    try:
+        matches, missing = manifest.agg(F.count("*"), F.count_if(F.col("events").isNull())).first()
+        if landing.complete and missing:
+            gone = manifest.where("events IS NULL").orderBy("match_id").limit(5).collect()
+            raise IncompleteBatchError(f"{missing} matches without rows: {[r.match_id for r in gone]}")
+        rows = manifest.select(
+            "match_id", F.lit(batch).alias("batch"), F.coalesce("events", F.lit(0)).alias("events")
+        )
+        append_rows(rows, lake.path("raw/landed"))
+    finally:
+        manifest.unpersist()
+    return matches
+
+
 def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
-    """Land the events of listed matches that have not landed yet."""
-    path = lake.path("raw/events")
+    """Land the events of listed matches that have not landed yet.
+
+    What is new is decided by the manifest, one row per match; landed events are not read.
+    """
     listed, landed = _listed(spark, lake), _landed(spark, lake)
     counts = landing_counts(listed, landed, "match_id").first()
+    ingested = 0
     if counts.ingested:
-        scope = listed.groupBy("match_id").agg(F.min(F.struct(*SCOPE)).alias("scope"))
-        new = unlanded_keys(listed, landed, "match_id").join(scope, "match_id")
-        keys = new.select("match_id", "scope.*")
-        for events in feed.events(spark, keys, counts.ingested):
-            append_rows(events, path, SCOPE, row_group=RAW_ROW_GROUP)
+        new = unlanded_keys(listed, landed, "match_id")
+        for batch in feed.events(spark, new, counts.ingested):
+            ingested += _land_batch(spark, lake, batch)
     return {
-        "ingested": str(counts.ingested),
-        "skipped_existing": str(counts.skipped),
+        "ingested": str(ingested),
+        "skipped_existing": str(counts.total - ingested),
         "total_matches": str(counts.total),
     }
 
@@ -144,45 +200,117 @@ def _sampled(spark: SparkSession, lake: Lake) -> DataFrame:
     return listed.where(F.col("pos") < lake.sample_matches)
 
 
-def checked_batch(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The events that the checks see: all that will be published, or a sample."""
-    events = lake.in_scope(_documents(_landed(spark, lake)))
-    if lake.sample_matches is not None:
-        events = only_listed(events, _sampled(spark, lake), ["match_id"])
-    return checked_events(events, keep=SCOPE)
+def _state(spark: SparkSession, lake: Lake) -> str:
+    """What would be published, and how it is checked, as a short text."""
+    landed = _landed_in_scope(spark, lake)
+    row = F.xxhash64(*landed.columns).cast("decimal(38,0)")
+    count, digest = landed.agg(F.count("*"), F.sum(row)).first()
+    return f"{count} {digest} {sorted(lake.scopes)} {lake.sample_matches} {lake.checks}"
+
+
+def _staging(lake: Lake, name: str) -> str:
+    """A path in the scopes' own staging folder."""
+    scopes = hashlib.sha256(repr(sorted(lake.scopes)).encode()).hexdigest()[:16]
+    return lake.path(f"staging/{scopes}/{name}")
+
+
+def _passed(spark: SparkSession, lake: Lake, state: str) -> Row | None:
+    """The last passed validation of a state."""
+    passed = read_table_or_empty(spark, _staging(lake, "passed"), PASSED_TABLE)
+    return passed.where(F.col("state") == state).orderBy(F.desc("finished")).first()
+
+
+def checked_batch(spark: SparkSession, lake: Lake, staged: DataFrame) -> DataFrame:
+    """The flattened events that the checks see: all that will be published, or a sample.
+
+    A sample's matches are few by definition; the scan gets their ids.
+    """
+    if lake.sample_matches is None:
+        return staged
+    sampled = _landed_in_scope(spark, lake, only_sampled=True)
+    wanted = F.lit(False)
+    for competition, season in lake.scopes:
+        mine = sampled.where(
+            (F.col("competition_id") == competition) & (F.col("season_id") == season)
+        )
+        ids = sorted(row.match_id for row in mine.select("match_id").collect())
+        wanted = wanted | (
+            (F.col("competition_id") == competition)
+            & (F.col("season_id") == season)
+            & F.col("match_id").isin(ids)
+        )
+    return staged.where(wanted)
 
 
 def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Check the landed events of each scope; raises ``QualityGateError`` on a failure.
+    """Flatten the scopes' landed events to a staging table, and check those rows.
 
-    All checks of all scopes are one aggregate over one scan.
+    Raises ``QualityGateError`` on a failure. Only rows that passed can be published, and
+    they are the rows that were checked. All checks of all scopes are one aggregate over
+    the staged columns that they name. What has passed and is not yet published is not
+    flattened again.
     """
-    report = check(checked_batch(spark, lake), lake.checks, by=SCOPE)
+    state = _state(spark, lake)
+    before = _passed(spark, lake, state)
+    if before:
+        return dict(before.metrics)
+    remove(spark, _staging(lake, ""))
+    staged = _staging(lake, f"events-{uuid.uuid4().hex}")
+    wanted = _staging(lake, "matches")
+    append_rows(_landed_in_scope(spark, lake), wanted)
+    landed = landed_events(spark, lake, read_table_or_empty(spark, wanted, MATCHES_TABLE))
+    events = trusted_events(landed, keep=[*SCOPE, "match_id"])
+    # Sorted by type inside each task, so the filters of the queries skip other types.
+    replace_partitions(events.sortWithinPartitions(*SCOPE, "event_type"), staged, SCOPE)
+    batch = checked_batch(spark, lake, read_table_or_empty(spark, staged, _schema(events)))
+    report = check(batch, lake.checks, by=SCOPE)
     entries = gate(report, by=SCOPE, expected=lake.scopes)
     rows = {tuple(entry[column] for column in SCOPE): entry["rows"] for entry in entries}
-    return {
+    metrics = {
         "rows_validated": str(sum(rows.values())),
         "matches_sampled": str(_sampled(spark, lake).count()),
     }
+    passed = [(state, staged, metrics, datetime.now(timezone.utc))]
+    append_rows(spark.createDataFrame(passed, PASSED_TABLE), _staging(lake, "passed"))
+    return metrics
+
+
+def _schema(df: DataFrame) -> str:
+    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
+
+
+class NotValidatedError(Exception):
+    """Raised when what would be published has not passed the checks."""
 
 
 def publish_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Flatten the scopes' events into the trusted table.
+    """Put the staged rows that passed the checks in place of the scopes' trusted rows.
 
-    Rows are sorted by type inside each task, so the filters of the queries skip the
-    pages of all other types.
+    Refused unless a validation passed and nothing has landed or been published since.
+    The files are moved, not written again. If this breaks off, what is left is still
+    staged, and publishing can be run again.
     """
+    passed = _passed(spark, lake, _state(spark, lake))
+    if not passed:
+        raise NotValidatedError("run the validation of these scopes first")
     path = lake.path("trusted/events")
-    raw = lake.in_scope(_documents(_landed(spark, lake)))
-    events = trusted_events(raw, keep=[*SCOPE, "match_id"])
-    replace_partitions(events.sortWithinPartitions(*SCOPE, "event_type"), path, SCOPE)
+    for competition, season in sorted(set(lake.scopes)):
+        folder = f"competition_id={competition}/season_id={season}"
+        if exists(spark, f"{passed.staged}/{folder}"):
+            remove(spark, f"{path}/{folder}")
+            move(spark, f"{passed.staged}/{folder}", f"{path}/{folder}")
+    remove(spark, _staging(lake, ""))
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
 
 
 def publish_matches(spark: SparkSession, lake: Lake) -> Metrics:
-    """Flatten the scopes' match lists into the trusted table."""
+    """Flatten the scopes' match lists into the trusted table; an empty list empties it."""
     path = lake.path("trusted/matches")
-    replace_partitions(trusted_matches(_listed(spark, lake), keep=SCOPE), path, SCOPE)
+    listed = _listed(spark, lake)
+    filled = {tuple(row) for row in listed.select(*SCOPE).distinct().collect()}
+    replace_partitions(trusted_matches(listed, keep=SCOPE), path, SCOPE)
+    for competition, season in set(lake.scopes) - filled:
+        remove(spark, f"{path}/competition_id={competition}/season_id={season}")
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
 
 

@@ -1,5 +1,5 @@
 """Sinks: compressed columnar tables."""
 
-from halfspace.sinks.tables import append_rows, replace_partitions, replace_table
+from halfspace.sinks.tables import append_rows, exists, move, remove, replace_partitions, replace_table
 
-__all__ = ["append_rows", "replace_partitions", "replace_table"]
+__all__ = ["append_rows", "exists", "move", "remove", "replace_partitions", "replace_table"]

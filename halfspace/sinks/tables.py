@@ -7,18 +7,46 @@ half-written rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from py4j.java_gateway import JavaObject
+from pyspark.sql import DataFrame, SparkSession
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """Write a whole table anew.
+def _located(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """A path's file system, and the path in it."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
 
-    The old files are removed first; ``replace_partitions`` keeps them until the new
-    ones are complete.
-    """
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a table or a partition's folder; one that does not exist is left so."""
+    files, location = _located(spark, path)
+    if files.exists(location) and not files.delete(location, True):
+        raise OSError(f"{path} could not be deleted")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, location = _located(spark, path)
+    return files.exists(location)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a table another path, which must be free."""
+    files, location = _located(spark, path)
+    target = _located(spark, to)[1]
+    files.mkdirs(target.getParent())
+    if files.exists(target) or not files.rename(location, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
+def replace_table(df: DataFrame, path: str) -> None:
+    """Write a whole table anew; the old files stay until the new ones are complete."""
+    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(staged)
+    remove(df.sparkSession, path)
+    move(df.sparkSession, staged, path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:

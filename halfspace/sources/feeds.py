@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from halfspace.functions import parse_json
+from halfspace.sinks import remove
 from halfspace.sources.json_documents import elements
 from halfspace.sources.objects import read_texts
 from halfspace.sources.tables import read_table_or_empty
@@ -25,7 +26,21 @@ Scope = tuple[int, int]
 LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 PATHS_PER_LOOKUP = 100
 
-KEYS = "match_id INT, competition_id INT, season_id INT"
+KEYS = "match_id INT"
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Matches landed together: their keys, and rows of match_id, pos and payload.
+
+    In a ``complete`` batch each key has a row, that of an empty array included; otherwise
+    a match without rows has no events.
+    """
+
+    keys: DataFrame
+    events: DataFrame
+    complete: bool
+
 
 
 @dataclass(frozen=True)
@@ -39,7 +54,10 @@ class FileFeed:
     batch: int = 50_000
 
     def catalog(self, spark: SparkSession) -> DataFrame:
-        return elements(read_texts(spark, f"{self.root}/competitions.json"))
+        expected = spark.createDataFrame([(1,)], "file INT")
+        found = read_texts(spark, f"{self.root}/competitions.json")
+        # A zero-byte file gives no row; here it is one without text, which fails.
+        return elements(expected.join(found.withColumn("file", F.lit(1)), "file", "left"))
 
     def match_lists(self, spark: SparkSession, scopes: Sequence[Scope]) -> DataFrame:
         paths = [f"{self.root}/matches/{c}/{s}.json" for c, s in scopes]
@@ -48,9 +66,11 @@ class FileFeed:
             for group, name in ((1, "competition_id"), (2, "season_id"))
         ]
         documents = read_texts(spark, paths).select("payload", *scope_of)
-        return elements(documents, "competition_id", "season_id")
+        expected = spark.createDataFrame(list(scopes), "competition_id INT, season_id INT")
+        listed = expected.join(documents, ["competition_id", "season_id"], "left")
+        return elements(listed, "competition_id", "season_id")
 
-    def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[DataFrame]:
+    def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[Batch]:
         """The events of ``count`` keyed matches, a batch of matches at a time.
 
         A match names its file, so nothing is listed and no other file is opened. The
@@ -63,6 +83,12 @@ class FileFeed:
         spread = F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int")
         numbered = keys.withColumn("batch", spread).repartition("batch")
         numbered.write.partitionBy("batch").parquet(plan)
+        try:
+            yield from self._batches(spark, plan, batches)
+        finally:
+            remove(spark, plan)
+
+    def _batches(self, spark: SparkSession, plan: str, batches: int) -> Iterator[Batch]:
         for number in range(batches):
             batch = read_table_or_empty(spark, f"{plan}/batch={number}", KEYS)
             paths = [f"{self.root}/events/{row.match_id}.json" for row in batch.collect()]
@@ -74,8 +100,7 @@ class FileFeed:
             with setting(spark, LOOKUP_TASKS, lookups):
                 documents = read_texts(spark, paths)
             documents = documents.select("payload", match_id.alias("match_id"))
-            keyed = documents.join(F.broadcast(batch), "match_id")
-            yield elements(keyed, "competition_id", "season_id", "match_id")
+            yield Batch(batch, elements(documents, "match_id"), complete=True)
 
 
 @dataclass(frozen=True)
@@ -100,10 +125,9 @@ class TableFeed:
         # A row without a document for each scope, as an empty list file gives.
         return entries.unionByName(wanted, allowMissingColumns=True)
 
-    def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[DataFrame]:
-        yield self.documents.join(keys, "match_id").select(
-            "competition_id", "season_id", "match_id", "pos", _payload()
-        )
+    def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[Batch]:
+        wanted = self.documents.join(keys, "match_id").select("match_id", "pos", _payload())
+        yield Batch(keys, wanted, complete=False)
 
 
 def _payload() -> Column:

@@ -10,17 +10,22 @@ from halfspace.functions.documents import STRICT
 from halfspace.sources.objects import read_texts
 
 
+NOT_AN_ARRAY = "a document is blank, no array, or has null elements"
+
+
 def elements(documents: DataFrame, *keep: str) -> DataFrame:
     """One row per element of array documents: ``keep``, ``pos`` and ``payload``.
 
-    An element's text is kept as it is, and ``pos`` is its place in the array. An
-    empty array gives one row without ``pos`` and ``payload``, so the document itself
-    is still seen to have landed.
+    An element's text is its JSON, written anew by the parser, and ``pos`` is its place in
+    the array. An empty array gives one row without ``pos`` and ``payload``, so the
+    document itself is still seen to have landed. A blank document, one that is no array,
+    and a null element fail the query.
     """
-    return documents.select(
-        *keep,
-        F.posexplode_outer(parse_json("payload", "array<string>")).alias("pos", "payload"),
-    )
+    array = parse_json("payload", "array<string>")
+    sound = F.when(
+        array.isNotNull() & ~F.exists(array, lambda element: element.isNull()), array
+    ).otherwise(F.raise_error(F.lit(NOT_AN_ARRAY)).cast("array<string>"))
+    return documents.select(*keep, F.posexplode_outer(sound).alias("pos", "payload"))
 
 
 def scan_documents(

@@ -18,10 +18,11 @@ def list_objects(spark: SparkSession, root: str, pattern: str = "*") -> DataFram
 
 
 def read_texts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per object: ``path`` and its whole text as ``payload``."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
-    )
+    """One row per object: ``path`` and its whole text as ``payload``.
+
+    Spark passes zero-byte objects over; who expects an object has to look for its row.
+    """
+    return read_bytes(spark, paths).select("path", F.col("content").cast("string").alias("payload"))
 
 
 def read_bytes(spark: SparkSession, paths: str | list[str]) -> DataFrame:

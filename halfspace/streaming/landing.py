@@ -2,7 +2,9 @@
 
 The stream's checkpoint remembers the files it has read, so each call lands the files
 that are new since the last one and then ends. A file that is rewritten under its old
-name is not read again, which is the same skip rule as landing by key.
+name is not read again, which is the same skip rule as landing by key. Files are known
+by name whatever their time, so the driver keeps one entry for each file ever landed,
+some hundred bytes; sources of many million files should be landed by key instead.
 """
 
 from __future__ import annotations
@@ -13,6 +15,10 @@ from pyspark.sql import functions as F
 from halfspace.sources.json_documents import elements
 
 
+# Without it, files a week older than the newest one seen would never be landed.
+NO_AGE_LIMIT = "36500d"
+
+
 def land_new_files(
     spark: SparkSession,
     source: str,
@@ -25,7 +31,9 @@ def land_new_files(
 
     With ``array_files`` each file is a JSON array and its rows carry the file's name
     as ``name``; otherwise each line is a document. The table's own log takes in a
-    batch as a whole or not at all, so a batch that is run again adds nothing twice.
+    batch as a whole or not at all, so a batch that is run again adds nothing twice. A
+    blank array file fails the stream, but one of zero bytes is passed over by Spark's
+    file sources; landing by key notices it.
     """
     lines = (
         spark.readStream.schema("value STRING")
@@ -33,6 +41,7 @@ def land_new_files(
         .option("wholetext", array_files)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .load(source)
         .select(
             F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1).alias("name"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import os
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -10,8 +12,15 @@ from pyspark.sql import functions as F
 
 from conftest import event, match
 from halfspace.operators import landing_counts, unlanded_keys
-from halfspace.plans.medallion import Lake, land_catalog, land_events, land_matches
-from halfspace.sinks import append_rows, replace_partitions, replace_table
+from halfspace.plans.medallion import (
+    IncompleteBatchError,
+    Lake,
+    land_catalog,
+    land_events,
+    land_matches,
+    landed_events,
+)
+from halfspace.sinks import append_rows, remove, replace_partitions, replace_table
 from halfspace.sources import (
     FileFeed,
     list_objects,
@@ -126,6 +135,68 @@ def test_landed_batches_survive_a_failed_run(spark, site, season, land):
     assert len(landed_ids(spark, land.lake)) == 10
 
 
+@pytest.mark.parametrize("text", ["", " \n", "null", '{"id": "x"}', '[null, {"id": "x"}]', "[1"])
+def test_a_file_that_is_no_array_fails_and_can_be_mended(spark, site, season, land, text):
+    season(1, 2)
+    (site.root / "events" / "2.json").write_text(text)
+    with pytest.raises(Exception, match="no array|MALFORMED|Malformed|JSON|without rows"):
+        land()
+    site.put("events/2.json", [event("Pass", id="mended")])
+    assert land() == (2, 0, 2)
+    assert "mended" in landed_ids(spark, land.lake)
+
+
+@pytest.mark.parametrize("name", ["competitions.json", "matches/11/90.json"])
+def test_an_empty_catalog_or_list_file_fails(spark, site, season, land, name):
+    season(1)
+    (site.root / name).write_text("")
+    with pytest.raises(Exception, match="no array"):
+        land()
+
+
+def test_a_half_done_batch_has_not_landed(spark, season, land):
+    season(1, 2)
+    raw = land.lake.path("raw/events")
+    half = spark.createDataFrame([(1, 0, '{"id": "half"}')], "match_id INT, pos INT, payload STRING")
+    append_rows(half, f"{raw}/batch=unfinished")
+    assert land() == (2, 0, 2)
+    events = landed_events(spark, land.lake)
+    ids = sorted(json.loads(r.payload)["id"] for r in events.collect())
+    assert ids == [f"{i}-{n}" for i in (1, 2) for n in range(3)]
+
+
+def test_a_match_landed_by_two_runs_is_read_once(spark, season, land):
+    season(1)
+    land()
+    manifest = land.lake.path("raw/landed")
+    again = read_table(spark, manifest).selectExpr("match_id", "'z-later' AS batch", "events")
+    append_rows(again.cache(), manifest)
+    assert landed_events(spark, land.lake).count() == 3
+    assert land() == (0, 1, 1)
+
+
+def test_a_second_landing_reads_no_events(spark, season, land):
+    season(1, 2)
+    land()
+    remove(spark, land.lake.path("raw/events"))
+    assert land() == (0, 2, 2)
+
+
+def test_rows_missing_from_a_batch_are_noticed(spark, site, season, land, monkeypatch):
+    season(1, 2)
+
+    def partly(self, spark, keys, count):
+        for batch in whole(self, spark, keys, count):
+            yield replace(batch, events=batch.events.where("match_id = 1"))
+
+    whole = FileFeed.events
+    monkeypatch.setattr(FileFeed, "events", partly)
+    with pytest.raises(IncompleteBatchError, match=r"1 matches without rows: \[2\]"):
+        land()
+    monkeypatch.undo()
+    assert land() == (2, 0, 2)
+
+
 def test_listed_match_without_id_fails(spark, site, land):
     site.season([{"match_date": "2020-01-01"}])
     with pytest.raises(Exception, match="no match_id"):
@@ -170,6 +241,21 @@ def test_stream_lands_new_files_once(spark, site, tmp_path):
     assert [r.name for r in rows if r.payload is None] == ["2"]
 
 
+def test_stream_lands_old_files_and_refuses_blank_ones(spark, site, tmp_path):
+    paths = [f"{site.root}/events", str(tmp_path / "raw"), str(tmp_path / "checkpoint")]
+    site.put("events/1.json", [event("Pass", id="a")])
+    land_new_files(spark, *paths)
+    site.put("events/2.json", [event("Pass", id="b")])
+    long_ago = (site.root / "events" / "1.json").stat().st_mtime - 400 * 24 * 3600
+    os.utime(site.root / "events" / "2.json", (long_ago, long_ago))
+    site.put("events/3.json", [event("Pass", id="c")])
+    land_new_files(spark, *paths)
+    assert sorted(r.name for r in read_table(spark, paths[1]).collect()) == ["1", "2", "3"]
+    (site.root / "events" / "4.json").write_text(" \n")
+    with pytest.raises(Exception, match="no array"):
+        land_new_files(spark, *paths)
+
+
 def test_stream_in_several_batches(spark, site, tmp_path):
     for i in range(5):
         site.put(f"events/{i}.json", [event("Pass", id=str(i))])
@@ -204,6 +290,14 @@ def test_tables_are_replaced_appended_and_compressed(spark, tmp_path):
     assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "t").glob("*.parquet"))
 
 
+def test_failed_replacement_keeps_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_table(spark.range(3), path)
+    with pytest.raises(Exception, match="boom"):
+        replace_table(spark.range(3).select(F.raise_error(F.lit("boom")).alias("id")), path)
+    assert read_table(spark, path).count() == 3
+
+
 def test_failed_replacement_keeps_the_old_partition(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([(1, "a"), (2, "b")], "k INT, p STRING")

@@ -9,7 +9,17 @@ import pytest
 from conftest import event, match
 from halfspace.__main__ import main
 from halfspace.operators import QualityGateError
-from halfspace.plans import Lake, event_mix, home_standings, run, team_xg, trusted_views
+from halfspace.plans import (
+    Lake,
+    checked_batch,
+    event_mix,
+    home_standings,
+    run,
+    team_xg,
+    trusted_views,
+)
+from halfspace.plans import medallion
+from halfspace.plans.medallion import NotValidatedError, land_matches, publish_matches
 from halfspace.sources import FileFeed, TableFeed, read_table
 
 
@@ -185,6 +195,98 @@ def test_a_good_season_does_not_make_up_for_a_bad_one(spark, lake, site):
     assert failed == [(91, 2)]
 
 
+def test_nothing_is_published_without_a_passed_gate(spark, played, lake, site):
+    only = {"transformation"}
+    run(spark, lake, played, groups={"ingestion"})
+    with pytest.raises(NotValidatedError):
+        run(spark, lake, played, groups=only)
+    site.season([match(i, "Reds", "Blues", (1, 0)) for i in range(1, 8)])
+    site.put("events/7.json", [event("Pass", id=None)])
+    with pytest.raises(QualityGateError):
+        run(spark, lake, played)
+    with pytest.raises(NotValidatedError):
+        run(spark, lake, played, groups=only)
+    assert not Path(lake.path("trusted")).exists()
+
+
+def test_rows_landed_after_the_gate_are_not_published(spark, played, lake, site):
+    run(spark, lake, played, groups={"ingestion", "validation"})
+    site.season([match(i, "Reds", "Blues", (1, 0)) for i in range(1, 8)])
+    site.put("events/7.json", [event("Pass", id=None)])
+    run(spark, lake, played, groups={"ingestion"})
+    with pytest.raises(NotValidatedError):
+        run(spark, lake, played, groups={"transformation"})
+
+
+def test_a_pass_of_other_checks_does_not_count(spark, played, lake, site):
+    site.put("events/6.json", [event("Pass", id=None)])
+    run(spark, Lake(lake.root, sample_matches=5), played, groups={"ingestion", "validation"})
+    with pytest.raises(NotValidatedError):
+        run(spark, lake, played, groups={"transformation"})
+
+
+def test_what_passed_is_not_flattened_again(spark, played, lake):
+    first = run(spark, lake, played, groups={"ingestion", "validation"})
+    staged = sorted(Path(lake.path("staging")).rglob("*.parquet"))
+    again = run(spark, lake, played, groups={"validation"})
+    assert again["events_validated"] == first["events_validated"]
+    assert sorted(Path(lake.path("staging")).rglob("*.parquet")) == staged
+    run(spark, lake, played, groups={"transformation"})
+    assert not list(Path(lake.path("staging")).rglob("*.parquet"))
+    with pytest.raises(NotValidatedError):  # what was published is staged no more
+        run(spark, lake, played, groups={"transformation"})
+
+
+def test_publishing_that_broke_off_can_be_run_again(spark, played, lake, monkeypatch):
+    run(spark, lake, played)
+    run(spark, lake, played, groups={"validation"})
+
+    def breaks(*_):
+        raise OSError("broke off")
+
+    monkeypatch.setattr(medallion, "move", breaks)
+    with pytest.raises(OSError, match="broke off"):
+        run(spark, lake, played, groups={"transformation"})
+    monkeypatch.undo()
+    run(spark, lake, played, groups={"transformation"})
+    assert read_table(spark, lake.path("trusted/events")).count() == 18
+
+
+def test_a_match_of_two_seasons_is_published_in_both(spark, lake, site):
+    site.season([match(1, "Reds", "Blues", (1, 0)), match(2, "Reds", "Blues", (1, 0))])
+    site.season([match(2, "Reds", "Blues", (1, 0)), match(3, "Reds", "Blues", (1, 0))], season=91)
+    for i in (1, 2, 3):
+        site.put(f"events/{i}.json", [event("Pass", id=f"{i}")])
+    both = Lake(lake.root, ((11, 90), (11, 91)))
+    metrics = run(spark, both, FileFeed(str(site.root)))
+    assert metrics["events_raw"]["ingested"] == "3"
+    rows = read_table(spark, lake.path("trusted/events")).select("season_id", "match_id")
+    assert sorted(map(tuple, rows.collect())) == [(90, 1), (90, 2), (91, 2), (91, 3)]
+
+
+def test_an_emptied_list_empties_its_season(spark, played, lake, site):
+    site.season([match(50, "Greens", "Blues", (1, 0))], season=91)
+    site.put("events/50.json", [event("Pass", id="50-1")])
+    both = Lake(lake.root, ((11, 90), (11, 91)))
+    run(spark, both, played)
+    site.season([])
+    land_matches(spark, lake, played)
+    publish_matches(spark, lake)
+    matches = read_table(spark, lake.path("trusted/matches"))
+    assert [(r.season_id, r.match_id) for r in matches.collect()] == [(91, 50)]
+
+
+def test_sampled_ids_reach_the_scan(spark, played, lake):
+    run(spark, lake, played)
+    sampled = Lake(lake.root, sample_matches=5)
+    batch = checked_batch(spark, sampled, read_table(spark, lake.path("trusted/events")))
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    pushed = plan.split("PushedFilters: [")[1]
+    assert "match_id" in pushed.split("]")[0] or "In(match_id" in pushed
+    assert batch.select("match_id").distinct().count() == 5
+
+
 def test_each_season_needs_events(spark, played, lake, site):
     site.season([], season=91)
     both = Lake(lake.root, ((11, 90), (11, 91)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gallery.registry import exact, query, table
+from gallery.registry import PLACES, exact, query, table
 from halfspace.operators import (
     density,
     drop_incomplete,
@@ -22,7 +22,7 @@ from halfspace.operators import (
 
 @query("""
     select event_type, count(*) as total,
-           round(cast(100 as double) * count(*) / (select count(*) from events), 2) as pct
+           round(cast(100 as double) * count(*) / sum(count(*)) over (), 2) as pct
     from events group by event_type
 """)
 def ratio_to_total(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,15 +31,15 @@ def ratio_to_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""
     select l_suppkey,
-           3 * count(*) filter (where l_discount > l_tax)
-               + count(*) filter (where l_discount = l_tax) as points,
+           cast(sum(case when l_discount > l_tax then 3
+                         when l_discount = l_tax then 1 else 0 end) as bigint) as points,
            {exact("l_discount")} as scored,
            {exact("l_tax")} as conceded
     from lineitem group by l_suppkey
 """)
 def standings_home(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    return points_by(lineitem, "l_suppkey", "l_discount", "l_tax", exact=True)
+    return points_by(lineitem, "l_suppkey", "l_discount", "l_tax", places=PLACES)
 
 
 @query(f"""
@@ -50,7 +50,7 @@ def standings_home(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def group_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
     purchases = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    return total_and_mean_by(purchases, "user_id", "value")
+    return total_and_mean_by(purchases, "user_id", "value", PLACES)
 
 
 @query("""
@@ -84,7 +84,7 @@ def grid_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_two_avgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     sold = table(spark, sf_dir, "lineitem").where(F.col("l_quantity").isNotNull())
     means = {"avg_quantity": ("l_quantity", 1), "avg_discount": ("l_discount", 3)}
-    return means_by(sold, "l_suppkey", "n", means)
+    return means_by(sold, "l_suppkey", "n", means, PLACES)
 
 
 @query(f"""
@@ -98,7 +98,8 @@ def threshold_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     errors = table(spark, sf_dir, "events").where(
         (F.col("event_type") == "error") & (F.col("value") > 10)
     )
-    return top_groups(errors, ["user_id", "event_type"], "n", {"avg_value": ("value", 1)}, 20)
+    means = {"avg_value": ("value", 1)}
+    return top_groups(errors, ["user_id", "event_type"], "n", means, 20, PLACES)
 
 
 @query("""

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gallery.files import write_named_arrays
 from gallery.registry import query, table
 from halfspace.formats import CHECKED_EVENT, RAW_EVENT, RAW_MATCH, TRUSTED_EVENT, TRUSTED_MATCH
 from halfspace.functions import at_path, parse_json, safe_number
@@ -150,6 +151,22 @@ def json_scan_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(scan_documents(spark, path, RAW_EVENT), TRUSTED_EVENT)
 
 
+@query(EVENT_SQL)
+def json_scan_array_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files with different fields, read as one table by field name."""
+    events = table(spark, sf_dir, "events")
+    root = fresh_dir(spark, "scan")
+    is_shot = F.col("event_type") == "purchase"
+    for name, rows, field in (
+        ("shots", events.where(is_shot), _shot_field()),
+        ("others", events.where(~is_shot), _pass_field()),
+    ):
+        document = F.to_json(F.struct(*_event_fields(), field)).alias("payload")
+        _write_array_files(rows.select(document), f"{root}/{name}")
+    paths = [f"{root}/shots", f"{root}/others"]
+    return flatten(scan_documents(spark, paths, RAW_EVENT), TRUSTED_EVENT)
+
+
 @query(EVENT_SQL)
 def landing_stream_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array files landed element by element by a stream, then flattened."""
@@ -207,6 +224,18 @@ def json_scan_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(scan_documents(spark, path, RAW_MATCH, array_files=False), TRUSTED_MATCH)
 
 
+@query(MATCH_SQL)
+def json_scan_one_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array file, as a season's match list is."""
+    root = fresh_dir(spark, "scan")
+    document = F.to_json(F.struct(*_match_fields())).alias("payload")
+    listed = table(spark, sf_dir, "supplier").select(
+        F.lit("list").alias("name"), F.col("s_suppkey").alias("pos"), document
+    )
+    write_named_arrays(listed, root)
+    return flatten(scan_documents(spark, f"{root}/list.json", RAW_MATCH), TRUSTED_MATCH)
+
+
 @query("""
     select vec_id, cast(embedding[1] as double) as first, cast(embedding[2] as double) as second,
            cast(embedding[65] as double) as past_the_end
@@ -274,9 +303,12 @@ def object_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bytes(spark, path).agg(F.sum(F.octet_length("content")).alias("bytes"))
 
 
-@query("select distinct lang, source, true as landed from documents")
+@query("""
+    select lang, source, cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes
+    from documents group by lang, source
+""")
 def landed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys of the objects below a folder, from a listing that opens none of them."""
+    """Keys and sizes of the objects below a folder, from a listing that opens none of them."""
     path = fresh_dir(spark, "objects")
     table(spark, sf_dir, "documents").select("lang", "source", "text").write.partitionBy(
         "lang", "source"
@@ -286,4 +318,4 @@ def landed_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in ("lang", "source")
     ]
     listed = list_objects(spark, path, "*.txt").select(*key, "length")
-    return listed.groupBy("lang", "source").agg((F.sum("length") > 0).alias("landed"))
+    return listed.groupBy("lang", "source").agg(F.sum("length").alias("bytes"))

@@ -1,0 +1,27 @@
+"""Array files under given names, as a source has them."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from halfspace.sinks import move
+from halfspace.sources import list_objects
+from halfspace.workspace import fresh_dir
+
+
+def write_named_arrays(documents: DataFrame, root: str) -> None:
+    """Write ``{root}/{name}.json`` for each name: an array of its payloads, by ``pos``.
+
+    An array is one row here, as it is one file in a source. Files are written by the
+    tasks and then given their names, one call each.
+    """
+    spark = documents.sparkSession
+    elements = F.sort_array(F.collect_list(F.struct("pos", "payload"))).getField("payload")
+    text = F.concat(F.lit("["), F.array_join(elements, ","), F.lit("]")).alias("text")
+    written = fresh_dir(spark, "arrays")
+    arrays = documents.groupBy("name").agg(text)
+    arrays.write.partitionBy("name").text(written)
+    for row in list_objects(spark, written, "*.txt").collect():
+        name = row.path.split("/name=")[1].split("/")[0]
+        move(spark, row.path, f"{root}/{name}.json")

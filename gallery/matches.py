@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gallery.checks import at_least_sql, in_range_sql, not_null_sql
+from gallery.files import write_named_arrays
 from gallery.registry import exact, query, table
 from halfspace.operators import check
 from halfspace.plans import (
@@ -24,7 +25,8 @@ from halfspace.plans import (
     team_xg,
     top_pressers,
 )
-from halfspace.sources import TableFeed, read_table
+from halfspace.plans.medallion import land_matches, publish_matches
+from halfspace.sources import FileFeed, TableFeed, read_table
 from halfspace.workspace import fresh_dir
 
 COMPETITION = 11
@@ -49,10 +51,11 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     )
     key, nation = F.col("s_suppkey"), F.col("s_nationkey")
     in_debt = F.col("s_acctbal") < 0
+    season = F.when(nation < 12, 1).otherwise(2)
     matches = table(spark, sf_dir, "supplier").select(
         F.lit(COMPETITION).alias("competition_id"),
-        F.when(nation < 12, 1).otherwise(2).alias("season_id"),
-        key.cast("int").alias("pos"),
+        season.alias("season_id"),
+        (F.row_number().over(Window.partitionBy(season).orderBy(key)) - 1).alias("pos"),
         _document(
             key.cast("int").alias("match_id"),
             F.date_add(F.lit("2020-09-01").cast("date"), nation).alias("match_date"),
@@ -90,6 +93,22 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     return TableFeed(competitions, matches, events)
 
 
+def _file_feed(spark: SparkSession, sf_dir: str) -> FileFeed:
+    """The same documents as array files: the catalog, a list per season, events per match."""
+    feed, root = _feed(spark, sf_dir), fresh_dir(spark, "source")
+    payload = F.to_json("document").alias("payload")
+    write_named_arrays(
+        feed.competitions.select(F.lit("competitions").alias("name"), "pos", payload), root
+    )
+    season = F.col("season_id").cast("string").alias("name")
+    write_named_arrays(feed.matches.select(season, "pos", payload), f"{root}/matches/{COMPETITION}")
+    # A source has a file for each listed match, an empty array if nothing happened.
+    keys = feed.matches.select(F.col("document.match_id").cast("string").alias("name"))
+    events = feed.documents.select(F.col("match_id").cast("string").alias("name"), "pos", payload)
+    write_named_arrays(keys.join(events, "name", "left"), f"{root}/events")
+    return FileFeed(root, batch=40)
+
+
 MATCHES_SQL = """
     with matches as (
         select 'team ' || (s_nationkey % 25) as home_team,
@@ -117,11 +136,44 @@ EVENTS_SQL = """
 """
 
 
+# The whole trusted event table. What the documents don't carry is NULL.
+TRUSTED_SQL = """
+    with played as (
+        select l.*, case when s_nationkey < 12 then 1 else 2 end as season_id,
+               case when l_returnflag = 'A' then l_linestatus end as shot_outcome,
+               case l_returnflag when 'A' then 'Shot' when 'N' then 'Pass' else 'Pressure' end
+                   as event_type
+        from lineitem l join supplier on l_suppkey = s_suppkey
+    )
+    select 11 as competition_id, season_id, cast(l_suppkey as int) as match_id,
+           l_orderkey || '-' || l_linenumber as event_id,
+           cast(l_linenumber as int) as event_index,
+           case when l_linestatus = 'O' then 1 else 2 end as period,
+           cast(null as int) as minute, cast(null as int) as second,
+           cast(null as varchar) as timestamp, event_type,
+           cast(null as int) as possession, cast(null as varchar) as possession_team,
+           cast(null as varchar) as play_pattern,
+           cast(null as int) as team_id, 'team ' || (l_partkey % 20) as team_name,
+           cast(null as int) as player_id, 'player ' || (l_partkey % 500) as player_name,
+           cast(null as varchar) as position_name,
+           case when l_tax > 0 then l_quantity * cast(2 as double) end as loc_x,
+           case when l_tax > 0 then l_discount * cast(800 as double) end as loc_y,
+           cast(null as double) as duration_s,
+           case when l_returnflag = 'A' then nullif(l_tax, 0) end as xg, shot_outcome,
+           case when l_returnflag = 'N' then nullif(l_quantity, 1) end as pass_length,
+           case when l_returnflag = 'N' then l_discount end as pass_angle_rad,
+           cast(null as varchar) as pass_outcome
+    from played
+"""
+
+
 # The seven queries over the trusted tables, here named `matches` and `trusted`.
+# Each states its rule in the plainest SQL: points by CASE, cells grouped by their
+# expressions, and the share by a window over the groups, which Spark's side avoids.
 STANDINGS = """
     select home_team as team,
-           3 * count(*) filter (where home_score > away_score)
-               + count(*) filter (where home_score = away_score) as home_pts,
+           cast(sum(case when home_score > away_score then 3
+                         when home_score = away_score then 1 else 0 end) as bigint) as home_pts,
            cast(sum(home_score) as bigint) as home_gf,
            cast(sum(away_score) as bigint) as home_ga
     from matches group by home_team
@@ -137,11 +189,10 @@ SHOTS = """
     order by xg desc, player_name, team_name, loc_x, loc_y, shot_outcome limit 50
 """
 PASS_GRID = """
-    select grid_x, grid_y, count(*) as pass_count
-    from (select cast(floor(loc_x / 10) as int) as grid_x,
-                 cast(floor(loc_y / 8) as int) as grid_y
-          from trusted where event_type = 'Pass')
-    where grid_x is not null and grid_y is not null group by grid_x, grid_y
+    select cast(floor(loc_x / 10) as int) as grid_x, cast(floor(loc_y / 8) as int) as grid_y,
+           count(*) as pass_count
+    from trusted where event_type = 'Pass' and loc_x is not null and loc_y is not null
+    group by floor(loc_x / 10), floor(loc_y / 8)
 """
 PASSING = f"""
     select team_name, count(*) as passes,
@@ -160,7 +211,7 @@ PRESSERS = f"""
 """
 EVENT_MIX = """
     select event_type, count(*) as total,
-           round(cast(100 as double) * count(*) / (select count(*) from trusted), 2) as pct
+           round(cast(100 as double) * count(*) / sum(count(*)) over (), 2) as pct
     from trusted group by event_type
 """
 
@@ -186,10 +237,46 @@ def landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.where("payload IS NOT NULL").groupBy("match_id").agg(F.count("payload").alias("n"))
 
 
+@query(TRUSTED_SQL)
+def file_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files landed, checked and published: the whole trusted table."""
+    lake = Lake(fresh_dir(spark, "lake"), SCOPES)
+    run(spark, lake, _file_feed(spark, sf_dir))
+    return read_table(spark, lake.path("trusted/events"))
+
+
+@query("""
+    select cast(s_suppkey as int) as match_id, count(l_suppkey) as n
+    from supplier left join lineitem on l_suppkey = s_suppkey group by s_suppkey
+""")
+def file_landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files of a list that grows by a season, landed run by run: each lands once."""
+    feed, root = _file_feed(spark, sf_dir), fresh_dir(spark, "lake")
+    for scopes in (SCOPES[:1], SCOPES, SCOPES):
+        run(spark, Lake(root, scopes), feed, groups={"ingestion"})
+    raw = read_table(spark, Lake(root).path("raw/events"))
+    return raw.groupBy("match_id").agg(F.count("payload").alias("n"))
+
+
+@query("""
+    select 11 as competition_id, 1 as season_id, count(*) as matches
+    from supplier where s_nationkey < 12
+""")
+def matches_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Match lists published, then one of them emptied: its season leaves the table."""
+    feed, lake = _feed(spark, sf_dir), Lake(fresh_dir(spark, "lake"), SCOPES)
+    emptied = replace(feed, matches=feed.matches.where(F.col("season_id") == 1))
+    for given in (feed, emptied):
+        land_matches(spark, lake, given)
+        publish_matches(spark, lake)
+    matches = read_table(spark, lake.path("trusted/matches"))
+    return matches.groupBy("competition_id", "season_id").agg(F.count("*").alias("matches"))
+
+
 _published: dict[tuple[str, str], Lake] = {}
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+def published_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """A published lake, made once per session."""
     key = (spark.conf.get("spark.app.id"), sf_dir)
     if key not in _published:
@@ -200,7 +287,7 @@ def _lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def _trusted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, _lake(spark, sf_dir).path(f"trusted/{name}"))
+    return read_table(spark, published_lake(spark, sf_dir).path(f"trusted/{name}"))
 
 
 @query("""
@@ -210,28 +297,38 @@ def _trusted(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                (select count(*) from lineitem where l_suppkey in (select s_suppkey from supplier))
                    as events
     )
-    select 'competitions_raw' as stage, 'competition_count' as metric, competitions as value
-    from counted
-    union all select 'matches_raw', 'match_count', matches from counted
-    union all select 'events_raw', 'ingested', matches from counted
-    union all select 'events_raw', 'skipped_existing', 0 from counted
-    union all select 'events_raw', 'total_matches', matches from counted
-    union all select 'events_validated', 'rows_validated', events from counted
-    union all select 'events_validated', 'matches_sampled', matches from counted
+    select 'competitions_raw' as stage, 'competition_count' as metric,
+           cast(competitions as varchar) as value from counted
+    union all select 'matches_raw', 'match_count', cast(matches as varchar) from counted
+    union all select 'events_raw', 'ingested', cast(matches as varchar) from counted
+    union all select 'events_raw', 'skipped_existing', '0'
+    union all select 'events_raw', 'total_matches', cast(matches as varchar) from counted
+    union all select 'events_validated', 'rows_validated', cast(events as varchar) from counted
+    union all select 'events_validated', 'matches_sampled', cast(matches as varchar) from counted
+    union all select 'competitions_raw', 'path', 'lake/raw/competitions'
+    union all select 'matches_raw', 'path', 'lake/raw/matches'
+    union all select 'matches_raw', 'scopes', '((11, 1), (11, 2))'
+    union all select 'events_trusted', 'trusted_path', 'lake/trusted/events'
+    union all select 'events_trusted', 'format', 'Parquet/ZSTD'
+    union all select 'matches_trusted', 'trusted_path', 'lake/trusted/matches'
+    union all select 'matches_trusted', 'format', 'Parquet/ZSTD'
 """)
 def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The counts that the stages of a run left in its table."""
-    runs = read_table(spark, _lake(spark, sf_dir).path("runs"))
+    """What the stages of a run left in its table; the lake's folder is called ``lake``."""
+    lake = published_lake(spark, sf_dir)
+    runs = read_table(spark, lake.path("runs"))
     metrics = runs.select("stage", F.explode("metrics").alias("metric", "text"))
-    counts = metrics.select("stage", "metric", F.col("text").try_cast("bigint").alias("value"))
-    return counts.where(F.col("value").isNotNull())
+    value = F.replace("text", F.lit(lake.root), F.lit("lake")).alias("value")
+    return metrics.select("stage", "metric", value)
 
 
 SAMPLED = """(select * from (
         select l_orderkey as event_id, l_linestatus as period,
                case when l_tax > 0 then l_quantity * cast(2 as double) end as loc_x,
                case when l_tax > 0 then l_discount * cast(800 as double) end as loc_y
-        from lineitem where l_suppkey < 5 and l_suppkey in (select s_suppkey from supplier)))"""
+        from lineitem where l_suppkey in
+            (select s_suppkey from supplier
+             qualify row_number() over (partition by s_nationkey < 12 order by s_suppkey) <= 5)))"""
 
 
 @query(
@@ -246,9 +343,10 @@ SAMPLED = """(select * from (
     )
 )
 def dq_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The checks of a run on the first five places of its match lists."""
-    lake = replace(_lake(spark, sf_dir), sample_matches=5)
-    return check(checked_batch(spark, lake), lake.checks)
+    """The checks of a run on the first five matches of each of its lists."""
+    lake = replace(published_lake(spark, sf_dir), sample_matches=5)
+    batch = checked_batch(spark, lake, _trusted(spark, sf_dir, "events"))
+    return check(batch, lake.checks)
 
 
 @query(MATCHES_SQL + STANDINGS)

@@ -14,6 +14,9 @@ from halfspace.workspace import fresh_dir
 # Bytes of text that a task turns into arrays at a time.
 SLICE_BYTES = 4 * 1024 * 1024
 
+# Longer texts are not learned from, so a sample fits the driver; all texts are scored.
+SAMPLE_CHARS = 50_000
+
 # Keys that get a broadcast of their own hold at least this share of all rows, so there
 # are never more of them than its inverse.
 HOT_SHARE = 1 / 512
@@ -105,9 +108,11 @@ def labelled_sample(
     """(doc_id, text, label) of at most ``most`` labelled rows for each value of the label.
 
     Only rows that meet ``fit`` are taken, those with the smallest hash of their id
-    first, so the sample does not depend on partitions. NULL ids, labels and texts are
-    left out, and an id that is labelled twice counts once. The chosen ids (at most
-    ``2 * most``) are broadcast to the scan of the texts.
+    first, so the sample does not depend on partitions. NULL ids, labels and texts, and
+    texts of more than ``SAMPLE_CHARS``, are left out. An id that is labelled twice counts
+    once, with the lower label, and so does one with several texts, with the first in
+    order: those are reduced to one inside the tasks, however many there are. The chosen
+    ids (at most ``2 * most``) are broadcast to the scan of the texts.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
@@ -116,10 +121,9 @@ def labelled_sample(
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = [known.where(F.col("label") == v).orderBy(*order).limit(most) for v in (0, 1)]
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-    rows = texts.join(ids, "doc_id").collect()
-    once = {row.doc_id: (row.doc_id, row.text, row.label) for row in sorted(rows)}
-    return list(once.values())
+    texts = docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS)
+    rows = texts.join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    return sorted((row.doc_id, row.text, row.label) for row in rows.collect())
 
 
 def steady_hash(number: int) -> int:

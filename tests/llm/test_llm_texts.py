@@ -8,8 +8,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from halfspace.llm import licenses, page_text, quality_crf, quality_rules, sentence_pieces, toxicity
+from halfspace.llm.common import labelled_sample
 
 SCHEMA = "doc_id BIGINT, text STRING"
 LARGER = "/root/testdata/sf0.1"
@@ -71,6 +73,19 @@ def test_classifiers_without_labels_and_on_odd_rows(spark, module):
     assert kept.count() >= 2
 
 
+def test_sample_is_bounded_and_takes_an_id_once(spark):
+    rows = [(1, "b"), (1, "a"), (None, "x"), (2, None), (3, "y" * 60_000), (5, "e")]
+    rows += [(4, "hot")] * 500 + [(100 + i, f"text {i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    known = [(i, 0) for i in (1, 2, 3, 4, None)] + [(4, 1), (5, 1), (5, None), (9, 1)]
+    known += [(100 + i, i % 2) for i in range(50)]
+    labels = spark.createDataFrame(known, "doc_id BIGINT, toxic INT")
+    sample = labelled_sample(docs, labels, "toxic", F.col("doc_id") < 100, 100)
+    assert sample == [(1, "a", 0), (4, "hot", 0), (5, "e", 1)]
+    few = labelled_sample(docs, labels, "toxic", F.col("doc_id") >= 100, 7)
+    assert [sum(label == v for *_, label in few) for v in (0, 1)] == [7, 7]
+
+
 def test_forward_backward_agrees_with_all_paths():
     random_ = np.random.default_rng(0)
     field = quality_crf.Field(

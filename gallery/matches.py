@@ -106,7 +106,7 @@ def _file_feed(spark: SparkSession, sf_dir: str) -> FileFeed:
     keys = feed.matches.select(F.col("document.match_id").cast("string").alias("name"))
     events = feed.documents.select(F.col("match_id").cast("string").alias("name"), "pos", payload)
     write_named_arrays(keys.join(events, "name", "left"), f"{root}/events")
-    return FileFeed(root, batch=40)
+    return FileFeed(root, batch=64)
 
 
 MATCHES_SQL = """

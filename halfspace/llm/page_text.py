@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -153,11 +154,14 @@ ROLES = {
 }
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source"}
 
+# A "<" without its own ">" is text, unless it has quoted attributes. No tag is looked for
+# beyond the next "<", so that many of them take no longer than as much text.
+ATTRIBUTES = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(DROPPED.split()) + r")(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-z][a-z0-9:-]*+)([^>]*+)>"
+    r"|<(" + "|".join(DROPPED.split()) + r")(?=[\s/>])" + ATTRIBUTES + r">.*?(?:</\1\s*+>|\Z)"
+    r"|<(/?)([a-z][a-z0-9:-]*+)(" + ATTRIBUTES + r")(?:>|(?:(?<=[\"'])|(?<=[\"']\s))(?=<))"
+    r"|<(/?)([a-z][a-z0-9:-]*+)([^<>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
@@ -214,6 +218,7 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     # Open containers: tag, place of their blocks, whether that is settled.
     stack: list[tuple[str, int, bool]] = []
+    opened: Counter[str] = Counter()
     text: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -259,11 +264,12 @@ def blocks(page: str) -> list[Block]:
         if tag not in CONTAINERS:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == tag:
-                    del stack[depth:]
-                    break
+            inner = ""
+            while opened[tag] and inner != tag:
+                inner = stack.pop()[0]
+                opened[inner] -= 1
             continue
+        opened[tag] += 1
         before, settled = (stack[-1][1], stack[-1][2]) if stack else (NEUTRAL, False)
         if settled:
             stack.append((tag, before, True))

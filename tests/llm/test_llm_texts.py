@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -265,6 +266,25 @@ def test_pages_without_marked_content():
     assert page_text.main_text(deep, tree).startswith("xxxxxxxxxx words")
 
 
+def test_unfinished_tags_and_their_cost():
+    tree = page_text.train()
+
+    def inside(markup):
+        return page_text.main_text(f"<article><p>{markup}</p></article>", tree)
+
+    assert inside("if x<y or i<n then <b>z</b>") == "if x<y or i<n then z"
+    assert inside('one <div class="x" <p title="a>b">two</p>') == "one two"
+    assert inside('<p data-x="a<b">q</p> <script src="a>b">if (a<b) c</script>r') == "q r"
+    n = 100_000
+    for page in (
+        "a<b " * n, "<p" * n, '<p "' * n, "<p '\"" * n, "<script " * n, "<!--" * n, "</" * n,
+        "<div>" * n + "</section>" * n, "<div " + "a= " * n + ">", "&amp" * n,
+    ):
+        start = time.perf_counter()
+        page_text.main_text(page, tree)
+        assert time.perf_counter() - start < 10
+
+
 def test_tree_learns_its_table_and_never_takes_boilerplate():
     table = np.array(page_text.TABLE, float)
     tree = page_text.train()

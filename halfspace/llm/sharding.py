@@ -1,7 +1,7 @@
 """Shards by a consistent-hash ring with virtual nodes and bounded loads.
 
-The ring is cut into ``SLOTS`` equal slots by the hash of the document's id, and each
-shard stands on it at ``VNODES`` pseudo-random slots. A slot's rows belong to the first
+The ring is cut into ``SLOTS`` equal slots by the hash of the document's id and its text's
+checksum, so that an id that many rows share does not fill one slot. Each shard stands on it at ``VNODES`` pseudo-random slots. A slot's rows belong to the first
 shard clockwise that is not full. A shard is full when its load has reached the bound,
 ``(1 + EPSILON)`` times the mean; slots it then has no room for continue clockwise. So
 no shard exceeds the bound by more than one slot, and adding a shard moves little more
@@ -132,17 +132,17 @@ def assign_shards(
     """doc_id, size, text_crc32, shard and slot (gapless from 0 in its shard) of each row.
 
     The size is the text's UTF-8 bytes plus one; a NULL text has none, an empty one
-    neither. The ring's key is the id; rows without an id, and rows that repeat one, lie
-    together in one slot of the ring and go to one shard. Other columns are ignored, and
-    an empty table gives an empty result.
+    neither. The ring's key is the id with the text's checksum: rows without an id, or that
+    repeat one, are spread by their texts, and only rows that are equal in both lie
+    together in one slot of the ring. Other columns are ignored, and an empty table gives
+    an empty result.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
-        F.xxhash64("doc_id").alias("key"),
-    )
+    ).withColumn("key", F.xxhash64("doc_id", "text_crc32"))
     rows = shared_table(rows, "shard-rows")
     sizes = rows.groupBy(_slot()).agg(
         F.sum("size").alias("size"), F.count("*").alias("n_rows")
@@ -156,7 +156,7 @@ def assign_shards(
     bases = shared_table(
         placed.select("slot", "shard", base.alias("base")).coalesce(1), "ring-bases"
     )
-    number = F.row_number().over(Window.partitionBy("slot").orderBy("key", "doc_id"))
+    number = F.row_number().over(Window.partitionBy("slot").orderBy("key", "doc_id", "text_crc32", "size"))
     numbered = rows.withColumn("slot", _slot()).withColumn("number", number)
     return numbered.join(F.broadcast(bases), "slot").select(
         "doc_id",

@@ -113,6 +113,17 @@ def test_one_more_shard_moves_little(spark):
     assert 1 / 9 - 0.02 < moved < 0.3  # a plain hash would move 8 of 9
 
 
+def test_an_id_of_many_rows_is_spread(spark):
+    texts = [f"text {i} " * 20 for i in range(9000)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    found = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA), 8).collect()
+    assert len(found) == len(rows)
+    loads = np.zeros(8)
+    for r in found:
+        loads[r.shard] += r["size"]
+    assert loads.max() <= loads.mean() * (1 + sharding.EPSILON) + max(r["size"] for r in found) * 4
+
+
 def test_ring_has_every_slot_and_all_shards(spark):
     rows = sharding.ring(spark, 5, 16).collect()
     assert sorted(r.slot for r in rows) == list(range(sharding.SLOTS))

@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from halfspace.llm.common import documents, hot_join, one_row_each, shared_table, slices
@@ -51,10 +51,10 @@ def fingerprint(text: bytes, words: int = SHINGLE) -> int:
     starts = (ends - lengths)[: len(found) - size + 1].tolist()
     ends = ends[size - 1 :].tolist()
     ones = np.zeros(BITS, np.int64)
-    digest = xxhash.xxh64_intdigest
+    hashed = xxhash.xxh64_intdigest
     for at in range(0, len(starts), BLOCK):
         spans = zip(starts[at : at + BLOCK], ends[at : at + BLOCK], strict=True)
-        hashes = np.array([digest(joined[s:e], SEED) for s, e in spans], "<u8")
+        hashes = np.array([hashed(joined[s:e], SEED) for s, e in spans], "<u8")
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
     over_half = ones * 2 > len(starts)
@@ -67,20 +67,34 @@ def mixed(prints: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """doc_id, ``print`` (the fingerprint's bits as a bigint) and ``node`` of each row."""
+def digest(text: Column) -> Column:
+    """SHA-256 of a text's bytes; NULL stays NULL."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def fingerprints(docs: DataFrame, words: int = SHINGLE, digests: bool = False) -> DataFrame:
+    """doc_id, ``print`` (the fingerprint's bits as a bigint) and ``node`` of each row.
+
+    With ``digests``, also ``sha``, the digest of its text.
+    """
+    more = ["sha"] if digests else []
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             texts = part.column("text").to_pylist()
             prints = np.array([fingerprint(t or b"", words) for t in texts], np.uint64)
             yield pa.record_batch(
-                [part.column("doc_id"), prints.view(np.int64), mixed(prints).view(np.int64)],
-                names=["doc_id", "print", "node"],
+                [part.column("doc_id"), prints.view(np.int64), mixed(prints).view(np.int64)]
+                + [part.column(name) for name in more],
+                names=["doc_id", "print", "node", *more],
             )
 
-    raw = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("binary"))
-    return raw.mapInArrow(rows, "doc_id bigint, print bigint, node bigint")
+    text = F.col("text")
+    raw = docs.select(
+        F.col("doc_id").cast("bigint"), text.cast("binary"), digest(text).alias("sha")
+    ).select("doc_id", "text", *more)
+    kinds = ["doc_id bigint", "print bigint", "node bigint", *(f"{name} binary" for name in more)]
+    return raw.mapInArrow(rows, ", ".join(kinds))
 
 
 def block_layout(count: int, distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -189,21 +203,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, tile: int = TILE) -> Data
     return met.mapInArrow(_linked(distance), "a bigint, b bigint").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE
-) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row.
-
-    Rows whose fingerprints differ in at most ``distance`` bits are linked;
-    ``component_id`` is the smallest id reachable over links, the row's own included.
-
-    NULL, empty and blank texts have fingerprint zero and are linked as any other. A row
-    without an id is linked, but its id is not a candidate for the smallest, unless the
-    component has no other (then ``component_id`` is NULL). Equal texts and rows that
-    repeat an id are rows of one component. Other columns are ignored; an empty table
-    gives an empty result.
-    """
-    rows = shared_table(fingerprints(docs, words), "prints")
+def _classes(docs: DataFrame, words: int, distance: int, digests: bool = False) -> DataFrame:
+    """The fingerprints of every row, with its component's ``label`` and ``component_id``."""
+    rows = shared_table(fingerprints(docs, words, digests), "prints")
     nodes = shared_table(
         rows.groupBy("print", "node").agg(F.count("*").alias("n"), F.min("doc_id").alias("least")),
         "nodes",
@@ -223,10 +225,29 @@ def near_duplicates(
         "smallest",
     )
     of_node = shared_table(
-        hot_join(labelled, smallest, ["label"], "n_nodes").select("node", "n", "component_id"),
+        hot_join(labelled, smallest, ["label"], "n_nodes").select(
+            "node", "n", "label", "component_id"
+        ),
         "classes",
     )
-    return hot_join(rows, of_node, ["node"], "n").select(
+    return hot_join(rows, of_node, ["node"], "n")
+
+
+def near_duplicates(
+    docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE
+) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row.
+
+    Rows whose fingerprints differ in at most ``distance`` bits are linked;
+    ``component_id`` is the smallest id reachable over links, the row's own included.
+
+    NULL, empty and blank texts have fingerprint zero and are linked as any other. A row
+    without an id is linked, but its id is not a candidate for the smallest, unless the
+    component has no other (then ``component_id`` is NULL). Equal texts are rows of one
+    component; rows that repeat an id lie where their texts do. Other columns are ignored;
+    an empty table gives an empty result.
+    """
+    return _classes(docs, words, distance).select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
@@ -236,12 +257,18 @@ def keep_representatives(
 ) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their component, with all columns.
 
-    One row stays for each component: of rows that repeat the smallest id, one; a
-    component whose rows all lack an id keeps one of them.
+    One row stays for each component, whatever the ids: of rows that repeat the smallest
+    id, or of a component whose rows all lack one, the one whose text has the smallest
+    digest. Components are told apart by their label, and rows by id and digest.
     """
-    classes = near_duplicates(docs, words, distance)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return one_row_each(docs, kept, {"component_id": F.col("doc_id")})
+    classes = _classes(docs, words, distance, digests=True)
+    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = first.groupBy("label", "component_id").agg(F.min(F.struct("sha")).alias("least"))
+    return one_row_each(
+        docs,
+        kept.select(F.col("component_id").alias("doc_id"), F.col("least.sha").alias("sha")),
+        {"doc_id": F.col("doc_id").cast("bigint"), "sha": digest(F.col("text"))},
+    )
 
 
 def op6_simhash(spark, sf_dir: str) -> DataFrame:

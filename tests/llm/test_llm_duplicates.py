@@ -187,6 +187,24 @@ def test_keep_representatives_keeps_one_row_each(spark):
     assert kept.where("doc_id IS NULL").count() == 1
 
 
+def test_representatives_are_chosen_by_component_not_by_id(spark):
+    dice = random.Random(4)
+    text = lambda: " ".join("".join(dice.choices("abcdefgh", k=6)) for _ in range(200))
+    named, *lonely = [text() for _ in range(6)]
+    repeated = [text() for _ in range(5)]
+    copied = text()
+    rows = [(1, named), (None, named + "\n")]  # a copy without an id goes
+    rows += [(None, t) for t in lonely] + [(None, lonely[0] + " ")]
+    rows += [(7, t) for t in repeated] + [(7, repeated[0])]
+    rows += [(3, copied), (7, copied + "\t")]  # 7 goes where 3 is, and stays elsewhere
+    rows += [(9, None), (9, ""), (None, " ")]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    kept = [(r.doc_id, (r.text or "").strip()) for r in simhash.keep_representatives(docs).collect()]
+    expected = [(1, named), (3, copied), (9, "")]
+    expected += [(None, t) for t in lonely] + [(7, t) for t in repeated]
+    assert sorted(kept, key=str) == sorted(expected, key=str)
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     dice = random.Random(2)
     ids = [dice.getrandbits(63) for _ in range(300)]

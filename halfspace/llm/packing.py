@@ -13,6 +13,7 @@ The tokens are those of a byte-level BPE given as a tokenizer file.
 from __future__ import annotations
 
 import json
+import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -40,7 +41,11 @@ COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "off
 
 
 class Tokenizer:
-    """The ids of a byte-level BPE, without special tokens.
+    """The ids of a byte-level BPE.
+
+    ``encode`` gives what the tokenizer file's library gives by default when it adds no
+    special tokens: the file's added tokens are cut out of the text wherever it holds
+    them, and each is one id. ``ids`` and ``exact`` take such a token as plain text.
 
     The vocabulary is read from the tokenizer file. Its merges are listed by the id they
     make, so an id is also a rank, and the ranks are handed to tiktoken, which merges in
@@ -53,7 +58,8 @@ class Tokenizer:
 
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {token["content"] for token in model.get("added_tokens", [])}
+        added = model.get("added_tokens", [])
+        special = {token["content"]: token["id"] for token in added}
         byte_of = _printable_bytes()
         ranks = {
             bytes(byte_of[c] for c in token): number
@@ -61,10 +67,37 @@ class Tokenizer:
             if token not in special
         }
         self.path = path
+        self.special = special
+        # The longest first, as of several that begin at one place the library takes it.
+        longest = sorted(special, key=len, reverse=True)
+        self.cut = re.compile(f"({'|'.join(map(re.escape, longest))})") if special else None
+        # Tokens that also take white space, or whole words only, are left to the library.
+        options = ("single_word", "lstrip", "rstrip", "normalized")
+        self.simple = not any(token.get(option) for token in added for option in options)
         self.fast = tiktoken.Encoding(
             "vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         )
-        self.slow = None
+        self.slow = self.default = None
+
+    def encode(self, text: str) -> list[int]:
+        if not self.cut or (self.simple and not self.cut.search(text)):
+            return self.ids(text)
+        if not self.simple:
+            return self._by_default(text)
+        out = []
+        for piece in self.cut.split(text):
+            if piece in self.special:
+                out.append(self.special[piece])
+            elif piece:
+                out += self.ids(piece)
+        return out
+
+    def _by_default(self, text: str) -> list[int]:
+        if self.default is None:
+            from tokenizers import Tokenizer as Library
+
+            self.default = Library.from_file(self.path)
+        return self.default.encode(text, add_special_tokens=False).ids
 
     def ids(self, text: str) -> list[int]:
         try:
@@ -184,7 +217,8 @@ def pack(
     """Pieces of documents in sequences: doc_id, start, length, ids, doc_tokens,
     sequence_id and offset; ``ids`` are little-endian unsigned 32-bit numbers.
 
-    A document is the ids of its text and then ``END_ID``. Each id lies in exactly one
+    A document is the ids of its text and then ``END_ID``. An added token of the
+    vocabulary file that a text spells out is that token's id. Each id lies in exactly one
     piece. A sequence holds at most ``window`` ids.
 
     A NULL or empty text is the end id alone. Rows are packed as they come: a row
@@ -203,7 +237,7 @@ def pack(
             for part in slices(batches, "text"):
                 rows = zip(*(part.column(c).to_pylist() for c in ("doc_id", "text")), strict=True)
                 for doc_id, text in rows:
-                    ids = _little_endian(tokenizer.ids(text) if text else [])
+                    ids = _little_endian(tokenizer.encode(text) if text else [])
                     ids.append(END_ID)
                     yield from packer.add(doc_id, 0, ids, len(ids))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -72,6 +74,45 @@ def test_tokenizer_agrees_with_the_file_s_library(vocabulary):
         assert tokenizer.ids(text) == tokenizer.exact(text) == encode(text)[:-1]
 
 
+def by_default(path):
+    """The ids by the contract: the library's own settings, without adding special tokens."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, packing.END_ID]
+
+
+SPELLED_OUT = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>  x", "<|endoftext|",
+               "two  \n<|endoftext|>\n\n" * 40, " " * 5000 + "<|endoftext|>don't", "<|<|endoftext|>|>"]
+
+
+def test_added_tokens_in_texts_are_ids(spark, vocabulary):
+    encode = by_default(vocabulary[0])
+    assert encode(SPELLED_OUT[0])[:-1] == [64, 220, 50256, 275]
+    docs = spark.createDataFrame([*enumerate(SPELLED_OUT)], SCHEMA)
+    documents, _ = unpacked(packing.pack(docs, *vocabulary, window=64).collect())
+    assert documents == {i: encode(text) for i, text in enumerate(SPELLED_OUT)}
+
+
+def test_added_tokens_are_ids_when_the_fast_library_gives_up(vocabulary, monkeypatch):
+    tokenizer = packing.Tokenizer(*vocabulary)
+    monkeypatch.setattr(tokenizer, "fast", None)
+    encode = by_default(vocabulary[0])
+    for text in [*SPELLED_OUT, "plain words"]:
+        assert tokenizer.encode(text) == encode(text)[:-1]
+
+
+@pytest.mark.parametrize("option", ["single_word", "lstrip", "rstrip", "normalized"])
+def test_options_of_added_tokens_are_followed(vocabulary, tmp_path, option):
+    model = json.loads(Path(vocabulary[0]).read_text(encoding="utf-8"))
+    model["added_tokens"][0][option] = True
+    path = tmp_path / "vocabulary.json"
+    path.write_text(json.dumps(model), encoding="utf-8")
+    tokenizer, encode = packing.Tokenizer(str(path), vocabulary[1]), by_default(str(path))
+    for text in [*SPELLED_OUT, "x<|endoftext|>y"]:
+        assert tokenizer.encode(text) == encode(text)[:-1]
+
+
 def test_packer_places_best_fit_and_emits_the_fullest():
     packer = packing.Packer(10, 2, least_cut=3)
     ids = packing.array("I", range(10))

@@ -120,12 +120,11 @@ TABLE = [
     (7, 0.0, 5, 1.0, 6, 0.0, NEUTRAL, 0),
 ]
 
-# Elements without readable content, elements that end a text block, and
-# names that sites use for parts of a page.
-DROPPED = (
-    "script style noscript template title svg math iframe object canvas audio video "
-    "select textarea button"
-)
+# Elements without readable content (of the first, what follows is no markup
+# until they are closed), elements that end a text block, and names that sites use for parts
+# of a page.
+RAW = "script style textarea"
+DROPPED = "noscript template title svg math iframe object canvas audio video select button"
 BLOCKS = set(
     "address article aside blockquote body br caption center dd details dialog dir div dl dt "
     "fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend "
@@ -146,6 +145,13 @@ BOILERPLATE_NAMES = set(
     "sponsor sponsored subscribe subscription tags teaser toolbar topbar trending widget widgets"
     .split()
 )
+# What a part of a name that follows one of these says is not what the element is.
+QUALIFIERS = set("with without has have no not hide show".split())
+# A compound that begins with one of these is one of many beside the text, as comment-body.
+ITEM_NAMES = set(
+    "ad ads advert comment comments promo promoted recommended related replies reply respond "
+    "sponsored teaser".split()
+)
 WEAK_NAMES = set("header masthead form search alert message topnav".split())
 ROLES = {
     "main": MAIN, "article": MAIN, "navigation": BOILERPLATE, "banner": BOILERPLATE,
@@ -157,14 +163,25 @@ VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col"
 # A "<" without its own ">" is text, unless it has quoted attributes. No tag is looked for
 # beyond the next "<", so that many of them take no longer than as much text.
 ATTRIBUTES = r"(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+"
+COMMENT = r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+RAW_ELEMENT = r"<(" + "|".join(RAW.split()) + r")(?=[\s/>])" + ATTRIBUTES + r">.*?(?:</\1\s*+>|\Z)"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(DROPPED.split()) + r")(?=[\s/>])" + ATTRIBUTES + r">.*?(?:</\1\s*+>|\Z)"
+    f"{COMMENT}|{RAW_ELEMENT}"
     r"|<(/?)([a-z][a-z0-9:-]*+)(" + ATTRIBUTES + r")(?:>|(?:(?<=[\"'])|(?<=[\"']\s))(?=<))"
     r"|<(/?)([a-z][a-z0-9:-]*+)([^<>]*+)>"
     r"|<[!?/][^>]*+(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
+DROPPED_TAGS = set(DROPPED.split())
+DROPPED_TAG = re.compile(
+    f"{COMMENT}|{RAW_ELEMENT}"
+    r"|<(/?)(" + "|".join(DROPPED.split()) + r")(?=[\s/>])" + ATTRIBUTES + ">",
+    re.IGNORECASE | re.DOTALL,
+)
+BOUNDARY = re.compile(
+    f"{COMMENT}|{RAW_ELEMENT}|(</?(?:" + "|".join(sorted(BLOCKS - {"option"})) + r")(?=[\s/>]))",
+    re.IGNORECASE | re.DOTALL,
+)
 ATTRIBUTE = re.compile(
     r"([a-z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE
 )
@@ -172,10 +189,18 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
-def _place(tag: str, attributes: str) -> tuple[int, bool]:
-    """Where an element puts its blocks (NEUTRAL: no change), and whether for good.
+# How an element's place gives way to elements inside it: to any that has a place, to
+# content tags only, or to none.
+OPEN, TAGS_ONLY, SETTLED = range(3)
+
+
+def _place(tag: str, attributes: str) -> tuple[int, bool, int]:
+    """Where an element puts its blocks (NEUTRAL: no change), whether that is weak, and to
+    what it gives way.
 
-    What is weak, such as a form around a whole page, gives way to content inside it.
+    What is weak, such as a form around a whole page, gives way to content inside it. A
+    word for boilerplate that is but part of a compound name gives way to content tags,
+    and says nothing about an element that is content by its tag or by a whole name.
     """
     place, weak = NEUTRAL, False
     if tag in CONTENT_TAGS:
@@ -184,25 +209,83 @@ def _place(tag: str, attributes: str) -> tuple[int, bool]:
         place = BOILERPLATE
     elif tag in WEAK_TAGS:
         place, weak = BOILERPLATE, True
+    level = SETTLED if place == BOILERPLATE and not weak else OPEN
     if not attributes.strip() or tag in ("html", "body"):
-        return place, weak
+        return place, weak, level
     given = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in given or HIDDEN.search(given.get("style", "")):
-        return BOILERPLATE, False
-    place = ROLES.get(given.get("role", "").lower(), place)
-    names = NAME.findall(f"{given.get('class', '')} {given.get('id', '')}")
-    names = {name.lower() for name in names}
-    whole = set(f"{given.get('class', '')} {given.get('id', '')}".lower().split())
-    if (names | whole) & BOILERPLATE_NAMES:
+        return BOILERPLATE, False, SETTLED
+    role = given.get("role", "").lower()
+    if role in ROLES:
+        place = ROLES[role]
+        level = SETTLED if place == BOILERPLATE and not weak else OPEN
+    whole = f"{given.get('class', '')} {given.get('id', '')}".split()
+    compounds = [[part.lower() for part in NAME.findall(name)] for name in whole]
+    whole = {name.lower() for name in whole} | {c[0] for c in compounds if len(c) == 1}
+    if whole & BOILERPLATE_NAMES:
         # A page's own content element may be named after its kind, such as post-with-sidebar.
-        return (place, False) if tag == "main" else (BOILERPLATE, False)
-    if place == NEUTRAL and (names | whole) & WEAK_NAMES:
-        return BOILERPLATE, True
+        return (place, False, level) if tag == "main" else (BOILERPLATE, False, SETTLED)
+    names = whole.union(*compounds)
+    said = {
+        part
+        for c in compounds
+        for before, part in zip(["", *c], c, strict=False)
+        if part in BOILERPLATE_NAMES and before not in QUALIFIERS
+    }
+    item = any(c and c[0] in ITEM_NAMES for c in compounds)
+    named = bool(whole & CONTENT_NAMES)
+    for_content = named + (place == MAIN)
+    if said and tag != "main" and for_content < 1 + item:
+        alone = place == BOILERPLATE and not weak or item and not for_content
+        return BOILERPLATE, False, SETTLED if alone else TAGS_ONLY
+    if place == NEUTRAL and (names if not named else whole) & WEAK_NAMES:
+        return BOILERPLATE, True, OPEN
     if given.get("itemprop", "").lower() == "articlebody" or (
-        place == NEUTRAL and (names | whole) & CONTENT_NAMES
+        place == NEUTRAL and names & CONTENT_NAMES
     ):
-        return MAIN, False
-    return place, weak
+        return MAIN, False, OPEN
+    return place, weak, level
+
+
+def _is_content(tag: str, attributes: str) -> bool:
+    """Whether an element is content by its tag or role, whatever its names say."""
+    if tag in CONTENT_TAGS:
+        return True
+    if "role" not in attributes.lower():
+        return False
+    roles = [m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes) if m[1].lower() == "role"]
+    return any(ROLES.get(role.lower()) == MAIN for role in roles)
+
+
+def dropped_ends(page: str) -> dict[int, int]:
+    """Where each dropped element ends that is open, by the end of its opening tag.
+
+    An element ends at its own closing tag. One without ends at the next tag that ends a
+    text block, and one that is closed in its opening tag (svg, math) at once; so does
+    any other that is written so and has no closing tag.
+    """
+    ends: dict[int, int] = {}
+    unclosed: dict[str, list[tuple[int, bool]]] = {}
+    for token in DROPPED_TAG.finditer(page):
+        if not token[3]:
+            continue
+        tag, at = token[3].lower(), token.end()
+        empty = page[at - 2] == "/"
+        if token[2]:
+            if unclosed.get(tag):
+                ends[unclosed[tag].pop()[0]] = at
+        elif empty and tag in ("svg", "math"):
+            ends[at] = at
+        else:
+            unclosed.setdefault(tag, []).append((at, empty))
+    left = sorted(found for several in unclosed.values() for found in several)
+    boundary = -1
+    for at, empty in left:
+        if not empty and boundary < at:
+            found = (m.start() for m in BOUNDARY.finditer(page, at) if m[2])
+            boundary = next(found, len(page))
+        ends[at] = at if empty else boundary
+    return ends
 
 
 @dataclass
@@ -216,8 +299,8 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The text blocks of a page in order, those without words left out."""
     found: list[Block] = []
-    # Open containers: tag, place of their blocks, whether that is settled.
-    stack: list[tuple[str, int, bool]] = []
+    # Open containers: tag, place of their blocks, to what that gives way.
+    stack: list[tuple[str, int, int]] = []
     opened: Counter[str] = Counter()
     text: list[str] = []
     linked: list[str] = []
@@ -242,7 +325,8 @@ def blocks(page: str) -> list[Block]:
                 linked.append(piece)
 
     at = 0
-    for token in TOKEN.finditer(page):
+    ends: dict[int, int] | None = None
+    while token := TOKEN.search(page, at):
         add(page[at : token.start()])
         at = token.end()
         name = token[3] or token[6]
@@ -251,6 +335,13 @@ def blocks(page: str) -> list[Block]:
                 add(" ")
             continue
         tag, closing = name.lower(), bool(token[2] or token[5])
+        if tag in DROPPED_TAGS:
+            if not closing:
+                add(" ")
+                if ends is None:
+                    ends = dropped_ends(page)
+                at = ends.get(at, at)
+            continue
         if tag == "a":
             in_link = not closing
             continue
@@ -270,15 +361,14 @@ def blocks(page: str) -> list[Block]:
                 opened[inner] -= 1
             continue
         opened[tag] += 1
-        before, settled = (stack[-1][1], stack[-1][2]) if stack else (NEUTRAL, False)
-        if settled:
-            stack.append((tag, before, True))
+        before, settled = (stack[-1][1], stack[-1][2]) if stack else (NEUTRAL, OPEN)
+        attributes = token[4] or token[7] or ""
+        if settled == SETTLED or (settled == TAGS_ONLY and not _is_content(tag, attributes)):
+            stack.append((tag, before, settled))
             continue
-        own, weak = _place(tag, token[4] or token[7] or "")
+        own, weak, settled = _place(tag, attributes)
         if own == NEUTRAL or (own == BOILERPLATE and weak and before == MAIN and tag == "header"):
-            own, settled = before, False
-        else:
-            settled = own == BOILERPLATE and not weak
+            own, settled = before, OPEN
         stack.append((tag, own, settled))
     add(page[at:])
     end_block()

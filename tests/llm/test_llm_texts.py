@@ -266,6 +266,54 @@ def test_pages_without_marked_content():
     assert page_text.main_text(deep, tree).startswith("xxxxxxxxxx words")
 
 
+@pytest.mark.parametrize(("markup", "text"), [
+    ('<p>one <svg width="1" height="1"/> two</p><p>three four</p>', "one two three four"),
+    ("<p>one <math/> two</p>", "one two"),
+    ("<p>one <iframe src=x/> two</p><p>three</p>", "one two three"),
+    ("<p>one <iframe src=http://x.org/>lost</iframe> two</p>", "one two"),
+    ("<p>one <button>lost</p><p>two</p><button>lost</button><p>three</p>", "one two three"),
+    ("<p>one <select><option>lost<option>lost</p><p>two</p>", "one two"),
+    ("<p>one<!--> two</p><!---><p>three</p><!-- lost --!><p>four</p>", "one two three four"),
+    ("<svg><svg><text>lost</text></svg><text>lost</text></svg><p>one</p>", "one"),
+    ("<p>one</p><noscript><p>lost</p></noscript><p>two</p>", "one two"),
+    ("<p>one <button>lost <script>'<p>'</script> lost<p>two</p>", "one two"),
+    ("<p>one <svg>lost<!-- </svg> --> lost</svg> two</p>", "one two"),
+])
+def test_dropped_elements_end(markup, text):
+    assert page_text.main_text(f"<article>{markup}</article>", page_text.train()) == text
+
+
+@pytest.mark.parametrize("opening", [
+    "article class='post type-post category-social'", "article class='post tag-login'",
+    "article class='category-social'", "article class='post comments-open'", "main class='menu-open'",
+    "div id='content' class='content-with-sidebar'", "div class='content-with-sidebar'",
+    "div id='content' class='search-results'", "div class='layout-sidebar'><article",
+    "div class='layout-sidebar'><div role='main'",
+])
+def test_parts_of_names_do_not_outweigh_content(opening):
+    page = f"<html><body><{opening}><p>one two three</p><p>four five</p>"
+    assert page_text.main_text(page, page_text.train()) == "one two three four five"
+
+
+@pytest.mark.parametrize("opening", [
+    "div class='sidebar'><article", "article class='comment-body'", "article id='comment-12'",
+    "div class='related-posts'><article class='post'", "div class='cookie-banner'><div class='content'",
+    "div class='post-sidebar'", "nav class='post main-nav'", "article class='teaser'",
+    "div class='content comment-content'", "div hidden><article",
+])
+def test_boilerplate_stays_boilerplate(opening):
+    page = f"<body><main><p>one two</p><{opening}><p>three four five six</p>"
+    assert page_text.main_text(page, page_text.train()) == "one two"
+
+
+def test_dropped_elements_take_linear_time():
+    tree = page_text.train()
+    for many in ("<button>", "<svg><button>", "<svg/>", "<iframe></p><svg>", "</svg>"):
+        started = time.perf_counter()
+        page_text.main_text("<article>" + many * (400_000 // len(many)), tree)
+        assert time.perf_counter() - started < 10
+
+
 def test_unfinished_tags_and_their_cost():
     tree = page_text.train()
 

@@ -1,9 +1,10 @@
 """Licences by sparse TF-IDF cosine to templates, inherited along directories.
 
-A file's header passages (sentences and lines that use a word of the licence vocabulary)
-and the whole texts of licence files are compared with the templates below, each as a
-sparse TF-IDF vector. A passage without such a word has cosine near zero to all
-templates, so it is never compared. A file without a licence of its own inherits that of
+A file's header passages (its lines, and its sentences and pairs of them with wrapped lines
+joined) and the whole texts of licence files are compared with the templates below, each as a
+sparse TF-IDF vector. Passages without a cue, a token that all
+passages close enough to a template have one of, are not compared. Whole licence files are also
+compared with the licences' full texts, and SPDX identifiers are looked up. A file without a licence of its own inherits that of
 the nearest ancestor directory that has a licence file; ancestors are found by joins on
 paths. Only DataFrame operations are used.
 """
@@ -12,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,11 +71,10 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "Copyright. All rights reserved. No part may be reproduced."],
 }
 
-# A passage has one of these, lower-cased, or is not compared.
-CUES = (
-    "licen", "copyright", "all rights reserved", "redistribut", "public domain",
-    "free software", "free of charge", "under cc", "creative commons", "spdx",
-)
+# Identifiers that stand for a licence beside its own name.
+SPDX_ENDINGS = ("", "+", "-only", "-or-later")
+SPDX_NAMES = [*TEMPLATES, "BSD-2-Clause", "GPL-1.0", "GPL-2.0", "LGPL-2.0", "LGPL-2.1", "MPL-1.1", "ISC"]
+SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\n\r]*)"
 
 # Names of files whose whole text is a licence.
 LICENSE_FILE = r"(?i)^(un)?(licen[cs]e|copying|notice|copyright)([.-].*)?$"
@@ -84,60 +85,215 @@ MOSTLY = 0.8
 # Cosine from which a template names the licence.
 LEAST_COSINE = 0.6
 
+# How a passage was cut out of its text.
+LINES, SENTENCES, PAIRS, WHOLE = range(4)
+
+# Tokens that most texts have, the commonest first; they are no cues if the
+# rest of a template will do.
+COMMON = (
+    "the of and to a in is this for that on it with as you may be by or not are have been at "
+    "from no all any 1 2 3 4 0 work under part use free person copy following terms source form "
+    "subject v version program library without conditions provided public international now up"
+).split()
+
+# What section 13 of the Affero licence adds to the GPL's.
+AFFERO = (
+    "13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any "
+    "other provision of this License, if you modify the Program, your modified version must "
+    "prominently offer all users interacting with it remotely through a computer network (if your "
+    "version supports such interaction) an opportunity to receive the Corresponding Source of your "
+    "version by providing access to the Corresponding Source from a network server at no charge, "
+    "through some standard or customary means of facilitating copying of software."
+)
+
 TOKEN = r"[^a-z0-9]+"
 PASSAGE = r"\n|(?<=[.!?;])[ \t\r\x0b\x0c]+"
+# A line without letters and digits, such as a bare comment sign, ends a paragraph.
+PARAGRAPH = r"\n(?:[^\p{L}\p{N}\n]*\n)+"
+SENTENCE = r"(?<=[.!?;])[ \t\r\x0b\x0c\n]+"
 
 
 def _tokens(text: str) -> list[str]:
     return "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()
 
 
-def template_vectors() -> tuple[list[tuple[str, int, str, float, float]], float]:
-    """Rows (license, template, token, unit weight, idf), and the idf of unknown tokens."""
-    texts = [(name, i, _tokens(t)) for name, ts in TEMPLATES.items() for i, t in enumerate(ts)]
+def full_texts() -> dict[str, list[str]]:
+    """The whole texts of licences, as files named LICENSE or COPYING hold them."""
+    folder = resources.files("halfspace.llm").joinpath("license_texts")
+    texts = {
+        file.name.removesuffix(".txt"): [file.read_text(encoding="utf-8")]
+        for file in sorted(folder.iterdir(), key=lambda f: f.name)
+        if file.name.endswith(".txt")
+    }
+    # The Affero licence is the GPL's text but for its name and section 13.
+    gpl = texts["GPL-3.0"][0].replace("GENERAL PUBLIC", "AFFERO GENERAL PUBLIC")
+    gpl = gpl.replace("GNU General Public", "GNU Affero General Public")
+    texts["AGPL-3.0"] = [f"{gpl}\n{AFFERO}"]
+    return texts
+
+
+def template_vectors(
+    templates: dict[str, list[str]] | None = None, damped: bool = False
+) -> tuple[list[tuple[str, int, str, float, float]], float]:
+    """Rows (license, template, token, unit weight, idf), and the idf of unknown tokens.
+
+    ``damped`` counts a token 1 + ln(tf) times, so that in long texts its words tell, not
+    how often the commonest of them is used.
+    """
+    templates = TEMPLATES if templates is None else templates
+    texts = [(name, i, _tokens(t)) for name, ts in templates.items() for i, t in enumerate(ts)]
     n = len(texts)
     seen = Counter(token for *_, tokens in texts for token in set(tokens))
     idf = {token: math.log((1 + n) / (1 + df)) + 1 for token, df in seen.items()}
     rows = []
     for name, i, tokens in texts:
-        weights = {t: c * idf[t] for t, c in Counter(tokens).items()}
+        counts = Counter(tokens).items()
+        weights = {t: (1 + math.log(c) if damped else c) * idf[t] for t, c in counts}
         length = math.sqrt(sum(w * w for w in weights.values()))
         rows += [(name, i, t, w / length, idf[t]) for t, w in sorted(weights.items())]
     return rows, math.log(1 + n) + 1
 
 
-def _cued(text: Column) -> Column:
-    lower = F.lower(text)
-    found = F.lit(False)
-    for cue in CUES:
-        found = found | F.contains(lower, F.lit(cue))
-    return found
+def cues() -> list[str]:
+    """Tokens of which every passage that reaches ``LEAST_COSINE`` has at least one.
+
+    A passage's cosine to a template is at most the length of the template's unit vector
+    over the tokens they share. So of each template the commonest tokens may go whose
+    squares sum to less than ``LEAST_COSINE`` squared, and any of the others is a cue.
+    """
+    vectors: dict[tuple[str, int], list[tuple[float, str, float]]] = {}
+    for name, i, token, weight, idf in template_vectors()[0]:
+        order = COMMON.index(token) if token in COMMON else len(COMMON)
+        vectors.setdefault((name, i), []).append((order, idf, token, weight))
+    found = set()
+    for terms in vectors.values():
+        spared = 0.0
+        for _, _, token, weight in sorted(terms):
+            spared += weight * weight
+            if spared >= LEAST_COSINE**2 - 1e-6:
+                found.add(token)
+    return sorted(found)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _prefilters():
+    """Conditions without which no passage reaches ``LEAST_COSINE``: it has a cue, and its
+    tokens that templates have are long enough beside the others.
+
+    The cosine is at most the length of the passage's unit vector over known tokens. That
+    is bounded by the largest known idf and by one occurrence of each unknown token.
+    """
+    rows, unknown = template_vectors()
+    pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(cues())})(?![a-z0-9])"
+    vocabulary = F.array(*[F.lit(t) for t in sorted({row[2] for row in rows})])
+    largest = max(row[4] for row in rows)
+    least = LEAST_COSINE**2 / (1 - LEAST_COSINE**2) * (unknown / largest) ** 2 * (1 - 1e-6)
+
+    def cued(text: Column) -> Column:
+        return text.rlike(pattern)
+
+    def near(tokens: Column) -> Column:
+        different = F.array_distinct(tokens)
+        known = F.array_intersect(different, vocabulary)
+        squares = F.transform(
+            known, lambda k: F.pow(F.size(F.filter(tokens, lambda t: t == k)).cast("double"), 2.0)
+        )
+        total = F.aggregate(squares, F.lit(0.0), lambda x, y: x + y)
+        return total >= (F.size(different) - F.size(known)) * F.lit(least)
+
+    def close(text: Column) -> Column:
+        tokens = F.filter(F.split(F.lower(text), TOKEN), lambda t: t != "")
+        return cued(text) & _let(tokens, near)
+
+    return cued, close
 
 
 def passages(files: DataFrame) -> DataFrame:
-    """path, named (a licence file by name), share of the text, and passage.
+    """path, named (a licence file by name), cut, share of the text, and passage.
 
-    Of files named so, the whole text is the passage; of others, each cued one is.
+    The text is cut twice: at line ends, and into the sentences of paragraphs whose lines
+    are joined, so that a notice is found whether or not it is wrapped. A further cut
+    (``share`` NULL) has each two sentences that follow one another, for a full stop
+    inside a notice, and a licence file's whole text. Cued passages are kept.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    pieces = F.when(F.col("named"), F.array("text")).otherwise(
-        F.filter(F.split("text", PASSAGE), _cued)
+    cued, close = _prefilters()
+
+    def kept(cut: int, parts: Column) -> Column:
+        chosen = F.filter(parts, close)
+        return F.transform(
+            chosen, lambda x: F.struct(F.lit(cut).alias("cut"), x.alias("passage"))
+        )
+
+    joined = F.flatten(
+        F.transform(F.split("text", PARAGRAPH), lambda x: F.split(x, SENTENCE))
+    )
+    two = lambda x: F.transform(
+        F.sequence(F.lit(1), F.size(x)), lambda i: F.array_join(F.slice(x, i, F.lit(2)), " ")
+    )
+    pairs = F.flatten(
+        F.transform(F.split("text", PARAGRAPH), lambda x: _let(F.split(x, SENTENCE), two))
+    )
+    whole = F.when(
+        F.col("named"),
+        F.array(F.struct(F.lit(WHOLE).alias("cut"), F.col("text").alias("passage"))),
+    ).otherwise(F.array().cast("array<struct<cut:int,passage:string>>"))
+    pieces = F.concat(
+        kept(LINES, F.split("text", PASSAGE)), kept(SENTENCES, joined), kept(PAIRS, pairs), whole
     )
     marked = files.select("path", "text", name.rlike(LICENSE_FILE).alias("named"))
-    found = marked.where(F.col("named") | _cued(F.col("text"))).select(
-        "path", "named", F.length("text").alias("n"), F.explode(pieces).alias("passage")
+    found = marked.where(F.col("named") | cued(F.col("text"))).select(
+        "path", "named", F.length("text").alias("n"), F.explode(pieces).alias("piece")
+    )
+    share = F.when(
+        F.col("piece.cut").isin(LINES, SENTENCES),
+        F.length("piece.passage") / F.greatest("n", F.lit(1)),
     )
-    share = F.length("passage") / F.greatest("n", F.lit(1))
-    return found.select("path", "named", share.alias("share"), "passage")
+    return found.select("path", "named", "piece.cut", share.alias("share"), "piece.passage")
+
+
+def identified(files: DataFrame) -> DataFrame:
+    """path, named, license and similarity 1 of each SPDX identifier that a file gives."""
+    licenses = {
+        f"{name}{ending}".lower(): name
+        for name in SPDX_NAMES
+        if name != "proprietary"
+        for ending in SPDX_ENDINGS
+    }
+    known = F.create_map(*[F.lit(x) for pair in licenses.items() for x in pair])
+    ids = F.flatten(
+        F.transform(
+            F.regexp_extract_all("text", F.lit(SPDX), F.lit(1)),
+            lambda x: F.split(F.lower(x), r"[^a-z0-9.+-]+"),
+        )
+    )
+    name = F.element_at(F.split("path", "/"), -1)
+    found = files.where(F.contains(F.lower("text"), F.lit("spdx-license-identifier:"))).select(
+        "path", name.rlike(LICENSE_FILE).alias("named"), F.explode(ids).alias("id")
+    )
+    license = F.try_element_at(known, F.rtrim(F.col("id"), F.lit(".")))
+    found = found.select("path", "named", license.alias("license"), F.lit(1.0).alias("similarity"))
+    return found.where("license IS NOT NULL")
 
 
-def closest_templates(spark: SparkSession, found: DataFrame) -> DataFrame:
+def closest_templates(
+    spark: SparkSession,
+    found: DataFrame,
+    templates: dict[str, list[str]] | None = None,
+    damped: bool = False,
+) -> DataFrame:
     """passage, its number n, license and similarity, if it is close enough to a template.
 
-    The templates' vectors are a fixed table of some hundred rows, and broadcast. Equal
+    The templates' vectors are a fixed table of some hundred or thousand rows, and broadcast. Equal
     passages are compared once: a notice that a third of all files carry is one row.
     """
-    rows, unknown = template_vectors()
+    rows, unknown = template_vectors(templates, damped)
+    tf = F.col("tf")
+    times = 1 + F.log(tf) if damped else tf
     vectors = spark.createDataFrame(
         rows, "license string, template int, token string, weight double, idf double"
     )
@@ -149,7 +305,7 @@ def closest_templates(spark: SparkSession, found: DataFrame) -> DataFrame:
         .groupBy("passage", "token")
         .agg(F.count("*").alias("tf"))
         .join(idf, "token", "left")
-        .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+        .withColumn("w", times * F.coalesce("idf", F.lit(unknown)))
     )
     lengths = terms.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     dots = (
@@ -203,8 +359,8 @@ def nearest_licensed(directories: DataFrame, licensed: DataFrame) -> DataFrame:
 def scan_licenses(files: DataFrame) -> DataFrame:
     """For each file: path, license, similarity, origin and from_directory.
 
-    ``origin`` is ``own`` (by a passage of the file), ``inherited`` or ``none``. Of several own licences the most similar counts, then the
-    first by name.
+    ``origin`` is ``own`` (by a passage of the file), ``inherited`` or ``none``. Of several own licences that of an identifier or of a
+    licence file's whole text counts first, then the most similar, then the first by name.
 
     A NULL or empty text has no licence of its own. A NULL path is in no directory and
     inherits nothing. Rows that repeat a path are one file with several texts: each row
@@ -215,9 +371,22 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     files = files.select("path", F.coalesce("text", F.lit("")).alias("text"))
     found = shared_table(passages(files.where("path IS NOT NULL")), "passages")
     closest = shared_table(closest_templates(spark, found), "matches")
-    matched = hot_join(found, closest, ["passage"], "n")
-    rank = F.struct((-F.col("similarity")).alias("s"), "license")
-    whole = F.max("named") | (F.sum("share") >= MOSTLY)
+    entire = shared_table(found.where(F.col("cut") == WHOLE), "license-files")
+    texts = shared_table(closest_templates(spark, entire, full_texts(), damped=True), "matches")
+    columns = ["path", "named", "cut", "share", "license", "similarity"]
+    matched = (
+        hot_join(found, closest, ["passage"], "n")
+        .select(*columns)
+        .unionByName(hot_join(entire, texts, ["passage"], "n").select(*columns))
+        .unionByName(identified(files.where("path IS NOT NULL")), allowMissingColumns=True)
+    )
+    # What a whole licence file or an identifier says goes before its single sentences.
+    part = F.coalesce(F.col("cut") != WHOLE, F.lit(False))
+    rank = F.struct(part.alias("part"), (-F.col("similarity")).alias("s"), "license")
+    whole = F.max("named")
+    for cut in (LINES, SENTENCES):
+        held = F.sum(F.when(F.col("cut") == cut, F.col("share")))
+        whole = whole | F.coalesce(held >= MOSTLY, F.lit(False))
     own = shared_table(
         matched.groupBy("path").agg(F.min(rank).alias("best"), whole.alias("whole")),
         "own-licenses",
@@ -229,7 +398,7 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     )
     in_directory = own.where("whole").withColumn("directory", directory_of(F.col("path")))
     licensed = in_directory.groupBy("directory").agg(
-        F.min(F.struct("best.s", "best.license")).getField("license").alias("license")
+        F.min(F.struct("best.part", "best.s", "best.license")).getField("license").alias("license")
     )
     paths = shared_table(
         files.select("path", directory_of(F.col("path")).alias("directory")), "paths"

@@ -395,6 +395,45 @@ def test_licenses_are_found_and_inherited(spark):
     assert scanned(spark, [("a/b", "the word license alone does not license it")])["a/b"][1] == "none"
 
 
+def test_licence_files_headers_and_identifiers(spark):
+    files = []
+    for name, (text,) in licenses.full_texts().items():
+        files += [(f"{name}/COPYING", text), (f"{name}/src/a.py", "pass")]
+    mpl = ("/* This Source Code Form is subject to the terms of the Mozilla Public\n"
+           " * License, v. 2.0. If a copy was not distributed, get one. */\nint main;")
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n"
+           "# it under the terms of the GNU General Public License as published by\n"
+           "# the Free Software Foundation.\n#\n# Other words follow here")
+    files += [("h/mpl.c", mpl), ("h/gpl.py", gpl), ("i/mit.c", "// SPDX-License-Identifier: MIT\nint x;")]
+    files += [("i/apache.c", "/* SPDX-License-Identifier: (Apache-2.0) */"), ("i/zlib.c", "// SPDX-License-Identifier: Zlib")]
+    files += [("i/gpl.c", "# SPDX-License-Identifier: GPL-3.0-or-later."), ("c/LICENSE", "Copyright 2019 Acme Inc. All rights reserved.")]
+    files += [("p/LICENSE", "One reads the words of this page, or of all of them, as a tale by night.")]
+    found = scanned(spark, files)
+    for name in licenses.full_texts():
+        assert found[f"{name}/COPYING"] == (name, "own", None)
+        assert found[f"{name}/src/a.py"] == (name, "inherited", name)
+    names = {path: found[path][0] for path, _ in files[-8:]}
+    assert names == {
+        "h/mpl.c": "MPL-2.0", "h/gpl.py": "GPL-3.0", "i/mit.c": "MIT", "i/apache.c": "Apache-2.0",
+        "i/zlib.c": None, "i/gpl.c": "GPL-3.0", "c/LICENSE": "proprietary", "p/LICENSE": None,
+    }
+
+
+def test_prefilter_skips_nothing_close(spark):
+    dice = random.Random(6)
+    vocabulary = sorted({t for ts in licenses.TEMPLATES.values() for x in ts for t in licenses._tokens(x)})
+    texts = {t for ts in licenses.TEMPLATES.values() for t in ts}
+    for _ in range(3000):  # templates with words left out, repeated and added
+        words = licenses._tokens(dice.choice(sorted(t for ts in licenses.TEMPLATES.values() for t in ts)))
+        words = dice.choices(words, k=dice.randint(1, 12)) + dice.choices([*vocabulary, "foo", "bar", "baz"], k=dice.randint(0, 4))
+        texts.add(" ".join(words))
+    found = spark.createDataFrame([(t,) for t in sorted(texts)], "passage STRING")
+    close = licenses._prefilters()[1]
+    kept = {r.passage for r in found.where(close(F.col("passage"))).collect()}
+    reach = {r.passage for r in licenses.closest_templates(spark, found).collect()}
+    assert len(reach) > 300 and reach <= kept
+
+
 def test_cosines_agree_with_brute_force(spark):
     from collections import Counter
 

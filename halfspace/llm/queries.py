@@ -12,6 +12,7 @@ from halfspace.llm.packing import op4_packing
 from halfspace.llm.page_text import op8_page_text
 from halfspace.llm.quality_crf import op2_quality_classifier
 from halfspace.llm.quality_rules import op9_quality_rules
+from halfspace.llm.repeats import op13_repeated_passages
 from halfspace.llm.sentence_pieces import op7_sentence_pieces
 from halfspace.llm.sharding import op5_sharding
 from halfspace.llm.simhash import op6_simhash
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_text,
         op9_quality_rules,
         op10_license_scan,
+        op13_repeated_passages,
     )
 }
 

@@ -17,6 +17,7 @@ from halfspace.llm.sentence_pieces import op7_sentence_pieces
 from halfspace.llm.sharding import op5_sharding
 from halfspace.llm.simhash import op6_simhash
 from halfspace.llm.toxicity import op1_toxicity
+from halfspace.llm.turn_trie import OP11_SQL, op11_prefix_trie
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -31,8 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_page_text,
         op9_quality_rules,
         op10_license_scan,
+        op11_prefix_trie,
         op13_repeated_passages,
     )
 }
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL}
+ORACLES: dict[str, str] = {"op3_exact_dedup": OP3_SQL, "op11_prefix_trie": OP11_SQL}

@@ -18,6 +18,7 @@ from halfspace.llm.sharding import op5_sharding
 from halfspace.llm.simhash import op6_simhash
 from halfspace.llm.toxicity import op1_toxicity
 from halfspace.llm.turn_trie import OP11_SQL, op11_prefix_trie
+from halfspace.llm.whitening import op12_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     function.__name__: function
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_license_scan,
         op11_prefix_trie,
+        op12_whitening,
         op13_repeated_passages,
     )
 }

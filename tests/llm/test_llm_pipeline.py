@@ -17,7 +17,7 @@ def test_all_queries_are_registered():
     assert {*QUERIES, "pipeline"} <= set(names)
     assert set(ORACLES) <= set(contract.oracle_sql())
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == [*range(1, 12), 13]
+    assert numbers == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")

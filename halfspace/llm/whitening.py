@@ -36,7 +36,11 @@ RANK = 1e-10
 # Quadrature points on the upper half of a circle, rounds, and eigenvalues of an interval.
 POINTS = 12
 ROUNDS = 40
+# Rounds after which the trial vectors are doubled.
+PATIENCE = 6
 MOST_INSIDE = 8
+# Largest ratio of an interval's eigenvalues.
+LONGEST = 8
 # Bytes of vectors that a task turns into numbers at a time.
 SLICE_BYTES = 16 * 1024 * 1024
 
@@ -101,7 +105,7 @@ def intervals(inertia: Inertia, wanted: int, most: int = MOST_INSIDE) -> list[tu
     """(low, high, count) that hold the ``wanted`` largest eigenvalues, and few others.
 
     Ends lie in the middle of gaps. An interval is cut at its widest gap as long as it
-    holds more than ``most`` eigenvalues; equal ones can't be cut.
+    holds more than ``most`` eigenvalues, or some that are far apart; equal ones can't be cut.
     """
     size = len(inertia.diagonal)
     least = 64 * np.finfo(float).eps * size * inertia.bound
@@ -122,7 +126,9 @@ def intervals(inertia: Inertia, wanted: int, most: int = MOST_INSIDE) -> list[tu
     def split(first: int, last: int, low: float, high: float) -> None:
         gaps = [(values[n - 1] - values[n], n) for n in range(first + 1, last)]
         widest, at = max(gaps, default=(0.0, 0))
-        if last - first <= most or widest <= least:
+        # A long interval resolves little at its lower end, so it is cut as well.
+        short = values[first] <= LONGEST * values[last - 1]
+        if (last - first <= most and short) or widest <= least:
             found.append((low, high, inertia.above(low) - inertia.above(high)))
             return
         middle = (values[at - 1] + values[at]) / 2
@@ -149,10 +155,15 @@ def feast(matrix: np.ndarray, low: float, high: float, count: int) -> tuple[np.n
     nodes, weights = np.polynomial.legendre.leggauss(POINTS)
     turns = np.exp(0.5j * np.pi * (1 + nodes))
     one = np.eye(size)
-    trial = np.random.default_rng(0).standard_normal((size, min(size, 2 * count + 4)))
+    dice = np.random.default_rng(0)
+    trial = dice.standard_normal((size, min(size, 2 * count + 4)))
     enough = 16 * np.finfo(float).eps * size * scale
     best = np.inf
-    for _ in range(ROUNDS):
+    for done in range(ROUNDS):
+        if done % PATIENCE == PATIENCE - 1:
+            # Too many values just outside: more trial vectors hold them as well.
+            more = min(size - trial.shape[1], trial.shape[1])
+            trial = np.concatenate([trial, dice.standard_normal((size, more))], axis=1)
         projected = np.zeros_like(trial)
         for turn, weight in zip(turns, weights, strict=True):
             solved = np.linalg.solve((center + radius * turn) * one - matrix, trial.astype(complex))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gallery.registry import query, table
 from halfspace.functions import parse_json
 from halfspace.operators import landing_counts, unlanded_keys
-from halfspace.sinks import replace_partitions
+from halfspace.sinks import replace_partitions, replace_table
 from halfspace.sources import read_table
 from halfspace.streaming import land_new_files
 from halfspace.workspace import fresh_dir
@@ -63,6 +63,24 @@ def landing_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    select 'before' as seen, count(*) as n, cast(sum(o_custkey) as bigint) as total from orders
+    union all
+    select 'after', count(*), cast(sum(o_custkey) as bigint) from orders where o_orderstatus = 'P'
+""")
+def table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced while it is read: the reader's snapshot stays whole."""
+    orders, path = table(spark, sf_dir, "orders"), fresh_dir(spark, "table")
+    replace_table(orders, path)
+    before = read_table(spark, path)
+    replace_table(orders.where(F.col("o_orderstatus") == "P"), path)
+    seen = [
+        rows.agg(F.lit(name).alias("seen"), F.count("*").alias("n"), F.sum("o_custkey").alias("total"))
+        for name, rows in (("before", before), ("after", read_table(spark, path)))
+    ]
+    return seen[0].unionByName(seen[1])
+
+
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files that arrive in two drops, each landed once by the same stream."""

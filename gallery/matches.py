@@ -26,6 +26,7 @@ from halfspace.plans import (
     top_pressers,
 )
 from halfspace.plans.medallion import land_matches, publish_matches
+from halfspace.sinks.versions import current_version
 from halfspace.sources import FileFeed, TableFeed, read_table
 from halfspace.workspace import fresh_dir
 
@@ -258,6 +259,38 @@ def file_landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.groupBy("match_id").agg(F.count("payload").alias("n"))
 
 
+@query("""
+    with played as (
+        select s_suppkey as match_id, case when s_nationkey < 12 then 1 else 2 end as season_id,
+               s_suppkey = (select max(s_suppkey) from supplier) as last
+        from supplier
+    )
+    select season_id, cast(count(distinct l_suppkey) as bigint) as matches, count(l_suppkey) as events,
+           cast(count(distinct last) filter (where l_suppkey is not null) as bigint) as parts,
+           cast(2 as bigint) as versions
+    from played left join lineitem on l_suppkey = match_id group by season_id
+""")
+def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three nightly runs: all matches but one, that one as well, and nothing new.
+
+    The second run's part holds the new match alone, and the third makes no version.
+    """
+    feed, lake = _feed(spark, sf_dir), Lake(fresh_dir(spark, "lake"), SCOPES)
+    key = F.col("document.match_id")
+    last = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey").cast("int")).first()[0]
+    for given in (replace(feed, matches=feed.matches.where(key < last)), feed, feed):
+        run(spark, lake, given)
+    path = lake.path("trusted/events")
+    part = F.regexp_extract(F.input_file_name(), "_part=([^/]+)", 1)
+    events = read_table(spark, path).select("season_id", "match_id", part.alias("part"))
+    return events.groupBy("season_id").agg(
+        F.count_distinct("match_id").alias("matches"),
+        F.count("*").alias("events"),
+        F.count_distinct("part").alias("parts"),
+        F.lit(current_version(spark, path).number).cast("bigint").alias("versions"),
+    )
+
+
 @query("""
     select 11 as competition_id, 1 as season_id, count(*) as matches
     from supplier where s_nationkey < 12

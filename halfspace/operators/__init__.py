@@ -14,9 +14,12 @@ from halfspace.operators.quality import (
     AtLeastRows,
     InRange,
     NotNull,
+    ObservedTally,
     QualityGateError,
     check,
     gate,
+    judge,
+    tally,
 )
 from halfspace.operators.rows import drop_incomplete, top_rows
 
@@ -24,6 +27,7 @@ __all__ = [
     "AtLeastRows",
     "InRange",
     "NotNull",
+    "ObservedTally",
     "QualityGateError",
     "check",
     "density",
@@ -31,11 +35,13 @@ __all__ = [
     "first_listed",
     "flatten",
     "gate",
+    "judge",
     "landing_counts",
     "means_by",
     "only_listed",
     "points_by",
     "share_of_total",
+    "tally",
     "top_groups",
     "top_rows",
     "total_and_mean_by",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from halfspace.functions import present
@@ -22,11 +22,8 @@ class NotNull:
     def name(self) -> str:
         return f"not_null({self.column})"
 
-    def unexpected(self, df: DataFrame) -> Column:
-        return F.count_if(~present(df, self.column))
-
-    def judged(self, df: DataFrame) -> Column:
-        return F.count("*")
+    def flags(self, df: DataFrame) -> tuple[Column, Column]:
+        return ~present(df, self.column), F.lit(True)
 
 
 @dataclass(frozen=True)
@@ -45,12 +42,9 @@ class InRange:
     def name(self) -> str:
         return f"in_range({self.column})"
 
-    def unexpected(self, df: DataFrame) -> Column:
+    def flags(self, df: DataFrame) -> tuple[Column, Column]:
         inside = F.col(self.column).between(self.low, self.high)
-        return F.count_if(present(df, self.column) & ~inside)
-
-    def judged(self, df: DataFrame) -> Column:
-        return F.count_if(present(df, self.column))
+        return present(df, self.column) & ~inside, present(df, self.column)
 
 
 @dataclass(frozen=True)
@@ -65,11 +59,8 @@ class AtLeastRows:
     def name(self) -> str:
         return f"at_least_rows({self.rows})"
 
-    def unexpected(self, df: DataFrame) -> Column:
-        return F.greatest(F.lit(self.rows) - F.count("*"), F.lit(0)).cast("bigint")
-
-    def judged(self, df: DataFrame) -> Column:
-        return F.greatest(F.count("*"), F.lit(self.rows)).cast("bigint")
+    def flags(self, df: DataFrame) -> tuple[Column, Column]:
+        return F.lit(False), F.lit(False)
 
 
 Check = NotNull | InRange | AtLeastRows
@@ -84,6 +75,29 @@ class QualityGateError(Exception):
         super().__init__(f"quality checks failed: {', '.join(failed)}")
 
 
+def _settled(c: Check, rows: Column, bad: Column, judged: Column) -> tuple[Column, Column]:
+    """A check's unexpected and judged rows, from counts over all of its rows."""
+    if isinstance(c, AtLeastRows):
+        short = F.greatest(F.lit(c.rows) - rows, F.lit(0)).cast("bigint")
+        return short, F.greatest(rows, F.lit(c.rows)).cast("bigint")
+    return bad, judged
+
+
+def _entry(c: Check, rows: Column, bad: Column, judged: Column) -> Column:
+    bad, judged = _settled(c, rows, bad, judged)
+    kept = F.try_divide((judged - bad).cast("double"), judged.cast("double"))
+    return F.struct(
+        F.lit(c.name).alias("check"),
+        F.lit(c.column).alias("column"),
+        rows.alias("rows"),
+        judged.alias("nonnull"),
+        bad.alias("unexpected"),
+        F.try_divide(F.lit(100.0) * bad, judged.cast("double")).alias("unexpected_pct"),
+        F.lit(float(c.mostly)).alias("mostly"),
+        F.coalesce(kept >= F.lit(float(c.mostly)), F.lit(True)).alias("success"),
+    )
+
+
 def check(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
     """One report row per check, from a single aggregate over ``df``.
 
@@ -93,24 +107,87 @@ def check(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> Dat
     """
     counters = [F.count("*").alias("rows")]
     for i, c in enumerate(checks):
-        counters += [c.unexpected(df).alias(f"bad_{i}"), c.judged(df).alias(f"judged_{i}")]
-    entries = []
+        bad, judged = c.flags(df)
+        counters += [F.count_if(bad).alias(f"bad_{i}"), F.count_if(judged).alias(f"judged_{i}")]
+    entries = [
+        _entry(c, F.col("rows"), F.col(f"bad_{i}"), F.col(f"judged_{i}"))
+        for i, c in enumerate(checks)
+    ]
+    return df.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*entries)))
+
+
+# --- Checks of a table that grows: counts of its pieces are kept and added up ---------
+
+TALLY = "check STRING, rows BIGINT, bad BIGINT, judged BIGINT"
+# Counts that one pass may take by the way; more are taken by a pass of their own.
+MOST_OBSERVED = 400
+
+
+def tally(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """For each group and check, counts that can be added to those of other rows."""
+    counters = [F.count("*").alias("rows")]
     for i, c in enumerate(checks):
-        bad, judged = F.col(f"bad_{i}"), F.col(f"judged_{i}")
-        kept = F.try_divide((judged - bad).cast("double"), judged.cast("double"))
-        entries.append(
-            F.struct(
-                F.lit(c.name).alias("check"),
-                F.lit(c.column).alias("column"),
-                F.col("rows"),
-                judged.alias("nonnull"),
-                bad.alias("unexpected"),
-                F.try_divide(F.lit(100.0) * bad, judged.cast("double")).alias("unexpected_pct"),
-                F.lit(float(c.mostly)).alias("mostly"),
-                F.coalesce(kept >= F.lit(float(c.mostly)), F.lit(True)).alias("success"),
-            )
+        bad, judged = c.flags(df)
+        counters += [F.count_if(bad).alias(f"bad_{i}"), F.count_if(judged).alias(f"judged_{i}")]
+    counts = [
+        F.struct(
+            F.lit(repr(c)).alias("check"),
+            "rows",
+            F.col(f"bad_{i}").alias("bad"),
+            F.col(f"judged_{i}").alias("judged"),
         )
-    return df.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*entries)))
+        for i, c in enumerate(checks)
+    ]
+    return df.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*counts)))
+
+
+class ObservedTally:
+    """The counts of ``tally``, taken by the pass that writes ``rows``.
+
+    ``groups`` are the values of ``by`` that occur. The counts are there when the pass
+    has ended.
+    """
+
+    def __init__(
+        self, df: DataFrame, checks: Sequence[Check], by: Sequence[str], groups: Sequence[tuple]
+    ):
+        self.checks, self.by, self.groups = checks, by, groups
+        self.observation = Observation()
+        counters = []
+        for g, group in enumerate(groups):
+            mine = F.lit(True)
+            for column, value in zip(by, group, strict=True):
+                mine = mine & F.col(column).eqNullSafe(F.lit(value))
+            counters.append(F.count_if(mine).alias(f"rows_{g}"))
+            for i, c in enumerate(checks):
+                bad, judged = c.flags(df)
+                counters.append(F.count_if(mine & bad).alias(f"bad_{g}_{i}"))
+                counters.append(F.count_if(mine & judged).alias(f"judged_{g}_{i}"))
+        self.rows = df.observe(self.observation, *counters)
+
+    def entries(self) -> list[tuple]:
+        """For each group and check, the group and the columns of ``TALLY``."""
+        counts = self.observation.get
+        return [
+            (*group, repr(c), counts[f"rows_{g}"], counts[f"bad_{g}_{i}"], counts[f"judged_{g}_{i}"])
+            for g, group in enumerate(self.groups)
+            for i, c in enumerate(self.checks)
+        ]
+
+
+def judge(tallies: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+    """The report of ``check``, from the tallies of all pieces of a table.
+
+    As there, a group without rows has no report.
+    """
+    sums = [F.sum(name).alias(name) for name in ("rows", "bad", "judged")]
+    added = tallies.groupBy(*by, "check").agg(*sums)
+    entry = F.lit(None)
+    for c in checks:
+        mine = F.col("check") == repr(c)
+        entry = F.when(mine, _entry(c, F.col("rows"), F.col("bad"), F.col("judged"))).otherwise(entry)
+    wanted = added.where("rows > 0").where(F.col("check").isin([repr(c) for c in checks]))
+    return wanted.select(*by, entry.alias("entry")).select(*by, "entry.*")
 
 
 def gate(

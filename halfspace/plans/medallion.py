@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import uuid
 from collections.abc import Collection
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from halfspace.formats import (
@@ -28,8 +29,10 @@ from halfspace.operators import (
     unlanded_keys,
 )
 from halfspace.operators.quality import Check
+from halfspace.plans import published
 from halfspace.plans.trusted import trusted_events, trusted_matches
-from halfspace.sinks import append_rows, exists, move, remove, replace_partitions, replace_table
+from halfspace.sinks import append_rows, remove, replace_partitions, replace_table
+from halfspace.sinks.versions import Version, commit, current_version, first_version, read_version
 from halfspace.sources import FileFeed, TableFeed, read_table, read_table_or_empty
 from halfspace.sources.feeds import Batch, Scope, listed_matches
 
@@ -41,9 +44,13 @@ GROUPS = ("ingestion", "validation", "transformation")
 RAW_ROW_GROUP = 4 * 1024 * 1024
 
 RAW_EVENTS_TABLE = "match_id INT, pos INT, payload STRING, batch STRING"
-LANDED_TABLE = "match_id INT, batch STRING, events BIGINT"
+LANDED_TABLE = "match_id INT, batch STRING"
 MATCHES_TABLE = "match_id INT, competition_id INT, season_id INT, batch STRING"
-PASSED_TABLE = "state STRING, staged STRING, metrics MAP<STRING, STRING>, finished TIMESTAMP"
+FOLDERS = "ARRAY<STRUCT<partition: STRING, part: STRING>>"
+PASSED_TABLE = (
+    f"state STRING, over INT, added {FOLDERS}, dropped {FOLDERS}, metrics MAP<STRING, STRING>, "
+    "finished TIMESTAMP"
+)
 RUNS_TABLE = "run_id STRING, stage STRING, finished TIMESTAMP, metrics MAP<STRING, STRING>"
 
 EVENT_CHECKS: tuple[Check, ...] = (
@@ -54,6 +61,11 @@ EVENT_CHECKS: tuple[Check, ...] = (
     InRange("loc_y", *PITCH_Y, mostly=RANGE_TOLERANCE),
 )
 
+MATCH_CHECKS: tuple[Check, ...] = (NotNull("match_id"),)
+
+# Parts of a season beyond which its rows are written together again.
+MOST_PARTS = 32
+
 Metrics = dict[str, str]
 
 
@@ -62,13 +74,15 @@ class Lake:
     """Where the tables are, and what a run covers.
 
     ``sample_matches`` limits the checks to the first matches of each list; without
-    it, every event of the scopes is checked.
+    it, every event of the scopes is checked. ``match_checks`` are made of the match lists
+    before they are published.
     """
 
     root: str
     scopes: tuple[Scope, ...] = ((DEFAULT_COMPETITION_ID, DEFAULT_SEASON_ID),)
     sample_matches: int | None = None
     checks: tuple[Check, ...] = EVENT_CHECKS
+    match_checks: tuple[Check, ...] = MATCH_CHECKS
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -130,19 +144,29 @@ def landed_events(
     return _documents(wanted).join(matches, ["match_id", "batch"]).drop("batch")
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """Rows, and their number of documents, which the pass that writes them takes."""
+    counts = Observation()
+    documents = F.count("pos").alias("documents")
+    # The first element of each file, and the row of each empty one, stand for the file.
+    files = F.count_if(F.coalesce("pos", F.lit(0)) == 0).alias("files")
+    return df.observe(counts, documents, files), counts
+
+
 def land_catalog(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
     """Land the catalog anew."""
     path = lake.path("raw/competitions")
-    replace_table(feed.catalog(spark), path)
-    return {"competition_count": str(_documents(read_table(spark, path)).count()), "path": path}
+    rows, counts = _counted(feed.catalog(spark))
+    replace_table(rows, path)
+    return {"competition_count": str(counts.get["documents"]), "path": path}
 
 
 def land_matches(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
     """Land the scopes' match lists anew, leaving other scopes alone."""
     path = lake.path("raw/matches")
-    replace_partitions(listed_matches(feed.match_lists(spark, lake.scopes)), path, SCOPE)
-    count = _listed(spark, lake).count()
-    return {"match_count": str(count), "scopes": str(lake.scopes), "path": path}
+    rows, counts = _counted(listed_matches(feed.match_lists(spark, lake.scopes)))
+    replace_partitions(rows, path, SCOPE)
+    return {"match_count": str(counts.get["documents"]), "scopes": str(lake.scopes), "path": path}
 
 
 class IncompleteBatchError(Exception):
@@ -150,27 +174,21 @@ class IncompleteBatchError(Exception):
 
 
 def _land_batch(spark: SparkSession, lake: Lake, landing: Batch) -> int:
-    """Write a batch of events and then its manifest; returns its number of matches."""
+    """Write a batch of events and then its manifest; returns its number of matches.
+
+    The pass that writes the events counts their files, so they are not read again.
+    """
     batch = f"b{uuid.uuid4().hex}"
     folder = lake.path(f"raw/events/batch={batch}")
-    append_rows(landing.events, folder, row_group=RAW_ROW_GROUP)
-    columns = "match_id INT, payload STRING"
-    written = read_table_or_empty(spark, folder, columns).groupBy("match_id")
-    counted = written.agg(F.count("payload").alias("events"))
-    # The manifest's few bytes per match are kept, so as to be written as they were checked.
-    manifest = landing.keys.select("match_id").join(counted, "match_id", "left").persist()
-    try:
-        matches, missing = manifest.agg(F.count("*"), F.count_if(F.col("events").isNull())).first()
-        if landing.complete and missing:
-            gone = manifest.where("events IS NULL").orderBy("match_id").limit(5).collect()
-            raise IncompleteBatchError(f"{missing} matches without rows: {[r.match_id for r in gone]}")
-        rows = manifest.select(
-            "match_id", F.lit(batch).alias("batch"), F.coalesce("events", F.lit(0)).alias("events")
-        )
-        append_rows(rows, lake.path("raw/landed"))
-    finally:
-        manifest.unpersist()
-    return matches
+    rows, counts = _counted(landing.events)
+    append_rows(rows, folder, row_group=RAW_ROW_GROUP)
+    if landing.complete and counts.get["files"] != landing.matches:
+        written = read_table_or_empty(spark, folder, "match_id INT").distinct()
+        gone = landing.keys.join(written, "match_id", "left_anti").orderBy("match_id").limit(5)
+        missing, names = landing.matches - counts.get["files"], [r.match_id for r in gone.collect()]
+        raise IncompleteBatchError(f"{missing} matches without rows: {names}")
+    append_rows(landing.keys.select("match_id", F.lit(batch).alias("batch")), lake.path("raw/landed"))
+    return landing.matches
 
 
 def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
@@ -200,6 +218,20 @@ def _sampled(spark: SparkSession, lake: Lake) -> DataFrame:
     return listed.where(F.col("pos") < lake.sample_matches)
 
 
+EVENTS = "trusted/events"
+# Parts are written here before a version of the trusted table names them.
+EVENTS_DATA = "../../parts/events"
+
+
+def _trusted_version(spark: SparkSession, lake: Lake) -> Version:
+    """The published version of the events, or what a table of them begins with."""
+    now = current_version(spark, lake.path(EVENTS))
+    if now:
+        return now
+    nothing = spark.createDataFrame([], f"{RAW_EVENTS_TABLE}, competition_id INT, season_id INT")
+    return first_version(trusted_events(nothing, keep=[*SCOPE, "match_id"]), SCOPE, EVENTS_DATA)
+
+
 def _state(spark: SparkSession, lake: Lake) -> str:
     """What would be published, and how it is checked, as a short text."""
     landed = _landed_in_scope(spark, lake)
@@ -210,14 +242,37 @@ def _state(spark: SparkSession, lake: Lake) -> str:
 
 def _staging(lake: Lake, name: str) -> str:
     """A path in the scopes' own staging folder."""
-    scopes = hashlib.sha256(repr(sorted(lake.scopes)).encode()).hexdigest()[:16]
-    return lake.path(f"staging/{scopes}/{name}")
+    return lake.path(f"staging/{_scopes_key(lake)}/{name}")
+
+
+def _scopes_key(lake: Lake) -> str:
+    return hashlib.sha256(repr(sorted(lake.scopes)).encode()).hexdigest()[:16]
+
+
+def _published_as(now: Version, lake: Lake, state: str) -> Metrics | None:
+    """The metrics of the validation, if the version has just this state of the scopes."""
+    known = json.loads(now.properties.get(_scopes_key(lake), "{}"))
+    return known["metrics"] if known.get("state") == state else None
+
+
+def _with_state(now: Version, lake: Lake, state: str, metrics: Metrics) -> Version:
+    """The version with its state of these scopes, and without those of overlapping ones."""
+    mine = [list(scope) for scope in sorted(set(lake.scopes))]
+    others = {
+        key: text
+        for key, text in now.properties.items()
+        if not any(scope in mine for scope in json.loads(text)["scopes"])
+    }
+    known = json.dumps({"scopes": mine, "state": state, "metrics": metrics})
+    return replace(now, properties={**others, _scopes_key(lake): known})
 
 
 def _passed(spark: SparkSession, lake: Lake, state: str) -> Row | None:
-    """The last passed validation of a state."""
+    """The last passed validation of a state over the published version."""
     passed = read_table_or_empty(spark, _staging(lake, "passed"), PASSED_TABLE)
-    return passed.where(F.col("state") == state).orderBy(F.desc("finished")).first()
+    over = _trusted_version(spark, lake).number
+    wanted = (F.col("state") == state) & (F.col("over") == over)
+    return passed.where(wanted).orderBy(F.desc("finished")).first()
 
 
 def checked_batch(spark: SparkSession, lake: Lake, staged: DataFrame) -> DataFrame:
@@ -242,41 +297,84 @@ def checked_batch(spark: SparkSession, lake: Lake, staged: DataFrame) -> DataFra
     return staged.where(wanted)
 
 
+def _stage(spark: SparkSession, lake: Lake, now: Version) -> published.Change:
+    """Write a part with the rows of what has landed since the published version.
+
+    Matches that were published from the same batch are left as they are. Folders with a
+    match that is listed no more are replaced by their other rows, which are typed
+    already. So are those of a season with many parts.
+    """
+    path, wanted = lake.path(EVENTS), _staging(lake, "matches")
+    append_rows(_landed_in_scope(spark, lake), wanted)
+    new = listed = read_table_or_empty(spark, wanted, MATCHES_TABLE)
+    live = published.folders_of(now, lake.scopes)
+    keys, dropped = ["match_id", *SCOPE, "batch"], set()
+    if live:
+        there = published.matches(spark, path, now, live)
+        gone = there.join(listed, keys, "left_anti").select("partition", "part").distinct()
+        dropped = {tuple(row) for row in gone.collect()} | published.crowded(live, MOST_PARTS)
+        fresh = _staging(lake, "fresh")
+        append_rows(listed.join(there, keys, "left_anti").select(*keys), fresh)
+        new = read_table_or_empty(spark, fresh, MATCHES_TABLE)
+    if not dropped and new.isEmpty():
+        return published.Change()
+    rows = trusted_events(landed_events(spark, lake, new), keep=[*SCOPE, "match_id"])
+    known = new
+    if dropped:
+        kept = published.matches(spark, path, now, dropped).select(*keys).join(listed, keys, "left_semi")
+        known = new.unionByName(kept)
+        old = read_version(spark, path, now.only(dropped))
+        rows = rows.unionByName(old.join(kept.select("match_id", *SCOPE), ["match_id", *SCOPE], "left_semi"))
+    # Sorted by type inside each task, so the filters of the queries skip other types.
+    rows = rows.sortWithinPartitions(*SCOPE, "event_type")
+    return published.write(rows, known, lake.checks, lake.scopes, path, now, dropped)
+
+
 def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Flatten the scopes' landed events to a staging table, and check those rows.
+    """Flatten what has landed since the last publishing to a part of its own, and check it.
 
     Raises ``QualityGateError`` on a failure. Only rows that passed can be published, and
-    they are the rows that were checked. All checks of all scopes are one aggregate over
-    the staged columns that they name. What has passed and is not yet published is not
-    flattened again.
+    they are the rows that were checked. A season is judged as a whole: counts of the new
+    part, taken while it is written, are added to those of the published parts. What has
+    passed and is not yet published is not flattened again.
     """
     state = _state(spark, lake)
     before = _passed(spark, lake, state)
     if before:
         return dict(before.metrics)
     remove(spark, _staging(lake, ""))
-    staged = _staging(lake, f"events-{uuid.uuid4().hex}")
-    wanted = _staging(lake, "matches")
-    append_rows(_landed_in_scope(spark, lake), wanted)
-    landed = landed_events(spark, lake, read_table_or_empty(spark, wanted, MATCHES_TABLE))
-    events = trusted_events(landed, keep=[*SCOPE, "match_id"])
-    # Sorted by type inside each task, so the filters of the queries skip other types.
-    replace_partitions(events.sortWithinPartitions(*SCOPE, "event_type"), staged, SCOPE)
-    batch = checked_batch(spark, lake, read_table_or_empty(spark, staged, _schema(events)))
-    report = check(batch, lake.checks, by=SCOPE)
+    path, now = lake.path(EVENTS), _trusted_version(spark, lake)
+    metrics = _published_as(now, lake, state)
+    staged = published.Change()
+    if metrics is None:
+        staged = _stage(spark, lake, now)
+        after = now.without_folders(staged.dropped).plus(staged.added)
+        try:
+            metrics = _gate(spark, lake, after)
+        except BaseException:
+            published.discard(spark, path, after, staged)
+            raise
+    finished = datetime.now(timezone.utc)
+    passed = (state, now.number, sorted(staged.added), sorted(staged.dropped), metrics, finished)
+    append_rows(spark.createDataFrame([passed], PASSED_TABLE), _staging(lake, "passed"))
+    return metrics
+
+
+def _gate(spark: SparkSession, lake: Lake, after: Version) -> Metrics:
+    """Judge the scopes' rows of a version that may be published."""
+    path = lake.path(EVENTS)
+    if lake.sample_matches is None:
+        live = published.folders_of(after, lake.scopes)
+        report = published.report(spark, path, after, live, lake.checks)
+    else:
+        rows = lake.in_scope(read_version(spark, path, after))
+        report = check(checked_batch(spark, lake, rows), lake.checks, by=SCOPE)
     entries = gate(report, by=SCOPE, expected=lake.scopes)
     rows = {tuple(entry[column] for column in SCOPE): entry["rows"] for entry in entries}
-    metrics = {
+    return {
         "rows_validated": str(sum(rows.values())),
         "matches_sampled": str(_sampled(spark, lake).count()),
     }
-    passed = [(state, staged, metrics, datetime.now(timezone.utc))]
-    append_rows(spark.createDataFrame(passed, PASSED_TABLE), _staging(lake, "passed"))
-    return metrics
-
-
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"`{name}` {kind}" for name, kind in df.dtypes)
 
 
 class NotValidatedError(Exception):
@@ -284,33 +382,37 @@ class NotValidatedError(Exception):
 
 
 def publish_events(spark: SparkSession, lake: Lake) -> Metrics:
-    """Put the staged rows that passed the checks in place of the scopes' trusted rows.
+    """Make the part that passed the checks, and no longer what it replaces, the table.
 
     Refused unless a validation passed and nothing has landed or been published since.
-    The files are moved, not written again. If this breaks off, what is left is still
-    staged, and publishing can be run again.
+    No file is moved: the next version of the table names other folders. If nothing has
+    changed, there is no new version.
     """
-    passed = _passed(spark, lake, _state(spark, lake))
+    state = _state(spark, lake)
+    passed = _passed(spark, lake, state)
     if not passed:
         raise NotValidatedError("run the validation of these scopes first")
-    path = lake.path("trusted/events")
-    for competition, season in sorted(set(lake.scopes)):
-        folder = f"competition_id={competition}/season_id={season}"
-        if exists(spark, f"{passed.staged}/{folder}"):
-            remove(spark, f"{path}/{folder}")
-            move(spark, f"{passed.staged}/{folder}", f"{path}/{folder}")
+    path, now = lake.path(EVENTS), _trusted_version(spark, lake)
+    added, dropped = ({tuple(f) for f in folders} for folders in (passed.added, passed.dropped))
+    if _published_as(now, lake, state) is None:
+        after = now.without_folders(dropped).plus(added)
+        commit(spark, path, _with_state(after, lake, state, dict(passed.metrics)))
     remove(spark, _staging(lake, ""))
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
 
 
 def publish_matches(spark: SparkSession, lake: Lake) -> Metrics:
-    """Flatten the scopes' match lists into the trusted table; an empty list empties it."""
+    """Check and flatten the scopes' match lists into the trusted table.
+
+    Raises ``QualityGateError`` if a list fails its checks. An empty list empties its
+    season, in the same version that replaces the others.
+    """
     path = lake.path("trusted/matches")
-    listed = _listed(spark, lake)
-    filled = {tuple(row) for row in listed.select(*SCOPE).distinct().collect()}
-    replace_partitions(trusted_matches(listed, keep=SCOPE), path, SCOPE)
-    for competition, season in set(lake.scopes) - filled:
-        remove(spark, f"{path}/competition_id={competition}/season_id={season}")
+    matches = trusted_matches(_listed(spark, lake), keep=SCOPE)
+    entries = gate(check(matches, lake.match_checks, by=SCOPE), by=SCOPE)
+    filled = {tuple(entry[column] for column in SCOPE) for entry in entries}
+    emptied = [published.folder(scope) for scope in set(lake.scopes) - filled]
+    replace_partitions(matches, path, SCOPE, emptied)
     return {"trusted_path": path, "format": "Parquet/ZSTD"}
 
 

@@ -1,5 +1,6 @@
-"""Sinks: compressed columnar tables."""
+"""Sinks: compressed columnar tables, versions of tables, files."""
 
-from halfspace.sinks.tables import append_rows, exists, move, remove, replace_partitions, replace_table
+from halfspace.sinks.files import exists, move, remove
+from halfspace.sinks.tables import append_rows, replace_partitions, replace_table
 
 __all__ = ["append_rows", "exists", "move", "remove", "replace_partitions", "replace_table"]

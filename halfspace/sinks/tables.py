@@ -2,64 +2,43 @@
 
 The writers create missing folders. Rows are staged by the tasks and moved into place
 when the job has succeeded, so a lost executor costs a retry of its tasks and leaves no
-half-written rows.
+half-written rows. Replaced tables have versions (``sinks.versions``): the old rows stay
+readable until one rename puts the new ones in their place. Tables that are only ever
+appended to are plain folders.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from dataclasses import replace
 
-from py4j.java_gateway import JavaObject
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-
-def _located(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
-    """A path's file system, and the path in it."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), location
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a table or a partition's folder; one that does not exist is left so."""
-    files, location = _located(spark, path)
-    if files.exists(location) and not files.delete(location, True):
-        raise OSError(f"{path} could not be deleted")
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, location = _located(spark, path)
-    return files.exists(location)
-
-
-def move(spark: SparkSession, path: str, to: str) -> None:
-    """Give a table another path, which must be free."""
-    files, location = _located(spark, path)
-    target = _located(spark, to)[1]
-    files.mkdirs(target.getParent())
-    if files.exists(target) or not files.rename(location, target):
-        raise OSError(f"{path} could not be moved to {to}")
+from halfspace.sinks.versions import change, current_version, first_version, new_part, write_part
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Write a whole table anew; the old files stay until the new ones are complete."""
-    staged = f"{path.rstrip('/')}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(staged)
-    remove(df.sparkSession, path)
-    move(df.sparkSession, staged, path)
+    """Write a whole table anew; readers see the old rows until all new ones are there."""
+    start, part = first_version(df), new_part()
+    pairs = write_part(df, path, start, part)
+    change(df.sparkSession, path, start, lambda v: replace(v, schema=start.schema, by=(), live=tuple(pairs)))
 
 
-def replace_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Replace the partitions that occur in ``df`` and leave all others alone.
+def replace_partitions(
+    df: DataFrame, path: str, by: Sequence[str], emptied: Collection[str] = ()
+) -> None:
+    """Replace the partitions that occur in ``df``, empty those given, and leave all others.
 
-    If the write fails, the old partitions are still there.
+    ``emptied`` are partition folders such as ``a=1/b=2``. Readers see all of this at once.
     """
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(*by)
-        .parquet(path)
+    start, part = first_version(df, by), new_part()
+    pairs = write_part(df, path, start, part)
+    replaced = {partition for partition, _ in pairs} | set(emptied)
+    change(
+        df.sparkSession,
+        path,
+        start,
+        lambda v: replace(v.without(replaced).plus(pairs), schema=start.schema),
     )
 
 
@@ -67,6 +46,11 @@ def append_rows(
     df: DataFrame, path: str, by: Sequence[str] = (), row_group: int | None = None
 ) -> None:
     """Add rows to a table, in row groups of about ``row_group`` bytes if given."""
+    now = current_version(df.sparkSession, path)
+    if now:
+        pairs = write_part(df, path, now, new_part())
+        change(df.sparkSession, path, now, lambda v: v.plus(pairs))
+        return
     writer = df.write.mode("append").option("compression", "zstd").partitionBy(*by)
     if row_group:
         writer = writer.option("parquet.block.size", row_group)

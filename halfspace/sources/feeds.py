@@ -31,7 +31,7 @@ KEYS = "match_id INT"
 
 @dataclass(frozen=True)
 class Batch:
-    """Matches landed together: their keys, and rows of match_id, pos and payload.
+    """Matches landed together: their keys and number, and rows of match_id, pos and payload.
 
     In a ``complete`` batch each key has a row, that of an empty array included; otherwise
     a match without rows has no events.
@@ -39,10 +39,10 @@ class Batch:
 
     keys: DataFrame
     events: DataFrame
+    matches: int
     complete: bool
 
 
-
 @dataclass(frozen=True)
 class FileFeed:
     """Array files below a folder: ``competitions.json``,
@@ -100,7 +100,7 @@ class FileFeed:
             with setting(spark, LOOKUP_TASKS, lookups):
                 documents = read_texts(spark, paths)
             documents = documents.select("payload", match_id.alias("match_id"))
-            yield Batch(batch, elements(documents, "match_id"), complete=True)
+            yield Batch(batch, elements(documents, "match_id"), len(paths), complete=True)
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,7 @@ class TableFeed:
 
     def events(self, spark: SparkSession, keys: DataFrame, count: int) -> Iterator[Batch]:
         wanted = self.documents.join(keys, "match_id").select("match_id", "pos", _payload())
-        yield Batch(keys, wanted, complete=False)
+        yield Batch(keys, wanted, count, complete=False)
 
 
 def _payload() -> Column:

@@ -237,19 +237,22 @@ def test_what_passed_is_not_flattened_again(spark, played, lake):
         run(spark, lake, played, groups={"transformation"})
 
 
-def test_publishing_that_broke_off_can_be_run_again(spark, played, lake, monkeypatch):
+def test_publishing_that_broke_off_can_be_run_again(spark, played, lake, site, monkeypatch):
     run(spark, lake, played)
-    run(spark, lake, played, groups={"validation"})
+    site.season([match(i, "Reds", "Blues", (1, 0)) for i in range(1, 8)])
+    site.put("events/7.json", [event("Pass", id="7-1")])
+    run(spark, lake, played, groups={"ingestion", "validation"})
 
     def breaks(*_):
         raise OSError("broke off")
 
-    monkeypatch.setattr(medallion, "move", breaks)
+    monkeypatch.setattr(medallion, "commit", breaks)
     with pytest.raises(OSError, match="broke off"):
         run(spark, lake, played, groups={"transformation"})
     monkeypatch.undo()
-    run(spark, lake, played, groups={"transformation"})
     assert read_table(spark, lake.path("trusted/events")).count() == 18
+    run(spark, lake, played, groups={"transformation"})
+    assert read_table(spark, lake.path("trusted/events")).count() == 19
 
 
 def test_a_match_of_two_seasons_is_published_in_both(spark, lake, site):

@@ -9,16 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gallery.files import write_named_arrays
 from gallery.registry import query, table
 from halfspace.formats import CHECKED_EVENT, RAW_EVENT, RAW_MATCH, TRUSTED_EVENT, TRUSTED_MATCH
 from halfspace.functions import at_path, parse_json, safe_number
 from halfspace.operators import flatten
 from halfspace.plans import checked_events, trusted_events, trusted_matches
-from halfspace.sinks import replace_table
+from halfspace.sinks import replace_table, write_named_arrays, write_objects
 from halfspace.sources import list_objects, read_bytes, read_table, read_texts, scan_documents
 from halfspace.streaming import land_new_files
-from halfspace.workspace import fresh_dir
+from halfspace.workspace import fresh_dir, setting
 
 
 def _named(name: Column) -> Column:
@@ -236,6 +235,20 @@ def json_scan_one_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(scan_documents(spark, f"{root}/list.json", RAW_MATCH), TRUSTED_MATCH)
 
 
+@query("select o_orderkey, o_custkey, o_orderstatus, o_clerk_note from (select *, 'clerk}\"' || o_custkey as o_clerk_note from orders)")
+def json_scan_split_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One array file of all orders, read by as many tasks as it has splits."""
+    root = fresh_dir(spark, "scan")
+    note = F.concat(F.lit('clerk}"'), "o_custkey").alias("o_clerk_note")
+    fields = ["o_orderkey", "o_custkey", "o_orderstatus", note]
+    document = F.to_json(F.struct(*fields)).alias("payload")
+    listed = table(spark, sf_dir, "orders").select(F.lit("orders").alias("name"), F.col("o_orderkey").alias("pos"), document)
+    write_named_arrays(listed, root)
+    schema = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_clerk_note STRING"
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "2m"):
+        return scan_documents(spark, f"{root}/orders.json", schema, splittable=True)
+
+
 @query("""
     select vec_id, cast(embedding[1] as double) as first, cast(embedding[2] as double) as second,
            cast(embedding[65] as double) as past_the_end
@@ -291,6 +304,21 @@ def raw_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(parse_json("line", schema).alias("doc")).select("doc.*")
 
 
+@query("""
+    select 'c' || (c_custkey % 10) || '/' || c_custkey || '.txt' as name,
+           c_name || chr(10) || c_mktsegment as text
+    from customer
+""")
+def object_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An object for each row under its own name, written by the tasks and read back whole."""
+    root, key = fresh_dir(spark, "objects"), F.col("c_custkey")
+    name = F.concat(F.lit("c"), key % 10, F.lit("/"), key, F.lit(".txt")).alias("name")
+    text = F.concat("c_name", F.lit("\n"), "c_mktsegment").alias("content")
+    write_objects(table(spark, sf_dir, "customer").select(name, text), root)
+    found = read_texts(spark, f"{root}/*")
+    return found.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("name"), F.col("payload").alias("text"))
+
+
 @query("""
     select cast(sum(octet_length(encode(text)) + 1) as bigint) as bytes from documents
 """)

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gallery.checks import at_least_sql, in_range_sql, not_null_sql
-from gallery.files import write_named_arrays
 from gallery.registry import exact, query, table
 from halfspace.operators import check
 from halfspace.plans import (
@@ -26,6 +25,7 @@ from halfspace.plans import (
     top_pressers,
 )
 from halfspace.plans.medallion import land_matches, publish_matches
+from halfspace.sinks import write_named_arrays
 from halfspace.sinks.versions import current_version
 from halfspace.sources import FileFeed, TableFeed, read_table
 from halfspace.workspace import fresh_dir
@@ -94,8 +94,11 @@ def _feed(spark: SparkSession, sf_dir: str) -> TableFeed:
     return TableFeed(competitions, matches, events)
 
 
-def _file_feed(spark: SparkSession, sf_dir: str) -> FileFeed:
-    """The same documents as array files: the catalog, a list per season, events per match."""
+def _file_feed(spark: SparkSession, sf_dir: str, numbered: int | None = None) -> FileFeed:
+    """The same documents as array files: the catalog, a list per season, events per match.
+
+    With ``numbered``, a match's events are in files of at most so many.
+    """
     feed, root = _feed(spark, sf_dir), fresh_dir(spark, "source")
     payload = F.to_json("document").alias("payload")
     write_named_arrays(
@@ -106,8 +109,8 @@ def _file_feed(spark: SparkSession, sf_dir: str) -> FileFeed:
     # A source has a file for each listed match, an empty array if nothing happened.
     keys = feed.matches.select(F.col("document.match_id").cast("string").alias("name"))
     events = feed.documents.select(F.col("match_id").cast("string").alias("name"), "pos", payload)
-    write_named_arrays(keys.join(events, "name", "left"), f"{root}/events")
-    return FileFeed(root, batch=64)
+    write_named_arrays(keys.join(events, "name", "left"), f"{root}/events", numbered)
+    return FileFeed(root, batch=256, numbered=numbered)
 
 
 MATCHES_SQL = """
@@ -251,8 +254,8 @@ def file_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from supplier left join lineitem on l_suppkey = s_suppkey group by s_suppkey
 """)
 def file_landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Array files of a list that grows by a season, landed run by run: each lands once."""
-    feed, root = _file_feed(spark, sf_dir), fresh_dir(spark, "lake")
+    """Numbered array files of a list that grows by a season, landed run by run, once each."""
+    feed, root = _file_feed(spark, sf_dir, numbered=3), fresh_dir(spark, "lake")
     for scopes in (SCOPES[:1], SCOPES, SCOPES):
         run(spark, Lake(root, scopes), feed, groups={"ingestion"})
     raw = read_table(spark, Lake(root).path("raw/events"))

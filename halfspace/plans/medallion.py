@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import json
 import uuid
-from collections.abc import Collection
+from collections.abc import Callable, Collection, Iterator
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,8 @@ MATCH_CHECKS: tuple[Check, ...] = (NotNull("match_id"),)
 MOST_PARTS = 32
 
 Metrics = dict[str, str]
+T = TypeVar("T")
+R = TypeVar("R")
 
 
 @dataclass(frozen=True)
@@ -83,6 +87,8 @@ class Lake:
     sample_matches: int | None = None
     checks: tuple[Check, ...] = EVENT_CHECKS
     match_checks: tuple[Check, ...] = MATCH_CHECKS
+    # Landing batches that run at a time.
+    jobs: int = 4
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -191,6 +197,23 @@ def _land_batch(spark: SparkSession, lake: Lake, landing: Batch) -> int:
     return landing.matches
 
 
+def side_by_side(work: Callable[[T], R], items: Iterator[T], jobs: int) -> Iterator[R]:
+    """Results of a few jobs that run at a time; the next item is taken when one has ended.
+
+    When one fails, no further one is begun, and those that run are waited for.
+    """
+    with ThreadPoolExecutor(jobs) as pool:
+        running: set[Future] = set()
+        for item in items:
+            running.add(pool.submit(work, item))
+            if len(running) == jobs:
+                ended, running = wait(running, return_when=FIRST_COMPLETED)
+                for one in ended:
+                    yield one.result()
+        for one in running:
+            yield one.result()
+
+
 def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) -> Metrics:
     """Land the events of listed matches that have not landed yet.
 
@@ -201,8 +224,8 @@ def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     ingested = 0
     if counts.ingested:
         new = unlanded_keys(listed, landed, "match_id")
-        for batch in feed.events(spark, new, counts.ingested):
-            ingested += _land_batch(spark, lake, batch)
+        batches = feed.events(spark, new, counts.ingested)
+        ingested = sum(side_by_side(lambda batch: _land_batch(spark, lake, batch), batches, lake.jobs))
     return {
         "ingested": str(ingested),
         "skipped_existing": str(counts.total - ingested),

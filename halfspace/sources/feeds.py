@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from halfspace.functions import parse_json
 from halfspace.sinks import remove
 from halfspace.sources.json_documents import elements
-from halfspace.sources.objects import read_texts
+from halfspace.sources.objects import list_objects, read_texts
 from halfspace.sources.tables import read_table_or_empty
 from halfspace.workspace import fresh_dir, setting
 
@@ -27,6 +27,7 @@ LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 PATHS_PER_LOOKUP = 100
 
 KEYS = "match_id INT"
+EVENTS_FILE = r"/(-?\d+)(?:\.(\d+))?\.json$"
 
 
 @dataclass(frozen=True)
@@ -47,11 +48,15 @@ class Batch:
 class FileFeed:
     """Array files below a folder: ``competitions.json``,
     ``matches/{competition}/{season}.json`` and ``events/{match_id}.json``.
+
+    With ``numbered``, no events file has more than so many elements: those that follow are
+    in ``events/{match_id}.1.json`` and so on, and which files there are is looked up.
     """
 
     root: str
     # Matches read and appended per job, and so the paths the driver holds at a time.
     batch: int = 50_000
+    numbered: int | None = None
 
     def catalog(self, spark: SparkSession) -> DataFrame:
         expected = spark.createDataFrame([(1,)], "file INT")
@@ -89,18 +94,48 @@ class FileFeed:
             remove(spark, plan)
 
     def _batches(self, spark: SparkSession, plan: str, batches: int) -> Iterator[Batch]:
+        found = self._numbered_files(spark, plan) if self.numbered else None
         for number in range(batches):
-            batch = read_table_or_empty(spark, f"{plan}/batch={number}", KEYS)
-            paths = [f"{self.root}/events/{row.match_id}.json" for row in batch.collect()]
-            if not paths:
+            listed = read_table_or_empty(spark, f"{plan}/batch={number}", KEYS)
+            ids = [row.match_id for row in listed.collect()]
+            if not ids:
                 continue
-            match_id = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("int")
-            # By default 10,000 tasks look the paths up, which takes longer than reading.
-            lookups = str(math.ceil(len(paths) / PATHS_PER_LOOKUP))
-            with setting(spark, LOOKUP_TASKS, lookups):
-                documents = read_texts(spark, paths)
-            documents = documents.select("payload", match_id.alias("match_id"))
-            yield Batch(batch, elements(documents, "match_id"), len(paths), complete=True)
+            if self.numbered:
+                mine = read_table_or_empty(spark, f"{found}/batch={number}", "path STRING")
+                paths = [row.path for row in mine.collect()]
+            else:
+                paths = [f"{self.root}/events/{match_id}.json" for match_id in ids]
+            # Batches may still be landing when the plan's files are gone.
+            keys = spark.createDataFrame([(match_id,) for match_id in ids], KEYS)
+            yield Batch(keys, self._read(spark, paths), len(ids), complete=True)
+
+    def _read(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        if not paths:
+            return spark.createDataFrame([], f"{KEYS}, pos INT, payload STRING")
+        # By default 10,000 tasks look the paths up, which takes longer than reading.
+        lookups = str(math.ceil(len(paths) / PATHS_PER_LOOKUP))
+        with setting(spark, LOOKUP_TASKS, lookups):
+            documents = read_texts(spark, paths)
+        named = [
+            F.regexp_extract("path", EVENTS_FILE, 1).cast("int").alias("match_id"),
+            F.coalesce(F.try_to_number(F.regexp_extract("path", EVENTS_FILE, 2), F.lit("999999999")), F.lit(0))
+            .cast("int")
+            .alias("number"),
+        ]
+        rows = elements(documents.select("payload", *named), "match_id", "number")
+        pos = F.col("pos") + F.col("number") * F.lit(self.numbered or 0)
+        return rows.select("match_id", pos.alias("pos"), "payload")
+
+    def _numbered_files(self, spark: SparkSession, plan: str) -> str:
+        """The events files that there are for the keys, by batch, from one listing."""
+        found = list_objects(spark, f"{self.root}/events", "*.json").select(
+            "path", F.regexp_extract("path", EVENTS_FILE, 1).alias("key")
+        )
+        keys = spark.read.parquet(plan).select("batch", F.col("match_id").cast("string").alias("key"))
+        files = found.join(keys, "key").select("path", "batch").repartition("batch")
+        path = f"{plan}/files"
+        files.write.partitionBy("batch").parquet(path)
+        return path
 
 
 @dataclass(frozen=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from halfspace.functions import parse_json
 from halfspace.functions.documents import STRICT
 from halfspace.sources.objects import read_texts
+from halfspace.sources.split_arrays import split_elements
 
 
 NOT_AN_ARRAY = "a document is blank, no array, or has null elements"
@@ -29,17 +30,23 @@ def elements(documents: DataFrame, *keep: str) -> DataFrame:
 
 
 def scan_documents(
-    spark: SparkSession, paths: str | list[str], schema: str, array_files: bool = True
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: str,
+    array_files: bool = True,
+    splittable: bool = False,
 ) -> DataFrame:
     """One row per JSON object over any number of files, matched to the schema by name.
 
-    With ``array_files`` each file is one JSON array, the unit of one task; otherwise
-    each line is an object (or an array of objects), and files split freely. A value
-    that does not fit the schema fails the query.
+    With ``array_files`` each file is one JSON array, the unit of one task, or with
+    ``splittable``, for files of gigabytes, of as many as it has splits; otherwise each line
+    is an object (or an array of objects), and files split freely. A value that does not
+    fit the schema fails the query.
     """
     if not array_files:
         return spark.read.schema(schema).options(**STRICT).json(paths)
     # The multi-line JSON reader copies numbers that are read as text, such as those of a
     # location, so slowly that splitting the array first takes a quarter of the time.
-    documents = elements(read_texts(spark, paths)).where("payload IS NOT NULL")
+    found = split_elements(spark, paths) if splittable else elements(read_texts(spark, paths))
+    documents = found.where("payload IS NOT NULL")
     return documents.select(parse_json("payload", schema).alias("doc")).select("doc.*")

@@ -1,0 +1,162 @@
+"""Objects under given names, and array files that are read in pieces."""
+
+from __future__ import annotations
+
+import json
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import event, match
+from halfspace.plans import Lake
+from halfspace.plans.medallion import IncompleteBatchError, land_events, land_matches, landed_events, side_by_side
+from halfspace.sinks import objects, write_named_arrays, write_objects
+from halfspace.sources import FileFeed, scan_documents
+from halfspace.sources.split_arrays import split_elements
+from halfspace.workspace import setting
+
+NAMED = "name STRING, pos INT, payload STRING"
+
+
+def texts(folder) -> dict[str, str]:
+    return {str(f.relative_to(folder)): f.read_text() for f in folder.rglob("*") if f.is_file()}
+
+
+def test_objects_have_their_names(spark, tmp_path):
+    rows = [("a.txt", "é"), ("deep/er/b.json", "{}"), ("empty", None)]
+    write_objects(spark.createDataFrame(rows, "name STRING, content STRING"), str(tmp_path))
+    assert texts(tmp_path) == {"a.txt": "é", "deep/er/b.json": "{}", "empty": ""}
+    write_objects(spark.createDataFrame([("a.txt", b"\x00\xff")], "name STRING, content BINARY"), f"file://{tmp_path}")
+    assert (tmp_path / "a.txt").read_bytes() == b"\x00\xff"
+    assert len(texts(tmp_path / "deep")) == 1
+
+
+def test_a_nameless_object_fails_and_leaves_nothing_half_done(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "1"), (None, "2")], "name STRING, content STRING").coalesce(1)
+    with pytest.raises(Exception, match="no name"):
+        write_objects(rows, str(tmp_path))
+    assert not [name for name in texts(tmp_path) if name.startswith("_")]
+
+
+def test_a_task_that_is_run_again_writes_the_same(spark, tmp_path):
+    rows = spark.range(40).select(
+        F.concat(F.lit("o"), F.col("id") % 4).alias("name"), F.col("id").cast("int").alias("pos"), F.col("id").cast("string").alias("payload")
+    )
+    write_named_arrays(rows, str(tmp_path))
+    before = texts(tmp_path)
+    write_named_arrays(rows, str(tmp_path))
+    assert texts(tmp_path) == before
+    assert json.loads(before["o1.json"]) == list(range(1, 40, 4))
+
+
+@pytest.mark.parametrize("most", [None, 3, 100])
+def test_arrays_in_numbered_files(spark, tmp_path, most):
+    rows = [(f"m{k}", i, json.dumps({"i": i})) for k, n in ((1, 7), (2, 1), (4, 3)) for i in range(n)]
+    rows.append(("m3", None, None))
+    random.Random(1).shuffle(rows)
+    write_named_arrays(spark.createDataFrame(rows, NAMED), str(tmp_path), most)
+    found = texts(tmp_path)
+    assert found["m3.json"] == "[]"
+    sizes = {name: len(json.loads(text)) for name, text in found.items()}
+    if most == 3:
+        assert sizes == {"m1.json": 3, "m1.1.json": 3, "m1.2.json": 1, "m2.json": 1, "m3.json": 0, "m4.json": 3}
+    else:
+        assert sizes == {"m1.json": 7, "m2.json": 1, "m3.json": 0, "m4.json": 3}
+
+
+def test_no_array_is_a_row_and_no_file_the_drivers(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).select(F.lit("one").alias("name"), F.col("id").cast("int").alias("pos"), F.lit("1").alias("payload"))
+    plans = []
+    plain = objects._save
+    monkeypatch.setattr(objects, "_save", lambda df, *a, **o: (plans.append(df._jdf.queryExecution().executedPlan().toString()), plain(df, *a, **o)))
+    write_named_arrays(rows, str(tmp_path), 100)
+    assert "Aggregate" not in plans[0] and len(texts(tmp_path)) == 10
+
+
+def test_numbered_files_land_as_one_match(spark, site, tmp_path):
+    site.season([match(i, "Reds", "Blues", (1, 0)) for i in (1, 2, 3)])
+    rows = [(str(i), n, json.dumps(event("Pass", id=f"{i}-{n}"))) for i, k in ((1, 8), (2, 1)) for n in range(k)]
+    write_named_arrays(spark.createDataFrame([*rows, ("3", None, None)], NAMED), f"{site.root}/events", 3)
+    lake, feed = Lake(str(tmp_path / "lake")), FileFeed(str(site.root), batch=1, numbered=3)
+    land_matches(spark, lake, feed)
+    assert land_events(spark, lake, feed)["ingested"] == "3"
+    found = landed_events(spark, lake).select("match_id", "pos", "payload").collect()
+    assert sorted((r.match_id, r.pos, json.loads(r.payload)["id"]) for r in found) == [
+        *((1, n, f"1-{n}") for n in range(8)),
+        (2, 0, "2-0"),
+    ]
+    site.season([match(i, "Reds", "Blues", (1, 0)) for i in (1, 2, 3, 4)])
+    land_matches(spark, lake, feed)
+    with pytest.raises(IncompleteBatchError, match=r"\[4\]"):
+        land_events(spark, lake, feed)
+
+
+def test_batches_run_side_by_side_and_stop_at_a_failure():
+    begun = []
+
+    def work(n):
+        begun.append(n)
+        if n == 3:
+            raise OSError("broke off")
+        return n * n
+
+    assert sorted(side_by_side(work, iter([1, 2]), 2)) == [1, 4]
+    with pytest.raises(OSError, match="broke off"):
+        list(side_by_side(work, iter(range(3, 100)), 2))
+    assert len(begun) < 10
+
+
+# --- Array files in pieces --------------------------------------------------------------
+
+
+def value(dice, depth):
+    kind = dice.randrange(7 if depth < 3 else 5)
+    if kind < 2:
+        return dice.choice([None, True, -1, 2.5e3, ""])
+    if kind < 5:
+        return "".join(dice.choices('ab}{][,"\\é \n:/', k=dice.randint(0, 12)))
+    if kind == 5:
+        return [value(dice, depth + 1) for _ in range(dice.randint(0, 4))]
+    return {f"k{i}" + dice.choice(["", "}", '"']): value(dice, depth + 1) for i in range(dice.randint(0, 4))}
+
+
+def pieces(spark, paths, size):
+    with setting(spark, "spark.sql.files.maxPartitionBytes", str(size)), setting(spark, "spark.sql.files.openCostInBytes", "1"):
+        return split_elements(spark, paths).collect()
+
+
+@pytest.mark.parametrize("size", [97, 1500, 10_000_000])
+def test_elements_are_those_of_a_json_reader(spark, tmp_path, size):
+    dice = random.Random(size)
+    docs = {}
+    for number, n in enumerate([0, 1, 2, 150, 30]):
+        docs[number] = [{"i": i, "v": value(dice, 0), "w": value(dice, 0)} for i in range(n)]
+        text = json.dumps(docs[number], ensure_ascii=bool(number % 2), indent=1 if number % 3 == 0 else None)
+        (tmp_path / f"{number}.json").write_text(f" {text}\n", encoding="utf-8")
+    found = {}
+    for row in pieces(spark, f"{tmp_path}/*.json", size):
+        found.setdefault(int(os.path.basename(row.path)[0]), {})[row.pos] = row.payload
+    assert found[0] == {None: None}
+    for number in range(1, 5):
+        assert [json.loads(found[number][i]) for i in range(len(found[number]))] == docs[number]
+
+
+@pytest.mark.parametrize(
+    "text", [" \n", "{}", '[{"a": 1}', '[{"a": 1}] x', '[1, {"a": 2}]', '[{"a": "}]', '{"a": [{}]}', '[{"a": 1}, null]', "[[{}]]", "[{}]]", '["a}b"]']
+)
+def test_what_is_no_array_of_objects_fails(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception, match="no array of objects"):
+        pieces(spark, str(tmp_path / "x.json"), 1000)
+
+
+def test_a_file_is_read_by_many_tasks(spark, tmp_path):
+    rows = [{"i": i, "text": "{" * (i % 5) + "]" * (i % 3)} for i in range(2000)]
+    (tmp_path / "x.json").write_text(json.dumps(rows))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "8000"):
+        df = spark.read.option("lineSep", "}").text(str(tmp_path / "x.json"))
+        assert df.select("_metadata.file_block_start").distinct().count() > 5
+        found = scan_documents(spark, str(tmp_path / "x.json"), "i INT, text STRING", splittable=True)
+        assert sorted(map(tuple, found.collect())) == [(r["i"], r["text"]) for r in rows]

@@ -6,7 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gallery.registry import query, table
-from halfspace.operators import AtLeastRows, InRange, NotNull, check, gate
+from halfspace.operators import (
+    AtLeastRows,
+    InRange,
+    NotNull,
+    Referenced,
+    Unique,
+    check,
+    check_suite,
+    gate,
+)
 
 
 def report(name: str, column: str, judged: str, bad: str, mostly: float, source: str) -> str:
@@ -107,3 +116,79 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [AtLeastRows(1), NotNull("event_id"), InRange("value", 0.0, 600.0, mostly=0.99)]
     report = check(table(spark, sf_dir, "events"), checks)
     return spark.createDataFrame(gate(report), report.schema)
+
+
+@query(
+    " union all ".join(
+        [
+            not_null_sql("l_orderkey", "lineitem"),
+            report(
+                "unique(l_orderkey, l_linenumber)",
+                "l_orderkey, l_linenumber",
+                "count(*)",
+                "count(*) filter (where n > 1)",
+                1.0,
+                "(select count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem)",
+            ),
+            report(
+                "unique(l_partkey)",
+                "l_partkey",
+                "count(*)",
+                "count(*) filter (where n > 1)",
+                0.5,
+                "(select count(*) over (partition by l_partkey) as n from lineitem)",
+            ),
+            report(
+                "referenced(l_orderkey, open_orders.o_orderkey)",
+                "l_orderkey",
+                "count(*)",
+                "count(*) filter (where not there)",
+                0.9,
+                """(select l_orderkey in (select o_orderkey from orders where o_orderstatus = 'O') as there
+                    from lineitem)""",
+            ),
+            report(
+                "referenced(l_suppkey, suppliers.s_suppkey)",
+                "l_suppkey",
+                "count(*)",
+                "count(*) filter (where not there)",
+                1.0,
+                "(select l_suppkey in (select s_suppkey from supplier) as there from lineitem)",
+            ),
+        ]
+    )
+)
+def dq_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checks of rows and of keys in one suite: repeated keys, and keys that no row has."""
+    checks = [
+        NotNull("l_orderkey"),
+        Unique(("l_orderkey", "l_linenumber")),
+        Unique(("l_partkey",), mostly=0.5),
+        Referenced("l_orderkey", "open_orders", "o_orderkey", mostly=0.9),
+        Referenced("l_suppkey", "suppliers", "s_suppkey"),
+    ]
+    tables = {
+        "open_orders": table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "O"),
+        "suppliers": table(spark, sf_dir, "supplier"),
+    }
+    return check_suite(table(spark, sf_dir, "lineitem"), checks, tables=tables)
+
+
+@query("""
+    with bad as (
+        select 'in_range(l_discount)' as "check", l_returnflag, cast(l_discount as varchar) as value
+        from lineitem where not l_discount between 0.02 and 0.07
+        union all
+        select 'in_range(l_quantity)', l_returnflag, cast(l_quantity as varchar)
+        from lineitem where l_quantity > 45
+        union all
+        select 'not_null(tax)', l_returnflag, null from lineitem where l_tax = 0
+    )
+    select l_returnflag, "check", value, count(*) as n from bad group by all
+""")
+def dq_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commonest bad values of each check, from the aggregate that makes the report."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("tax", F.nullif("l_tax", F.lit(0.0)))
+    checks = [InRange("l_discount", 0.02, 0.07), InRange("l_quantity", 0, 45), NotNull("tax")]
+    found = check(lines, checks, by=["l_returnflag"], commonest=50)
+    return found.select("l_returnflag", "check", F.inline("commonest"))

@@ -8,6 +8,7 @@ from halfspace.operators.groups import (
     top_groups,
     total_and_mean_by,
 )
+from halfspace.operators.key_checks import Referenced, Unique, check_suite, key_check
 from halfspace.operators.keys import first_listed, landing_counts, only_listed, unlanded_keys
 from halfspace.operators.project import flatten
 from halfspace.operators.quality import (
@@ -29,13 +30,17 @@ __all__ = [
     "NotNull",
     "ObservedTally",
     "QualityGateError",
+    "Referenced",
+    "Unique",
     "check",
+    "check_suite",
     "density",
     "drop_incomplete",
     "first_listed",
     "flatten",
     "gate",
     "judge",
+    "key_check",
     "landing_counts",
     "means_by",
     "only_listed",

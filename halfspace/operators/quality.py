@@ -98,21 +98,48 @@ def _entry(c: Check, rows: Column, bad: Column, judged: Column) -> Column:
     )
 
 
-def check(df: DataFrame, checks: Sequence[Check], by: Sequence[str] = ()) -> DataFrame:
+# Different bad values whose counts an aggregate keeps; with more, counts are estimates.
+MOST_TRACKED = 10_000
+SHOWN_CHARS = 100
+COMMONEST = "array<struct<value:string,n:bigint>>"
+
+
+def _commonest(c: Check, df: DataFrame, bad: Column, k: int) -> Column:
+    """The k commonest bad values as text, from a summary of bounded size."""
+    if c.column == "*":
+        return F.lit(None).cast(COMMONEST)
+    shown = F.substring(F.col(c.column).cast("string"), 1, SHOWN_CHARS)
+    # Marks tell rows that are not bad (NULL) from bad ones without a value (-).
+    marked = F.when(bad, F.coalesce(F.concat(F.lit("+"), shown), F.lit("-")))
+    top = F.call_function("approx_top_k", marked, F.lit(k + 1), F.lit(MOST_TRACKED))
+    found = F.filter(top, lambda entry: entry["item"].isNotNull())
+    ranked = F.array_sort(F.transform(found, lambda e: F.struct((-e["count"]).alias("n"), e["item"].alias("item"))))
+    value = lambda item: F.when(item != "-", F.substring(item, 2, SHOWN_CHARS))
+    entries = F.transform(ranked, lambda e: F.struct(value(e["item"]).alias("value"), (-e["n"]).alias("n")))
+    return F.slice(entries, 1, k)
+
+
+def check(
+    df: DataFrame, checks: Sequence[Check], by: Sequence[str] = (), commonest: int = 0
+) -> DataFrame:
     """One report row per check, from a single aggregate over ``df``.
 
     ``nonnull`` is the number of rows judged by the check, ``unexpected_pct`` its
     percentage of bad ones. With ``by``, each group is checked for itself, so that a
-    large good one does not make up for a small bad one.
+    large good one does not make up for a small bad one. With ``commonest``, a column of
+    that name has so many of the commonest bad values, with their counts.
     """
     counters = [F.count("*").alias("rows")]
     for i, c in enumerate(checks):
         bad, judged = c.flags(df)
         counters += [F.count_if(bad).alias(f"bad_{i}"), F.count_if(judged).alias(f"judged_{i}")]
-    entries = [
-        _entry(c, F.col("rows"), F.col(f"bad_{i}"), F.col(f"judged_{i}"))
-        for i, c in enumerate(checks)
-    ]
+        if commonest:
+            counters.append(_commonest(c, df, bad, commonest).alias(f"top_{i}"))
+    entries = []
+    for i, c in enumerate(checks):
+        entry = _entry(c, F.col("rows"), F.col(f"bad_{i}"), F.col(f"judged_{i}"))
+        top = F.coalesce(f"top_{i}", F.array().cast(COMMONEST)).alias("commonest") if commonest else None
+        entries.append(entry.withField("commonest", top) if commonest else entry)
     return df.groupBy(*by).agg(*counters).select(*by, F.inline(F.array(*entries)))
 
 

@@ -25,11 +25,15 @@ from halfspace.operators import (
     AtLeastRows,
     InRange,
     NotNull,
+    QualityGateError,
     check,
+    check_suite,
     gate,
+    key_check,
     landing_counts,
     unlanded_keys,
 )
+from halfspace.operators.key_checks import KeyCheck
 from halfspace.operators.quality import Check
 from halfspace.plans import published
 from halfspace.plans.trusted import trusted_events, trusted_matches
@@ -65,6 +69,9 @@ EVENT_CHECKS: tuple[Check, ...] = (
 
 MATCH_CHECKS: tuple[Check, ...] = (NotNull("match_id"),)
 
+# Bad values that the report of a failed check shows.
+SHOWN_VALUES = 20
+
 # Parts of a season beyond which its rows are written together again.
 MOST_PARTS = 32
 
@@ -86,7 +93,9 @@ class Lake:
     scopes: tuple[Scope, ...] = ((DEFAULT_COMPETITION_ID, DEFAULT_SEASON_ID),)
     sample_matches: int | None = None
     checks: tuple[Check, ...] = EVENT_CHECKS
-    match_checks: tuple[Check, ...] = MATCH_CHECKS
+    match_checks: tuple[Check | KeyCheck, ...] = MATCH_CHECKS
+    # Checks of the events' keys; ``Referenced`` may name the table ``matches``.
+    key_checks: tuple[KeyCheck, ...] = ()
     # Landing batches that run at a time.
     jobs: int = 4
 
@@ -260,7 +269,8 @@ def _state(spark: SparkSession, lake: Lake) -> str:
     landed = _landed_in_scope(spark, lake)
     row = F.xxhash64(*landed.columns).cast("decimal(38,0)")
     count, digest = landed.agg(F.count("*"), F.sum(row)).first()
-    return f"{count} {digest} {sorted(lake.scopes)} {lake.sample_matches} {lake.checks}"
+    checked = f"{lake.sample_matches} {lake.checks} {lake.key_checks}"
+    return f"{count} {digest} {sorted(lake.scopes)} {checked}"
 
 
 def _staging(lake: Lake, name: str) -> str:
@@ -383,6 +393,20 @@ def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
     return metrics
 
 
+def _with_values(live: DataFrame, lake: Lake, report: list[dict]) -> list[dict]:
+    """A failed report, with the commonest bad values of the checks that failed."""
+    failed = {entry["check"] for entry in report if not entry["success"]}
+    checks = [c for c in lake.checks if c.name in failed]
+    if not checks:
+        return report
+    found = {
+        (*(row[column] for column in SCOPE), row["check"]): [tuple(value) for value in row["commonest"]]
+        for row in check(live, checks, SCOPE, commonest=SHOWN_VALUES).collect()
+    }
+    keyed = [((*(entry.get(column) for column in SCOPE), entry["check"]), entry) for entry in report]
+    return [{**entry, "commonest": found[key]} if key in found else entry for key, entry in keyed]
+
+
 def _gate(spark: SparkSession, lake: Lake, after: Version) -> Metrics:
     """Judge the scopes' rows of a version that may be published."""
     path = lake.path(EVENTS)
@@ -392,7 +416,14 @@ def _gate(spark: SparkSession, lake: Lake, after: Version) -> Metrics:
     else:
         rows = lake.in_scope(read_version(spark, path, after))
         report = check(checked_batch(spark, lake, rows), lake.checks, by=SCOPE)
-    entries = gate(report, by=SCOPE, expected=lake.scopes)
+    live = lake.in_scope(read_version(spark, path, after))
+    tables = {"matches": _listed(spark, lake)} if lake.key_checks else {}
+    for c in lake.key_checks:
+        report = report.unionByName(key_check(live, c, SCOPE, tables))
+    try:
+        entries = gate(report, by=SCOPE, expected=lake.scopes)
+    except QualityGateError as error:
+        raise QualityGateError(_with_values(live, lake, error.report)) from None
     rows = {tuple(entry[column] for column in SCOPE): entry["rows"] for entry in entries}
     return {
         "rows_validated": str(sum(rows.values())),
@@ -432,7 +463,7 @@ def publish_matches(spark: SparkSession, lake: Lake) -> Metrics:
     """
     path = lake.path("trusted/matches")
     matches = trusted_matches(_listed(spark, lake), keep=SCOPE)
-    entries = gate(check(matches, lake.match_checks, by=SCOPE), by=SCOPE)
+    entries = gate(check_suite(matches, lake.match_checks, SCOPE), by=SCOPE)
     filled = {tuple(entry[column] for column in SCOPE) for entry in entries}
     emptied = [published.folder(scope) for scope in set(lake.scopes) - filled]
     replace_partitions(matches, path, SCOPE, emptied)

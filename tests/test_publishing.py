@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import event, match
-from halfspace.operators import InRange, NotNull, QualityGateError, check, judge, tally
+from halfspace.operators import InRange, NotNull, QualityGateError, Referenced, Unique, check, judge, tally
 from halfspace.operators.quality import ObservedTally
 from halfspace.plans import Lake, medallion, run
 from halfspace.sinks import append_rows, exists, remove, replace_partitions, replace_table, versions
@@ -132,6 +132,21 @@ def test_many_parts_are_written_together(spark, nightly, lake, monkeypatch):
     assert published(spark, lake) == {(90, i): 2 for i in range(1, 6)}
 
 
+def test_checks_of_keys_hold_the_gate(spark, nightly, lake):
+    keyed = replace(lake, key_checks=(Unique(("event_id",)), Referenced("match_id", "matches", "match_id")))
+    nightly(1, 2, over=keyed)
+    with pytest.raises(QualityGateError, match=r"unique\(event_id\)"):
+        nightly(1, 2, 3, over=keyed, events=[event("Pass", id="1-0")])
+    assert published(spark, lake) == {(90, 1): 2, (90, 2): 2}
+
+
+def test_a_failed_gate_shows_bad_values(spark, nightly, lake):
+    with pytest.raises(QualityGateError) as raised:
+        nightly(1, events=[event("Pass", id=str(i), location=[500.0 + i // 2, 1.0]) for i in range(4)])
+    shown = {entry["check"]: entry.get("commonest") for entry in raised.value.report}
+    assert shown["in_range(loc_x)"] == [("500.0", 2), ("501.0", 2)] and shown["not_null(period)"] is None
+
+
 def test_bad_matches_are_not_published(spark, nightly, lake):
     nightly(1, 2)
     strict = replace(lake, match_checks=(NotNull("home_score"),))

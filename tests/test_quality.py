@@ -6,7 +6,18 @@ import math
 
 import pytest
 
-from halfspace.operators import AtLeastRows, InRange, NotNull, QualityGateError, check, gate
+from halfspace.operators import (
+    AtLeastRows,
+    InRange,
+    NotNull,
+    QualityGateError,
+    Referenced,
+    Unique,
+    check,
+    check_suite,
+    gate,
+    key_check,
+)
 from halfspace.plans.medallion import EVENT_CHECKS
 
 
@@ -93,3 +104,41 @@ def test_groups_are_checked_one_by_one(spark):
     }
     with pytest.raises(QualityGateError, match="has_rows, not_null"):
         gate(report, by=["g"], expected=[(1,), (3,)])
+
+
+def test_the_commonest_bad_values_are_reported(numbers):
+    values = [9.0] * 3 + [8.0] * 5 + [7.0] + [None] * 4 + [1.0] * 50
+    report = check(numbers(*values), [InRange("x", 0, 2), NotNull("x"), AtLeastRows(1)], commonest=2)
+    found = {r.check: [tuple(v) for v in r.commonest] for r in report.collect()}
+    assert found == {"in_range(x)": [("8.0", 5), ("9.0", 3)], "not_null(x)": [(None, 4)], "at_least_rows(1)": []}
+    assert check(numbers(*values), [NotNull("x")]).columns == report.columns[:-1]
+
+
+def test_repeated_keys(spark):
+    rows = [(1, 1, "a"), (1, 1, "b"), (1, 2, "c"), (2, None, "d"), (2, None, "e"), (2, 5, "f")]
+    df = spark.createDataFrame(rows, "g INT, k INT, v STRING")
+    one = key_check(df, Unique(("k",))).first()
+    assert (one.rows, one.nonnull, one.unexpected, one.success) == (6, 4, 2, False)
+    both = key_check(df, Unique(("k", "v"), mostly=0.9)).first()
+    assert (both.check, both.unexpected, both.success) == ("unique(k, v)", 0, True)
+    by = {r.g: (r.nonnull, r.unexpected) for r in key_check(df, Unique(("k",)), ["g"]).collect()}
+    assert by == {1: (3, 2), 2: (1, 0)}
+    none = key_check(df.limit(0), Unique(("k",))).first()
+    assert (none.rows, none.unexpected, none.success) == (0, 0, True)
+    with pytest.raises(ValueError, match="groups the rows"):
+        key_check(df, Unique(("g", "k")), ["g"])
+
+
+def test_keys_that_another_table_lacks(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k INT")
+    other = spark.createDataFrame([(1,), (1,), (None,)], "id INT")
+    report = check_suite(df, [NotNull("k", mostly=0.5), Referenced("k", "list", "id", mostly=0.6)], tables={"list": other})
+    found = {r.check: (r.rows, r.nonnull, r.unexpected, r.success) for r in report.collect()}
+    assert found == {"not_null(k)": (4, 4, 1, True), "referenced(k, list.id)": (4, 3, 1, True)}
+
+
+def test_a_hot_key_travels_as_counts(spark):
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, 7, id) AS k")
+    plan = key_check(df, Unique(("k",)))._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.rindex("Exchange hashpartitioning(k") :]
+    assert "partial_count" in below

@@ -16,6 +16,7 @@ from halfspace.plans import (
     Lake,
     checked_batch,
     event_mix,
+    fit_xg,
     home_standings,
     pass_density,
     run,
@@ -23,6 +24,8 @@ from halfspace.plans import (
     team_passing,
     team_xg,
     top_pressers,
+    with_model_xg,
+    xg_gradient,
 )
 from halfspace.plans.medallion import land_matches, publish_matches
 from halfspace.sinks import write_named_arrays
@@ -309,6 +312,78 @@ def matches_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matches.groupBy("competition_id", "season_id").agg(F.count("*").alias("matches"))
 
 
+def _newton_sql(rounds: int) -> str:
+    """Logistic regression by Newton's method, a round for each pair of subqueries."""
+    steps = ["fit0 as (select cast(0 as double) as a, cast(0 as double) as b, cast(0 as double) as c)"]
+    for i in range(rounds):
+        steps.append(f"""sums{i} as (
+            select any_value(a) as a, any_value(b) as b, any_value(c) as c,
+                   sum(goal - p) as g0, sum((goal - p) * distance) as g1, sum((goal - p) * angle) as g2,
+                   sum(w) as h00, sum(w * distance) as h01, sum(w * angle) as h02,
+                   sum(w * distance * distance) as h11, sum(w * distance * angle) as h12,
+                   sum(w * angle * angle) as h22
+            from (select *, p * (1 - p) as w
+                  from (select *, 1 / (1 + exp(-(a + b * distance + c * angle))) as p from shots, fit{i})))""")
+        # Cramer's rule on the symmetric matrix of three rows.
+        steps.append(f"""fit{i + 1} as (
+            select a + (g0 * (h11 * h22 - h12 * h12) - h01 * (g1 * h22 - h12 * g2) + h02 * (g1 * h12 - h11 * g2)) / d as a,
+                   b + (h00 * (g1 * h22 - h12 * g2) - g0 * (h01 * h22 - h12 * h02) + h02 * (h01 * g2 - g1 * h02)) / d as b,
+                   c + (h00 * (h11 * g2 - g1 * h12) - h01 * (h01 * g2 - g1 * h02) + g0 * (h01 * h12 - h11 * h02)) / d as c
+            from (select *, h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02)
+                            + h02 * (h01 * h12 - h11 * h02) as d from sums{i}))""")
+    return ", ".join(steps)
+
+
+XG_SHOTS = EVENTS_SQL + """
+    , shots as (
+        select team_name, sqrt(power(120 - loc_x, 2) + power(40 - loc_y, 2)) as distance,
+               abs(atan2(44 - loc_y, 120 - loc_x) - atan2(36 - loc_y, 120 - loc_x)) as angle,
+               case when shot_outcome = 'F' then 1.0::double else 0 end as goal
+        from trusted where event_type = 'Shot' and loc_x is not null and loc_y is not null
+    ), """ + _newton_sql(8)
+
+
+@query(
+    XG_SHOTS
+    + """
+    select 'intercept' as term, round(a, 3) as value from fit8
+    union all select 'distance', round(b, 3) from fit8
+    union all select 'angle', round(c, 3) from fit8
+    union all select 'shots', cast(count(*) as double) from shots
+    union all select 'goals', sum(goal) from shots
+    union all select 'gradient', cast(0 as double)
+    """
+)
+def xg_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model of expected goals over all shots; its gradient, the largest entry, is zero."""
+    events = _trusted(spark, sf_dir, "events")
+    model = fit_xg(events, goal="F")
+    fixed = [(name, float(getattr(model, name))) for name in ("intercept", "distance", "angle", "shots", "goals")]
+    terms = spark.createDataFrame(fixed, "term STRING, value DOUBLE")
+    steepest = F.greatest(*[F.abs(name) for name in ("intercept", "distance", "angle")])
+    gradient = xg_gradient(events, model, goal="F").select(F.lit("gradient").alias("term"), steepest.alias("value"))
+    return terms.unionByName(gradient).select("term", F.round("value", 3).alias("value"))
+
+
+@query(
+    XG_SHOTS
+    + """
+    select team_name, count(*) as shots, cast(sum(goal) as bigint) as goals,
+           round(sum(1 / (1 + exp(-(a + b * distance + c * angle)))), 2) as model_xg
+    from shots, fit8 group by team_name
+    """
+)
+def xg_by_team(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goals that the model expects of each team's shots, beside those it scored."""
+    events = _trusted(spark, sf_dir, "events")
+    shots = with_model_xg(events, fit_xg(events, goal="F")).where("model_xg IS NOT NULL")
+    return shots.groupBy("team_name").agg(
+        F.count("*").alias("shots"),
+        F.count_if(F.col("shot_outcome") == "F").alias("goals"),
+        F.round(F.sum("model_xg"), 2).alias("model_xg"),
+    )
+
+
 _published: dict[tuple[str, str], Lake] = {}
 
 

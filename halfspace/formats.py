@@ -103,6 +103,11 @@ RANGE_TOLERANCE = 0.99
 GRID_CELL = (10, 8)
 OPPONENT_HALF_X = 60
 
+# The goal that is attacked: its line, and its posts.
+GOAL_X = 120.0
+POST_Y = (36.0, 44.0)
+SHOT = "Shot"
+GOAL = "Goal"
+
 DEFAULT_COMPETITION_ID = 11
 DEFAULT_SEASON_ID = 90
-SAMPLE_MATCHES = 5

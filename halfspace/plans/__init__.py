@@ -11,13 +11,17 @@ from halfspace.plans.analytics import (
 )
 from halfspace.plans.medallion import GROUPS, Lake, checked_batch, run, trusted_views
 from halfspace.plans.trusted import checked_events, trusted_events, trusted_matches
+from halfspace.plans.xg import NoModelError, XgModel, fit_xg, with_model_xg, xg_gradient
 
 __all__ = [
     "GROUPS",
     "Lake",
+    "NoModelError",
+    "XgModel",
     "checked_batch",
     "checked_events",
     "event_mix",
+    "fit_xg",
     "home_standings",
     "pass_density",
     "run",
@@ -28,4 +32,6 @@ __all__ = [
     "trusted_events",
     "trusted_matches",
     "trusted_views",
+    "with_model_xg",
+    "xg_gradient",
 ]

@@ -31,6 +31,7 @@ from halfspace.plans.medallion import land_matches, publish_matches
 from halfspace.sinks import write_named_arrays
 from halfspace.sinks.versions import current_version
 from halfspace.sources import FileFeed, TableFeed, read_table
+from halfspace.streaming import land_event_files
 from halfspace.workspace import fresh_dir
 
 COMPETITION = 11
@@ -297,6 +298,29 @@ def medallion_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+    select case when s_nationkey < 12 then 1 else 2 end as season_id,
+           cast(s_suppkey as int) as match_id, count(*) as events
+    from supplier join lineitem on l_suppkey = s_suppkey group by all
+""")
+def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files that arrive in two drops, landed by a stream, then checked and published."""
+    feed, lake = _feed(spark, sf_dir), Lake(fresh_dir(spark, "lake"), SCOPES)
+    source, checkpoint = fresh_dir(spark, "drops"), fresh_dir(spark, "checkpoint")
+    payload = F.to_json("document").alias("payload")
+    keys = feed.matches.select(F.col("document.match_id").cast("string").alias("name"))
+    events = feed.documents.select(F.col("match_id").cast("string").alias("name"), "pos", payload)
+    files = keys.join(events, "name", "left")
+    early = F.col("name").cast("int") % 3 > 0
+    for drop in (files.where(early), files.where(~early)):
+        write_named_arrays(drop, source)
+        land_event_files(spark, lake, source, checkpoint, files_per_batch=500)
+    land_matches(spark, lake, feed)
+    run(spark, lake, feed, groups={"validation", "transformation"})
+    events = read_table(spark, lake.path("trusted/events"))
+    return events.groupBy("season_id", "match_id").agg(F.count("*").alias("events"))
+
+
 @query("""
     select 11 as competition_id, 1 as season_id, count(*) as matches
     from supplier where s_nationkey < 12

@@ -29,7 +29,7 @@ from halfspace.sources import (
     read_table_or_empty,
     read_texts,
 )
-from halfspace.streaming import land_new_files
+from halfspace.streaming import EmptyFileError, land_new_files
 from halfspace.workspace import fresh_dir, setting
 
 
@@ -256,6 +256,15 @@ def test_stream_lands_old_files_and_refuses_blank_ones(spark, site, tmp_path):
         land_new_files(spark, *paths)
 
 
+def test_stream_notices_files_of_zero_bytes(spark, site, tmp_path):
+    paths = [f"{site.root}/events", str(tmp_path / "raw"), str(tmp_path / "checkpoint")]
+    site.put("events/1.json", [event("Pass", id="a")])
+    (site.root / "events" / "2.json").write_text("")
+    with pytest.raises(EmptyFileError, match="2.json"):
+        land_new_files(spark, *paths)
+    assert [r.name for r in read_table(spark, paths[1]).collect()] == ["1"]
+
+
 def test_stream_in_several_batches(spark, site, tmp_path):
     for i in range(5):
         site.put(f"events/{i}.json", [event("Pass", id=str(i))])

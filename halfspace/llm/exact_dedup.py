@@ -4,12 +4,13 @@ A text's key is the 64-bit hash of its normalised form. The index has a director
 ``2**depth`` slots, one for each value of a key's first bits. It doubles as long as a
 bucket is overfull, and only overfull buckets are split, so a bucket covers one slot or
 a run of slots: a range of keys. Each bucket is a folder of files in the shared folder,
-written by the task that owns its range. Keys that meet in full are chained: a chain
-holds one entry for each different text, told apart by comparing the bytes.
+written by the task that owns its range. The owner chains what has one key: it goes through
+the key's texts in order, compares each one's bytes with those before it, and begins another
+entry where they differ. Group sizes and keepers are those of the chains' entries.
 
-Bytes are compared by grouping on key and text. Spark combines equal texts inside the
-tasks first, so a group of copies sends one row per task however large it is. Looking
-rows up in the index goes by ``hot_join``. Only DataFrame operations are used.
+Copies are combined before they are routed, into at most ``PORTIONS`` rows of a text, so
+an owner gets few rows however large a group is. Looking rows up in the index goes by
+``hot_join``. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ WHITE_SPACE = " \t\n\x0b\x0c\r"
 # still overfull then keeps its entries in longer files.
 CAPACITY = 32_768
 MAX_DEPTH = 12
+# Rows into which the copies of a text are combined before they are routed, at most.
+PORTIONS = 8
 
 
 def normalised(text: Column) -> Column:
@@ -38,11 +41,15 @@ def normalised(text: Column) -> Column:
     return text
 
 
+def hash_key(norm: Column) -> Column:
+    return F.xxhash64(norm)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     text = normalised(F.col("text"))
     chars = F.length(F.coalesce("text", F.lit("")))
     return docs.select("doc_id", chars.alias("chars"), text.alias("norm")).withColumn(
-        "key", F.xxhash64("norm")
+        "key", hash_key(F.col("norm"))
     )
 
 
@@ -62,25 +69,16 @@ def _rank() -> Column:
     return (longer + F.coalesce(earlier, F.lit(Decimal(0)))).cast("decimal(38,0)")
 
 
-def _entries(keyed: DataFrame) -> DataFrame:
-    """One row for each different text: its key, digest, group size and keeper."""
-    ranked = keyed.select("key", "norm", _rank().alias("rank"))
-    groups = ranked.groupBy("key", "norm").agg(
-        F.count("*").alias("group_size"), F.max("rank").alias("rank")
-    )
-    earlier = F.col("rank") % F.lit(PER_CODE_POINT)
-    keep = F.when(earlier > 0, (F.lit(LARGEST_ID) - earlier).cast("bigint"))
-    return groups.select(
-        "key",
-        F.unhex(F.sha2("norm", 256)).alias("sha"),
-        F.octet_length("norm").alias("n_bytes"),
-        keep.alias("keep_id"),
-        "group_size",
+def _portions(keyed: DataFrame) -> DataFrame:
+    """The copies of a text combined into a few rows, each with their number and keeper."""
+    ranked = keyed.select(
+        "key", "norm", _rank().alias("rank"), F.pmod(F.xxhash64("doc_id"), F.lit(PORTIONS)).alias("portion")
     )
+    return ranked.groupBy("key", "norm", "portion").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
 
 
 def directory(
-    entries: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
+    keys: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
     """The index's directory: ``slot`` (first ``max_depth`` bits), ``depth`` and ``bucket``.
 
@@ -88,9 +86,9 @@ def directory(
     n doublings tells apart the first n bits; a bucket's depth is the first n at which it
     is not overfull. At most ``2**max_depth`` counts are worked on.
     """
-    spark = entries.sparkSession
+    spark = keys.sparkSession
     slot = F.shiftrightunsigned("key", 64 - max_depth).cast("int").alias("slot")
-    counts = entries.groupBy(slot).agg(F.count("*").alias("n"))
+    counts = keys.groupBy(slot).agg(F.count("*").alias("n"))
     slots = spark.range(2**max_depth).select(F.col("id").cast("int").alias("slot"))
     levels = slots.join(F.broadcast(counts), "slot", "left").select(
         "slot",
@@ -112,15 +110,30 @@ def directory(
 def build_index(
     keyed: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
 ) -> DataFrame:
-    """Write the index and return its entries, with ``bucket`` and place in the ``chain``."""
-    entries = shared_table(_entries(keyed), "dedup-entries")
-    slots = shared_table(directory(entries, capacity, max_depth).coalesce(1), "dedup-directory")
+    """Write the index and return its entries: key, sha, keep_id, group_size, and their
+    ``bucket`` and place in the ``chain``."""
+    portions = shared_table(_portions(keyed), "dedup-portions")
+    keys = portions.select("key").distinct()
+    slots = shared_table(directory(keys, capacity, max_depth).coalesce(1), "dedup-directory")
     slot = F.shiftrightunsigned("key", 64 - max_depth).cast("int")
-    placed = entries.withColumn("slot", slot).join(F.broadcast(slots), "slot").drop("slot")
-    owned = placed.repartitionByRange("bucket", "key")
-    chain = Window.partitionBy("bucket", "key").orderBy("n_bytes", "sha")
-    chained = owned.withColumn("chain", F.row_number().over(chain))
-    return shared_table(chained, "dedup-index", by=["bucket"])
+    placed = portions.withColumn("slot", slot).join(F.broadcast(slots), "slot").drop("slot")
+    owned = placed.withColumn("n_bytes", F.octet_length("norm")).repartitionByRange("bucket", "key")
+    # The chain: texts of one key in order, and a new entry where the bytes change.
+    chain = Window.partitionBy("bucket", "key").orderBy("n_bytes", "norm")
+    differs = ~F.col("norm").eqNullSafe(F.lag("norm").over(chain))
+    chained = owned.withColumn("differs", differs.cast("int"))
+    chained = chained.withColumn("chain", F.sum("differs").over(chain.rowsBetween(Window.unboundedPreceding, 0)))
+    first = F.max(F.when(F.col("differs") == 1, F.unhex(F.sha2("norm", 256)))).alias("sha")
+    entries = chained.groupBy("bucket", "key", "chain").agg(
+        first, F.sum("n").alias("group_size"), F.max("rank").alias("rank")
+    )
+    earlier = F.col("rank") % F.lit(PER_CODE_POINT)
+    keep = F.when(earlier > 0, (F.lit(LARGEST_ID) - earlier).cast("bigint"))
+    return shared_table(
+        entries.select("key", "sha", keep.alias("keep_id"), "group_size", "chain", "bucket"),
+        "dedup-index",
+        by=["bucket"],
+    )
 
 
 def mark_duplicates(

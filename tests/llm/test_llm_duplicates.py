@@ -90,6 +90,23 @@ def test_keys_that_collide_are_chained(spark, monkeypatch):
     assert sorted(r.chain for r in index.collect()) == [1, 2, 3]
 
 
+def test_portions_of_a_group_meet_in_the_chain(spark):
+    """Copies arrive in several rows at their bucket's owner, who adds them up."""
+    rows = [(i, "same text" + " " * (i % 5)) for i in range(60)] + [(None, "same text"), (99, "other")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    portions = exact_dedup._portions(exact_dedup._keyed(docs))
+    assert 2 < portions.count() <= exact_dedup.PORTIONS + 1
+    assert sorted((r.group_size, r.keep_id) for r in exact_dedup.build_index(exact_dedup._keyed(docs)).collect()) == [(1, 99), (61, 4)]
+    assert marked(spark, rows) == brute_groups(rows)
+
+
+def test_a_chain_that_does_not_compare_bytes_is_wrong(spark, monkeypatch):
+    """Texts with one key are told apart by the chain alone."""
+    monkeypatch.setattr(exact_dedup, "hash_key", lambda norm: F.lit(7).cast("bigint"))
+    rows = [(i, f"text {i % 5}") for i in range(40)]
+    assert marked(spark, rows) == brute_groups(rows)
+
+
 def test_deduplicate_keeps_all_columns_of_one_row_each(spark):
     rows = [(2, "a b", 1, b"x"), (1, "ab", 2, None), (None, "c", 3, None), (None, "c", 4, None)]
     rows += [(5, "d", 5, None), (5, "d", 6, None), (5, "e", 7, None)]

@@ -1,7 +1,8 @@
 """Shards by a consistent-hash ring with virtual nodes and bounded loads.
 
 The ring is cut into ``SLOTS`` equal slots by the hash of the document's id and its text's
-checksum, so that an id that many rows share does not fill one slot. Each shard stands on it at ``VNODES`` pseudo-random slots. A slot's rows belong to the first
+checksum, so that an id that many rows share does not fill one slot. Rows equal in both are
+cut into chunks of bounded size, which the hash tells apart as well. Each shard stands on it at ``VNODES`` pseudo-random slots. A slot's rows belong to the first
 shard clockwise that is not full. A shard is full when its load has reached the bound,
 ``(1 + EPSILON)`` times the mean; slots it then has no room for continue clockwise. So
 no shard exceeds the bound by more than one slot, and adding a shard moves little more
@@ -22,6 +23,8 @@ from halfspace.llm.common import documents, shared_table
 SLOTS = 1 << 16
 VNODES = 128
 EPSILON = 0.002
+# Equal rows of more than this share of a shard's mean load are cut into chunks of it.
+CHUNK_SHARE = 1 / 512
 
 
 def ring(spark: SparkSession, shards: int, vnodes: int = VNODES) -> DataFrame:
@@ -81,6 +84,8 @@ def place_slots(sizes: DataFrame, walks: DataFrame, shards: int, epsilon: float)
     The state is one table of at most ``SLOTS`` rows, written anew in every round; the
     driver sees one row per shard.
     """
+    # Written first, so that one task below reads a row for each slot, not for each task.
+    sizes = shared_table(sizes, "slot-sizes")
     slots = shared_table(
         sizes.join(walks, "slot").withColumn("shard", F.lit(None).cast("int")).coalesce(1),
         "ring",
@@ -126,6 +131,35 @@ def place_slots(sizes: DataFrame, walks: DataFrame, shards: int, epsilon: float)
     return slots
 
 
+def _chunked(rows: DataFrame, shards: int) -> DataFrame:
+    """Rows with their ``key`` on the ring: equal rows beyond a chunk's size get others.
+
+    There are at most ``shards / CHUNK_SHARE`` groups of equal rows that are larger, so they
+    are broadcast. Their rows are numbered inside the parts of the written table, and the
+    parts by what lies before them; which of equal rows has which number does not matter.
+    """
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    chunk = max(1, int(total * CHUNK_SHARE / shards))
+    groups = rows.groupBy("key", "size").agg(F.count("*").alias("n"))
+    large = groups.where(F.col("n") * F.col("size") > chunk).select("key", "size")
+    large = shared_table(large, "shard-large")
+    if large.isEmpty():
+        return rows
+    on = ["key", "size"]
+    here = rows.join(F.broadcast(large), on)
+    before = Window.partitionBy(*on).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = here.groupBy(*on, "part").agg(F.count("*").alias("n"))
+    parts = parts.select(*on, "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    inside = Window.partitionBy(*on, "part").orderBy("seq")
+    numbered = here.withColumn("place", F.row_number().over(inside) - 1).join(parts, [*on, "part"])
+    each = F.greatest(F.floor(F.lit(chunk) / F.col("size")), F.lit(1))
+    number = F.floor((F.col("place") + F.col("earlier")) / each)
+    moved = F.when(number > 0, F.xxhash64("key", number)).otherwise(F.col("key"))
+    spread = numbered.withColumn("key", moved).select(*rows.columns)
+    rest = rows.join(F.broadcast(large), on, "left_anti")
+    return shared_table(rest.unionByName(spread), "shard-chunks")
+
+
 def assign_shards(
     docs: DataFrame, shards: int = 8, epsilon: float = EPSILON, vnodes: int = VNODES
 ) -> DataFrame:
@@ -133,8 +167,7 @@ def assign_shards(
 
     The size is the text's UTF-8 bytes plus one; a NULL text has none, an empty one
     neither. The ring's key is the id with the text's checksum: rows without an id, or that
-    repeat one, are spread by their texts, and only rows that are equal in both lie
-    together in one slot of the ring. Other columns are ignored, and an empty table gives
+    repeat one, are spread by their texts, and rows that are equal in both by chunks. Other columns are ignored, and an empty table gives
     an empty result.
     """
     text = F.coalesce("text", F.lit(""))
@@ -142,8 +175,14 @@ def assign_shards(
         "doc_id",
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
-    ).withColumn("key", F.xxhash64("doc_id", "text_crc32"))
-    rows = shared_table(rows, "shard-rows")
+    ).withColumns(
+        {
+            "key": F.xxhash64("doc_id", "text_crc32"),
+            "part": F.spark_partition_id(),
+            "seq": F.monotonically_increasing_id(),
+        }
+    )
+    rows = _chunked(shared_table(rows, "shard-rows"), shards).drop("part", "seq")
     sizes = rows.groupBy(_slot()).agg(
         F.sum("size").alias("size"), F.count("*").alias("n_rows")
     )

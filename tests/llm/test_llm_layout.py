@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+import random
 import zlib
 from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from halfspace.llm import packing, sharding
 
@@ -165,6 +167,66 @@ def test_an_id_of_many_rows_is_spread(spark):
     assert loads.max() <= loads.mean() * (1 + sharding.EPSILON) + max(r["size"] for r in found) * 4
 
 
+def test_equal_rows_are_spread(spark):
+    """A third of the rows are equal in id and text, and the law holds."""
+    rows = [(None, "the same text in each of them")] * 3000 + [(i, f"text {i} " * 3) for i in range(6000)]
+    rows += [(5, "another hot one")] * 900
+    found = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA).repartition(5), 8).collect()
+    assert len(found) == len(rows)
+    loads, slots = np.zeros(8), [[] for _ in range(8)]
+    for r in found:
+        loads[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert loads.max() <= loads.mean() * 1.01 and loads.min() >= loads.mean() * 0.97
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+    again = sharding.assign_shards(spark.createDataFrame(rows, SCHEMA).repartition(3), 8)
+    kinds = lambda found: sorted((str(r.doc_id), r.text_crc32, r.shard) for r in found)
+    assert kinds(again.collect()) == kinds(found)
+
+
+def test_slots_are_placed_as_a_walk_round_the_ring_places_them(spark):
+    """Bounded loads in Python: shards take slots in turn, and what is full hands on."""
+    shards, epsilon = 5, 0.05
+    dice = random.Random(3)
+    walks = sharding.ring(spark, shards, 8)
+    nodes = spark.range(shards).selectExpr("cast(id AS INT) AS shard", "explode(sequence(0, 7)) AS vnode")
+    place = F.pmod(F.xxhash64(F.lit("vnode"), "shard", "vnode"), F.lit(sharding.SLOTS)).cast("int")
+    ring = {}
+    for row in nodes.select("shard", place.alias("place")).collect():
+        ring[row.place] = min(ring.get(row.place, row.shard), row.shard)
+    places = sorted(ring)
+
+    def walk(slot: int) -> list[int]:
+        onward = [p for p in places if p >= slot] + [p for p in places if p < slot]
+        return list(dict.fromkeys(ring[p] for p in onward))
+
+    sizes = {dice.randrange(sharding.SLOTS): dice.randint(1, 60) for _ in range(400)}
+    turn = spark.createDataFrame([(s,) for s in sizes], "slot INT").select("slot", F.xxhash64(F.lit("turn"), "slot").alias("turn"))
+    turns = {r.slot: (r.turn, r.slot) for r in turn.collect()}
+    bound = sum(sizes.values()) * (1 + epsilon) / shards
+    loads, full, owner = dict.fromkeys(range(shards), 0), set(), {}
+    while True:
+        turned = set()
+        wishes = {s: next((w for w in walk(s) if w not in full), None) for s in sizes if s not in owner}
+        ahead = dict(loads)
+        for slot in sorted(wishes, key=turns.get):
+            shard = wishes[slot]
+            if shard is not None and ahead[shard] < bound:
+                owner[slot] = shard
+                loads[shard] += sizes[slot]
+            elif shard is not None:
+                turned.add(shard)
+            if shard is not None:
+                ahead[shard] += sizes[slot]
+        if not turned:
+            break
+        full |= turned
+    table = spark.createDataFrame([(s, n, 1) for s, n in sizes.items()], "slot INT, size BIGINT, n_rows BIGINT")
+    placed = sharding.place_slots(table, walks, shards, epsilon).collect()
+    assert {r.slot: r.walk for r in placed} == {s: walk(s) for s in sizes}
+    assert {r.slot: r.shard for r in placed} == owner
+
+
 def test_ring_has_every_slot_and_all_shards(spark):
     rows = sharding.ring(spark, 5, 16).collect()
     assert sorted(r.slot for r in rows) == list(range(sharding.SLOTS))

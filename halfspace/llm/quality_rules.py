@@ -1,17 +1,18 @@
 """Quality rules whose cutoffs are risk-controlled on labelled holdouts.
 
-Each rule rejects a text when one measure is above a cutoff. Cutoffs are chosen for each
-stratum (language) from the measures of its labelled good texts. A cutoff is certified
-when the exact binomial (Clopper-Pearson) upper bound on the share of good texts that it
-rejects is at most the rule's part of ``RISK``. Errors of the certificates are limited to
-``ERROR`` over all strata and rules together: by Bonferroni among strata and rules, and by
-testing a rule's cutoffs in a fixed order, from the most lenient on, up to the first that
-fails. So with probability ``1 - ERROR`` no stratum loses more than ``RISK`` of its good
-texts to the rules. Of the certified cutoffs the most lenient one stays that rejects
-nearly as many bad texts as any. A stratum with too few labels has no cutoffs.
+Each rule rejects a text when one measure is above a cutoff. For each stratum (language) the
+rules are tightened together along a path: a step's cutoffs are those that a given share of
+the stratum's texts exceed, of texts that are not labelled good, so the path is fixed before
+the good labels are looked at. A step is certified when the exact binomial (Clopper-Pearson)
+upper bound on the share of labelled good texts that its rules reject together is at most
+``RISK``. Steps are nested, and tested in order up to the first that fails, so a path needs
+one certificate for all its steps and rules; strata share ``ERROR`` by Bonferroni. So with
+probability ``1 - ERROR`` no stratum loses more than ``RISK`` of its good texts to the rules.
+Of the certified steps the most lenient one stays that rejects nearly as many bad texts as
+any. A stratum with too few labels (some 220 good ones with four strata) has no cutoffs.
 
 Measures and the counts behind the cutoffs cover all rows; the driver sees one row for
-each stratum, rule and cutoff.
+each stratum, rule and cutoff, or step.
 """
 
 from __future__ import annotations
@@ -39,6 +40,9 @@ MOST_REPEATED_PERCENT = 50
 # Cutoffs of every measure, from lenient to strict. All measures are shares.
 CUTOFFS = [round(0.98 - 0.02 * i, 2) for i in range(49)]
 
+# Steps of a path: the share of texts that each rule's cutoff may exceed.
+STEPS = [0.0, *(min(1.0, round(0.0025 * 1.25**i, 5)) for i in range(28))]
+
 # The measures, as SQL over the counts; a text without words has none.
 RULES = {
     "symbols": "n_symbols / word_chars",
@@ -164,7 +168,7 @@ def upper_bound(k: int, n: int, error: float) -> float:
 def certified(
     good: int, rejected: list[tuple[float, int, int]], risk: float, error: float
 ) -> float | None:
-    """The cutoff to use, given (cutoff, good rejected, bad rejected) from lenient to strict."""
+    """The cutoff or step to use, given (it, good rejected, bad rejected) from lenient to strict."""
     fine = []
     for cutoff, k, bad in rejected:
         # No bound is below k / n, so large k need not be worked out.
@@ -175,6 +179,26 @@ def certified(
     return next((cutoff for cutoff, bad in fine if most and bad >= NEARLY * most), None)
 
 
+def paths(above: dict[str, dict[str, list[int]]], texts: dict[str, int]) -> dict[str, list[dict[str, float]]]:
+    """Each stratum's steps, a cutoff for each rule, from lenient to strict.
+
+    ``above`` has, for each stratum and rule, how many of the stratum's ``texts`` lie above
+    each of ``CUTOFFS``.
+    """
+    found: dict[str, list[dict[str, float]]] = {}
+    for stratum, rules in above.items():
+        steps: list[dict[str, float]] = []
+        for share in STEPS:
+            step = {
+                rule: min((c for c, n in zip(CUTOFFS, counts, strict=True) if n <= share * texts[stratum]), default=1.0)
+                for rule, counts in rules.items()
+            }
+            if not steps or step != steps[-1]:
+                steps.append(step)
+        found[stratum] = steps
+    return found
+
+
 def learn_cutoffs(
     rows: DataFrame, labels: DataFrame, risk: float = RISK, error: float = ERROR
 ) -> list[tuple[str, str, float]]:
@@ -187,35 +211,47 @@ def learn_cutoffs(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)
     )
     known = known.groupBy("doc_id").agg(F.min("label").alias("label"))
-    held = rows.where(~base_failed()).join(known, "doc_id")
-    good, bad = F.col("label") == 1, F.col("label") == 0
+    measures = [_measure(rule).alias(rule) for rule in RULES]
+    judged = rows.where(~base_failed()).join(known, "doc_id", "left").select("stratum", "label", *measures)
+    judged = shared_table(judged, "judged")
     # One counter for each rule and cutoff: how many measures lie above it.
+    counters = [
+        F.sum((F.col(rule) > c).cast("int")).alias(f"{rule}_{i}") for rule in RULES for i, c in enumerate(CUTOFFS)
+    ]
+    others = judged.where(F.coalesce(F.col("label") != 1, F.lit(True)))
+    counted = others.groupBy("stratum").agg(F.count("*").alias("texts"), *counters).collect()
     above = {
-        rule: F.array(*[(_measure(rule) > c).cast("int") for c in CUTOFFS]) for rule in RULES
+        row.stratum: {rule: [row[f"{rule}_{i}"] for i in range(len(CUTOFFS))] for rule in RULES}
+        for row in counted
     }
-    flat = held.select(
-        "stratum",
-        "label",
-        F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), a.alias("above")) for r, a in above.items()])).alias("x"),
-    ).select("stratum", "label", "x.rule", F.posexplode("x.above").alias("at", "hit"))
-    table = flat.groupBy("stratum", "rule", "at").agg(
-        F.count_if(good).alias("n"),
-        F.sum(F.when(good, F.col("hit")).otherwise(0)).alias("k"),
-        F.sum(F.when(bad, F.col("hit")).otherwise(0)).alias("bad"),
+    steps = paths(above, {row.stratum: row.texts for row in counted})
+    listed = [
+        (stratum, at, *(step[rule] for rule in RULES))
+        for stratum, path in steps.items()
+        for at, step in enumerate(path)
+    ]
+    if not listed:
+        return []
+    cuts = [f"cut_{rule}" for rule in RULES]
+    path = rows.sparkSession.createDataFrame(listed, ", ".join(["stratum string", "at int", *(f"{c} double" for c in cuts)]))
+    hit = F.lit(False)
+    for rule, cut in zip(RULES, cuts, strict=True):
+        hit = hit | (F.col(rule) > F.col(cut))
+    good, bad = F.col("label") == 1, F.col("label") == 0
+    # The path has as many rows as strata and steps, and was made here.
+    held = judged.where("label IS NOT NULL").join(F.broadcast(path), "stratum")
+    table = held.groupBy("stratum", "at").agg(
+        F.count_if(good).alias("n"), F.count_if(good & hit).alias("k"), F.count_if(bad & hit).alias("bad")
     )
-    counted = defaultdict(list)
-    totals: dict[str, int] = {}
-    for row in table.collect():
-        counted[row.stratum, row.rule].append((CUTOFFS[row.at], row.k, row.bad))
-        totals[row.stratum] = row.n
-    share = risk / len(RULES)
-    one = error / max(1, len(counted))
+    rejected = defaultdict(list)
+    for row in sorted(table.collect(), key=lambda row: (row.stratum, row.at)):
+        rejected[row.stratum].append((row.at, row.k, row.bad, row.n))
+    one = error / max(1, len(rejected))
     found = []
-    for (stratum, rule), rejected in sorted(counted.items()):
-        lenient_first = sorted(rejected, reverse=True)
-        cutoff = certified(totals[stratum], lenient_first, share, one)
-        if cutoff is not None:
-            found.append((stratum, rule, cutoff))
+    for stratum, counts in sorted(rejected.items()):
+        at = certified(counts[0][3], [c[:3] for c in counts], risk, one)
+        if at is not None:
+            found += [(stratum, rule, cutoff) for rule, cutoff in steps[stratum][int(at)].items()]
     return found
 
 

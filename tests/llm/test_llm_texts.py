@@ -6,6 +6,7 @@ import math
 import random
 import re
 import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -233,6 +234,46 @@ def test_rules_reject_in_certified_strata_only(spark):
     assert quality_rules.apply_rules(docs.limit(0), labels.limit(0)).count() == 0
 
 
+def test_a_few_hundred_labels_certify_a_language(spark):
+    """Four languages with 240 good labels each: rules that one risk is not shared by."""
+    dice = random.Random(2)
+    prose = lambda: " ".join("".join(dice.choices("abcdefgh", k=5)) for _ in range(60))
+    rows, labels = [], []
+    for lang in ("en", "de", "fr", "es"):
+        for i in range(300):
+            bad = i >= 240
+            text = prose().replace("a", "#$").replace("b", "C") if bad and i % 2 else prose() + " same" * 25 * bad
+            rows.append((len(rows), text, lang))
+            labels.append((rows[-1][0], int(not bad)))
+        rows += [(len(rows) + n, prose(), lang) for n in range(60)]
+    docs = spark.createDataFrame(rows, f"{SCHEMA}, lang STRING")
+    known = spark.createDataFrame(labels, "doc_id BIGINT, quality INT")
+    measures = quality_rules.measured(docs)
+    cutoffs = quality_rules.learn_cutoffs(measures, known)
+    assert {stratum for stratum, *_ in cutoffs} == {"en", "de", "fr", "es"}
+    # Brute force: the rules of a stratum together lose at most RISK of its good texts.
+    counted = {r.doc_id: r for r in measures.collect()}
+    lost, caught = Counter(), Counter()
+    for doc_id, good in labels:
+        row = counted[doc_id]
+        if row.n_words < 50 or 100 * row.n_repeat_words > 50 * row.n_words:
+            continue
+        value = lambda rule: eval(quality_rules.RULES[rule], {}, row.asDict())
+        hit = any(s == row.stratum and value(rule) > cutoff for s, rule, cutoff in cutoffs)
+        (lost if good else caught)[row.stratum] += hit
+    for stratum in ("en", "de", "fr", "es"):
+        assert quality_rules.upper_bound(lost[stratum], 240, quality_rules.ERROR / 4) <= quality_rules.RISK
+        assert caught[stratum] >= 25
+
+
+def test_paths_are_nested():
+    above = {"en": {rule: sorted(random.Random(rule).sample(range(900), 49)) for rule in quality_rules.RULES}}
+    path = quality_rules.paths(above, {"en": 1000})["en"]
+    assert len(path) > 5
+    for before, after in zip(path, path[1:], strict=False):
+        assert all(after[rule] <= before[rule] for rule in quality_rules.RULES) and after != before
+
+
 ARTICLE = """<!doctype html><html><head><title>T</title><style>p{}</style></head>
 <body class="with-sidebar"><form id="all"><header><h1>Site</h1><nav><a href="/">Home</a></nav></header>
 <div class="cookie-notice"><p>We use cookies to make this site better for all who read it.</p></div>
@@ -414,11 +455,65 @@ def test_licence_files_headers_and_identifiers(spark):
         assert found[f"{name}/src/a.py"] == (name, "inherited", name)
     names = {path: found[path][0] for path, _ in files[-8:]}
     assert names == {
-        "h/mpl.c": "MPL-2.0", "h/gpl.py": "GPL-3.0", "i/mit.c": "MIT", "i/apache.c": "Apache-2.0",
+        "h/mpl.c": "MPL-2.0", "h/gpl.py": "GPL", "i/mit.c": "MIT", "i/apache.c": "Apache-2.0",
         "i/zlib.c": None, "i/gpl.c": "GPL-3.0", "c/LICENSE": "proprietary", "p/LICENSE": None,
     }
 
 
+LGPL = """/* This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version {} of the License, or (at your option) any later version.
+ */
+int main;"""
+GPL = """# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version {} of the License, or
+# (at your option) any later version."""
+HEADERS = {
+    "GNU Lesser General Public License, version 2.1": (LGPL.format("2.1"), "LGPL-2.1"),
+    "a library's, version 3": (LGPL.format("3"), "LGPL-3.0"),
+    "a program's, version 2 or later": (GPL.format("2"), "GPL-2.0"),
+    "a program's, version 3 or later": (GPL.format("3"), "GPL-3.0"),
+    "one line, version 2": ("Licensed under the GNU General Public License v2.0.", "GPL-2.0"),
+    "one line, no version": ("This work is licensed under the GNU General Public License.", "GPL"),
+    "a version of something else": ("Parser version 2.1 is here.\nThis work is licensed under the GNU General Public License.", "GPL"),
+    "Affero": (GPL.format("3").replace("GNU General", "GNU Affero General"), "AGPL-3.0"),
+    "Mozilla 1.1": ('The contents of this file are subject to the Mozilla Public License Version 1.1 (the "License"); '
+                    "you may not use this file except in compliance with the License.", "MPL-1.1"),
+    "BSD-style": ("// Copyright 2009 The Authors. All rights reserved.\n// Use of this source code is governed by a "
+                  "BSD-style\n// license that can be found in the LICENSE file.\npackage x", "BSD-3-Clause"),
+    "rights reserved": ("Copyright 2019 Acme. All rights reserved.", "proprietary"),
+    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice appear in all copies.", "ISC"),
+}
+
+
+def test_headers_of_each_version(spark):
+    files = [(f"src/{i}", text) for i, (text, _) in enumerate(HEADERS.values())]
+    found = scanned(spark, files)
+    assert {name: found[f"src/{i}"][0] for i, name in enumerate(HEADERS)} == {n: want for n, (_, want) in HEADERS.items()}
+
+
+def test_the_order_of_common_tokens_changes_no_result(spark, monkeypatch):
+    dice = random.Random(8)
+    texts = [t for ts in licenses.TEMPLATES.values() for t in ts] + [text for text, _ in HEADERS.values()]
+    files = [(f"d{i % 7}/{i}", f"Some {dice.random()} words.\n{text}") for i, text in enumerate(texts)]
+    want = scanned(spark, files)
+    tokens = sorted({row[2] for row in licenses.template_vectors()[0]})
+    for order in ([], tokens, tokens[::-1]):
+        monkeypatch.setattr(licenses, "common_tokens", lambda files, order=order: order)
+        assert scanned(spark, files) == want
+
+
+def test_files_with_clashing_columns_and_long_texts(spark):
+    schema = "path STRING, text STRING, license STRING, passage INT, n INT, cut INT, directory STRING"
+    long = "plain words and others " * 60_000 + "\nReleased under the MIT License.\n"
+    rows = [("a/b", long, "x", 1, 1, 1, "y"), ("a/LICENSE", licenses.full_texts()["ISC"][0], "x", 1, 1, 1, "y"), ("a/c", "", None, None, None, None, None)]
+    found = {r.path: r.license for r in licenses.scan_licenses(spark.createDataFrame(rows, schema)).collect()}
+    assert found == {"a/b": "MIT", "a/LICENSE": "ISC", "a/c": "ISC"}
+
+
 def test_prefilter_skips_nothing_close(spark):
     dice = random.Random(6)
     vocabulary = sorted({t for ts in licenses.TEMPLATES.values() for x in ts for t in licenses._tokens(x)})
@@ -435,8 +530,6 @@ def test_prefilter_skips_nothing_close(spark):
 
 
 def test_cosines_agree_with_brute_force(spark):
-    from collections import Counter
-
     dice = random.Random(11)
     vocabulary = sorted({t for ts in licenses.TEMPLATES.values() for x in ts for t in licenses._tokens(x)})
     texts = ["license " + " ".join(dice.choices([*vocabulary, "foo", "bar"], k=6)) for _ in range(60)]

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Sequence
 from importlib import resources
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,24 +33,42 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0; you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License.",
     ],
-    "GPL-3.0": [
+    "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "Licensed under the GNU General Public License v2.",
+        "Licensed under the GNU General Public License v3.",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation.",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
     ],
-    "LGPL-3.0": [
+    "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 3.",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
     ],
-    "AGPL-3.0": [
+    "AGPL": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
     ],
     "BSD-3-Clause": [
         "Released under the BSD License.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met.",
+        "Use of this source code is governed by a BSD-style license that can be found in the "
+        "LICENSE file.",
     ],
-    "MPL-2.0": [
+    "ISC": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies.",
+    ],
+    "MPL": [
         "This source code form is subject to the terms of the Mozilla Public License, v. 2.0.",
+        "The contents of this file are subject to the Mozilla Public License Version 1.1; you may "
+        "not use this file except in compliance with the License.",
     ],
     "CC-BY-4.0": [
         "Licensed under CC BY 4.0.",
@@ -71,9 +90,27 @@ TEMPLATES = {
     "proprietary": ["All rights reserved.", "Copyright. All rights reserved. No part may be reproduced."],
 }
 
+# Licences whose version a notice has to give; without one, the family is all
+# that it names. A notice that reserves all rights counts if no other licence is named.
+VERSIONS = {
+    "GPL-1": "GPL-1.0",
+    "GPL-2": "GPL-2.0",
+    "GPL-3": "GPL-3.0",
+    "LGPL-2": "LGPL-2.0",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3": "LGPL-3.0",
+    "AGPL-3": "AGPL-3.0",
+    "MPL-1.1": "MPL-1.1",
+    "MPL-2": "MPL-2.0",
+}
+GENERAL = ("GPL", "LGPL", "AGPL", "MPL", "proprietary")
+NUMBER = r"v(?:ersion|\.)?[\s#*/]*([0-9]+(?:\.[0-9]+)?)"
+VERSION_AFTER = rf"(?is)licen[cs]e.{{0,120}}?\b{NUMBER}"
+VERSION_BEFORE = rf"(?is)\b{NUMBER}[\s#*/]+of\b"
+
 # Identifiers that stand for a licence beside its own name.
 SPDX_ENDINGS = ("", "+", "-only", "-or-later")
-SPDX_NAMES = [*TEMPLATES, "BSD-2-Clause", "GPL-1.0", "GPL-2.0", "LGPL-2.0", "LGPL-2.1", "MPL-1.1", "ISC"]
+SPDX_NAMES = [*(n for n in TEMPLATES if n not in GENERAL), *VERSIONS.values(), "BSD-2-Clause"]
 SPDX = r"(?i)SPDX-License-Identifier:[ \t]*([^\n\r]*)"
 
 # Names of files whose whole text is a licence.
@@ -154,16 +191,38 @@ def template_vectors(
     return rows, math.log(1 + n) + 1
 
 
-def cues() -> list[str]:
+# Texts, and characters of each, by which the corpus's common tokens are told.
+ORDER_TEXTS = 1_000
+ORDER_CHARS = 2_000
+
+
+def common_tokens(files: DataFrame) -> list[str]:
+    """The templates' tokens, those that most texts have first.
+
+    A sample of the texts will do: the order decides which tokens are cues, and so the
+    cost of a scan, but any order finds the same licences.
+    """
+    vocabulary = F.array(*[F.lit(t) for t in sorted({row[2] for row in template_vectors()[0]})])
+    some = files.select("path", F.substring("text", 1, ORDER_CHARS).alias("text"))
+    some = some.orderBy(F.xxhash64("path")).limit(ORDER_TEXTS)
+    tokens = F.array_intersect(F.split(F.lower("text"), TOKEN), vocabulary)
+    counts = some.select(F.explode(tokens).alias("token")).groupBy("token").count()
+    seen = [row.token for row in counts.orderBy(F.desc("count"), "token").collect()]
+    return [*seen, *(token for token in COMMON if token not in seen)]
+
+
+def cues(common: Sequence[str] = COMMON) -> list[str]:
     """Tokens of which every passage that reaches ``LEAST_COSINE`` has at least one.
 
+    Tokens are spared in the order of ``common``, the commonest first.
+
     A passage's cosine to a template is at most the length of the template's unit vector
     over the tokens they share. So of each template the commonest tokens may go whose
     squares sum to less than ``LEAST_COSINE`` squared, and any of the others is a cue.
     """
     vectors: dict[tuple[str, int], list[tuple[float, str, float]]] = {}
     for name, i, token, weight, idf in template_vectors()[0]:
-        order = COMMON.index(token) if token in COMMON else len(COMMON)
+        order = common.index(token) if token in common else len(common)
         vectors.setdefault((name, i), []).append((order, idf, token, weight))
     found = set()
     for terms in vectors.values():
@@ -180,7 +239,7 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _prefilters():
+def _prefilters(common: Sequence[str] = COMMON):
     """Conditions without which no passage reaches ``LEAST_COSINE``: it has a cue, and its
     tokens that templates have are long enough beside the others.
 
@@ -188,13 +247,13 @@ def _prefilters():
     is bounded by the largest known idf and by one occurrence of each unknown token.
     """
     rows, unknown = template_vectors()
-    pattern = f"(?i)(?<![a-z0-9])(?:{'|'.join(cues())})(?![a-z0-9])"
+    wanted = F.array(*[F.lit(cue) for cue in cues(common)])
     vocabulary = F.array(*[F.lit(t) for t in sorted({row[2] for row in rows})])
     largest = max(row[4] for row in rows)
     least = LEAST_COSINE**2 / (1 - LEAST_COSINE**2) * (unknown / largest) ** 2 * (1 - 1e-6)
 
     def cued(text: Column) -> Column:
-        return text.rlike(pattern)
+        return F.arrays_overlap(F.split(F.lower(text), TOKEN), wanted)
 
     def near(tokens: Column) -> Column:
         different = F.array_distinct(tokens)
@@ -207,7 +266,7 @@ def _prefilters():
 
     def close(text: Column) -> Column:
         tokens = F.filter(F.split(F.lower(text), TOKEN), lambda t: t != "")
-        return cued(text) & _let(tokens, near)
+        return _let(tokens, lambda t: F.arrays_overlap(t, wanted) & near(t))
 
     return cued, close
 
@@ -221,7 +280,7 @@ def passages(files: DataFrame) -> DataFrame:
     inside a notice, and a licence file's whole text. Cued passages are kept.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    cued, close = _prefilters()
+    cued, close = _prefilters(common_tokens(files))
 
     def kept(cut: int, parts: Column) -> Column:
         chosen = F.filter(parts, close)
@@ -261,7 +320,6 @@ def identified(files: DataFrame) -> DataFrame:
     licenses = {
         f"{name}{ending}".lower(): name
         for name in SPDX_NAMES
-        if name != "proprietary"
         for ending in SPDX_ENDINGS
     }
     known = F.create_map(*[F.lit(x) for pair in licenses.items() for x in pair])
@@ -327,6 +385,19 @@ def closest_templates(
     )
 
 
+def with_versions(matches: DataFrame) -> DataFrame:
+    """Matches whose licence is a family's get the version that the passage names, if any."""
+    text, license = F.col("passage"), F.col("license")
+    gnu = F.when(text.rlike(r"(?i)\baffero\b"), "AGPL")
+    gnu = gnu.when(text.rlike(r"(?i)\b(?:lesser|library)[^a-z]+general\b"), "LGPL").otherwise("GPL")
+    family = F.when(license.isin("GPL", "LGPL", "AGPL"), gnu).otherwise(license)
+    after, before = (F.regexp_extract("passage", p, 1) for p in (VERSION_AFTER, VERSION_BEFORE))
+    number = F.regexp_replace(F.when(after != "", after).otherwise(before), r"\.0$", "")
+    known = F.create_map(*[F.lit(x) for pair in VERSIONS.items() for x in pair])
+    named = F.coalesce(F.try_element_at(known, F.concat_ws("-", family, number)), family)
+    return matches.withColumn("license", named)
+
+
 def directory_of(path: Column) -> Column:
     """The path without its last part; the root is the empty text."""
     return F.regexp_replace(path, r"/?[^/]*$", "")
@@ -359,8 +430,10 @@ def nearest_licensed(directories: DataFrame, licensed: DataFrame) -> DataFrame:
 def scan_licenses(files: DataFrame) -> DataFrame:
     """For each file: path, license, similarity, origin and from_directory.
 
-    ``origin`` is ``own`` (by a passage of the file), ``inherited`` or ``none``. Of several own licences that of an identifier or of a
-    licence file's whole text counts first, then the most similar, then the first by name.
+    ``origin`` is ``own`` (by a passage of the file), ``inherited`` or ``none``. A notice of
+    the GNU or Mozilla licences without a version names the family (``GPL``). Of several own
+    licences, families and reserved rights come last; before that, an identifier's or that
+    of a licence file's whole text counts first, then the most similar, then the first by name.
 
     A NULL or empty text has no licence of its own. A NULL path is in no directory and
     inherits nothing. Rows that repeat a path are one file with several texts: each row
@@ -370,7 +443,7 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     spark = files.sparkSession
     files = files.select("path", F.coalesce("text", F.lit("")).alias("text"))
     found = shared_table(passages(files.where("path IS NOT NULL")), "passages")
-    closest = shared_table(closest_templates(spark, found), "matches")
+    closest = shared_table(with_versions(closest_templates(spark, found)), "matches")
     entire = shared_table(found.where(F.col("cut") == WHOLE), "license-files")
     texts = shared_table(closest_templates(spark, entire, full_texts(), damped=True), "matches")
     columns = ["path", "named", "cut", "share", "license", "similarity"]
@@ -380,9 +453,13 @@ def scan_licenses(files: DataFrame) -> DataFrame:
         .unionByName(hot_join(entire, texts, ["passage"], "n").select(*columns))
         .unionByName(identified(files.where("path IS NOT NULL")), allowMissingColumns=True)
     )
-    # What a whole licence file or an identifier says goes before its single sentences.
+    # A licence with its version goes before a family, and what a whole licence file or an
+    # identifier says before its single sentences.
+    general = F.col("license").isin(*GENERAL)
     part = F.coalesce(F.col("cut") != WHOLE, F.lit(False))
-    rank = F.struct(part.alias("part"), (-F.col("similarity")).alias("s"), "license")
+    rank = F.struct(
+        general.alias("general"), part.alias("part"), (-F.col("similarity")).alias("s"), "license"
+    )
     whole = F.max("named")
     for cut in (LINES, SENTENCES):
         held = F.sum(F.when(F.col("cut") == cut, F.col("share")))
@@ -398,7 +475,7 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     )
     in_directory = own.where("whole").withColumn("directory", directory_of(F.col("path")))
     licensed = in_directory.groupBy("directory").agg(
-        F.min(F.struct("best.part", "best.s", "best.license")).getField("license").alias("license")
+        F.min("best").getField("license").alias("license")
     )
     paths = shared_table(
         files.select("path", directory_of(F.col("path")).alias("directory")), "paths"

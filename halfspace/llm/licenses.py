@@ -356,31 +356,33 @@ def closest_templates(
         rows, "license string, template int, token string, weight double, idf double"
     )
     idf = F.broadcast(vectors.select("token", "idf").distinct())
+    # A passage is known by its digest, as its text would travel with each of its tokens.
     different = found.groupBy("passage").agg(F.count("*").alias("n"))
+    different = different.withColumn("sha", F.unhex(F.sha2("passage", 256)))
     tokens = F.filter(F.split(F.lower("passage"), TOKEN), lambda t: t != "")
     terms = (
-        different.select("passage", F.explode(tokens).alias("token"))
-        .groupBy("passage", "token")
+        different.select("sha", F.explode(tokens).alias("token"))
+        .groupBy("sha", "token")
         .agg(F.count("*").alias("tf"))
         .join(idf, "token", "left")
         .withColumn("w", times * F.coalesce("idf", F.lit(unknown)))
     )
-    lengths = terms.groupBy("passage").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    lengths = terms.groupBy("sha").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     dots = (
         terms.join(F.broadcast(vectors.drop("idf")), "token")
-        .groupBy("passage", "license", "template")
+        .groupBy("sha", "license", "template")
         .agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     )
     # Rounded, so that a tie does not depend on the order in which sums were taken.
     cosine = F.round(F.col("dot") / F.col("length"), 9)
     best = (
-        dots.join(lengths, "passage")
-        .select("passage", "license", cosine.alias("similarity"))
+        dots.join(lengths, "sha")
+        .select("sha", "license", cosine.alias("similarity"))
         .where(F.col("similarity") >= LEAST_COSINE)
-        .groupBy("passage")
+        .groupBy("sha")
         .agg(F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("best"))
     )
-    return best.join(different, "passage").select(
+    return best.join(different, "sha").select(
         "passage", "n", "best.license", (-F.col("best.s")).alias("similarity")
     )
 

@@ -158,6 +158,10 @@ ROLES = {
     "complementary": BOILERPLATE, "contentinfo": BOILERPLATE, "search": BOILERPLATE,
     "dialog": BOILERPLATE, "alert": BOILERPLATE, "menu": BOILERPLATE,
 }
+# Words from which an unmarked block may be prose, and how many times the words of marked
+# content such prose has where that is a teaser.
+PROSE_WORDS = 20
+TEASER = 3
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "area", "base", "col", "embed", "source"}
 
 # A "<" without its own ">" is text, unless it has quoted attributes. No tag is looked for
@@ -311,15 +315,18 @@ def blocks(page: str) -> list[Block]:
 
     def end_block() -> None:
         if text:
-            words = html.unescape("".join(text)).split()
+            words = "".join(text).split()
             if words:
-                in_links = len(html.unescape(" ".join(linked)).split()) if linked else 0
+                in_links = len(" ".join(linked).split()) if linked else 0
                 found.append(Block(" ".join(words), len(words), in_links, place()))
             text.clear()
             linked.clear()
 
     def add(piece: str) -> None:
         if piece:
+            # A reference ends where the text does, before the next tag.
+            if "&" in piece:
+                piece = html.unescape(piece)
             text.append(piece)
             if in_link:
                 linked.append(piece)
@@ -372,13 +379,28 @@ def blocks(page: str) -> list[Block]:
         stack.append((tag, own, settled))
     add(page[at:])
     end_block()
-    if any(b.place == MAIN for b in found):
-        for block in found:
-            if block.place == NEUTRAL:
-                block.place = OUTSIDE_MAIN
+    settle_main(found)
     return found
 
 
+def settle_main(found: list[Block]) -> None:
+    """Decide whether marked content is all there is, by the words in it and beside it.
+
+    Beside an article, unmarked blocks lie outside of it. But an article with far fewer
+    words than the prose beside it is a teaser: then it is what lies outside, and unmarked
+    blocks are judged by their words and links.
+    """
+    inside = sum(b.words for b in found if b.place == MAIN)
+    if not inside:
+        return
+    beside = sum(b.words for b in found if b.place == NEUTRAL and b.words >= PROSE_WORDS and 3 * b.linked <= b.words)
+    for block in found:
+        if beside > TEASER * inside:
+            block.place = OUTSIDE_MAIN if block.place == MAIN else block.place
+        elif block.place == NEUTRAL:
+            block.place = OUTSIDE_MAIN
+
+
 def features(found: list[Block]) -> np.ndarray:
     """One row for each block, in the order of ``FEATURES``; no neighbour counts as empty."""
     words = np.array([0, *(b.words for b in found), 0], float)

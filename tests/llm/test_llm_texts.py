@@ -347,6 +347,22 @@ def test_boilerplate_stays_boilerplate(opening):
     assert page_text.main_text(page, page_text.train()) == "one two"
 
 
+def test_a_teaser_is_not_the_article():
+    tree = page_text.train()
+    prose = " ".join(f"word{i}" for i in range(60))
+    page = f"<div><p>{prose}</p><p>{prose}</p></div><article><p>see also</p></article>"
+    assert page_text.main_text(page, tree) == f"{prose} {prose}"
+    links = "".join(f"<p><a href=x>{prose}</a></p>" for _ in range(5))
+    assert page_text.main_text(f"<div>{links}</div><article><p>{prose}</p></article>", tree) == prose
+    assert page_text.main_text(f"<div><p>{prose}</p></div><article><p>{prose} end</p></article>", tree) == f"{prose} end"
+
+
+def test_references_end_at_tags():
+    tree = page_text.train()
+    words = " ".join(f"w{i}" for i in range(30))
+    assert page_text.main_text(f"<article><p>a &am<b>p;</b> b &amp;amp; &lt;i&gt; {words}</p></article>", tree) == f"a &amp; b &amp; <i> {words}"
+
+
 def test_dropped_elements_take_linear_time():
     tree = page_text.train()
     for many in ("<button>", "<svg><button>", "<svg/>", "<iframe></p><svg>", "</svg>"):

@@ -67,13 +67,16 @@ def one_row_each(docs: DataFrame, chosen: DataFrame, keys: dict[str, Column]) ->
     equals NULL. Joining and removing repeated rows use the same columns, so whole rows
     are shuffled once.
     """
-    there = {f"__{name}": F.coalesce(key.isNull(), F.lit(False)) for name, key in keys.items()}
+    prefix = "key"
+    while any(column.lower().startswith(prefix) for column in docs.columns):
+        prefix = f"_{prefix}"
+    there = {f"{prefix}_no_{name}": F.coalesce(key.isNull(), F.lit(False)) for name, key in keys.items()}
     wanted = chosen.select(
-        *[F.coalesce(name, _blank(chosen, name)).alias(f"__key_{name}") for name in keys],
-        *[F.col(name).isNull().alias(f"__{name}") for name in keys],
+        *[F.coalesce(name, _blank(chosen, name)).alias(f"{prefix}_of_{name}") for name in keys],
+        *[F.col(name).isNull().alias(f"{prefix}_no_{name}") for name in keys],
     ).distinct()
     given = {
-        f"__key_{name}": F.coalesce(key, _blank(chosen, name)) for name, key in keys.items()
+        f"{prefix}_of_{name}": F.coalesce(key, _blank(chosen, name)) for name, key in keys.items()
     }
     on = [*given, *there]
     return docs.withColumns({**given, **there}).join(wanted, on).dropDuplicates(on).select(

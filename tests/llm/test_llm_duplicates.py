@@ -107,6 +107,15 @@ def test_a_chain_that_does_not_compare_bytes_is_wrong(spark, monkeypatch):
     assert marked(spark, rows) == brute_groups(rows)
 
 
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    names = "doc_id BIGINT, text STRING, __key_doc_id STRING, __doc_id STRING, key_of_sha STRING, _key_no_keep_id STRING"
+    docs = spark.createDataFrame([(1, "a", "mine", "yours", "x", "y"), (2, "a", "m", "z", "x", "y")], names)
+    for operator in (exact_dedup.deduplicate, simhash.keep_representatives):
+        kept = operator(docs)
+        assert kept.columns == docs.columns
+        assert [tuple(r) for r in kept.collect()] == [(1, "a", "mine", "yours", "x", "y")]
+
+
 def test_deduplicate_keeps_all_columns_of_one_row_each(spark):
     rows = [(2, "a b", 1, b"x"), (1, "ab", 2, None), (None, "c", 3, None), (None, "c", 4, None)]
     rows += [(5, "d", 5, None), (5, "d", 6, None), (5, "e", 7, None)]

@@ -16,6 +16,7 @@ from collections import Counter
 from collections.abc import Sequence
 from importlib import resources
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -125,14 +126,6 @@ LEAST_COSINE = 0.6
 # How a passage was cut out of its text.
 LINES, SENTENCES, PAIRS, WHOLE = range(4)
 
-# Tokens that most texts have, the commonest first; they are no cues if the
-# rest of a template will do.
-COMMON = (
-    "the of and to a in is this for that on it with as you may be by or not are have been at "
-    "from no all any 1 2 3 4 0 work under part use free person copy following terms source form "
-    "subject v version program library without conditions provided public international now up"
-).split()
-
 # What section 13 of the Affero licence adds to the GPL's.
 AFFERO = (
     "13. Remote Network Interaction; Use with the GNU General Public License. Notwithstanding any "
@@ -191,84 +184,89 @@ def template_vectors(
     return rows, math.log(1 + n) + 1
 
 
-# Texts, and characters of each, by which the corpus's common tokens are told.
-ORDER_TEXTS = 1_000
-ORDER_CHARS = 2_000
-
-
-def common_tokens(files: DataFrame) -> list[str]:
-    """The templates' tokens, those that most texts have first.
+def _let(value: Column, use) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
-    A sample of the texts will do: the order decides which tokens are cues, and so the
-    cost of a scan, but any order finds the same licences.
-    """
-    vocabulary = F.array(*[F.lit(t) for t in sorted({row[2] for row in template_vectors()[0]})])
-    some = files.select("path", F.substring("text", 1, ORDER_CHARS).alias("text"))
-    some = some.orderBy(F.xxhash64("path")).limit(ORDER_TEXTS)
-    tokens = F.array_intersect(F.split(F.lower("text"), TOKEN), vocabulary)
-    counts = some.select(F.explode(tokens).alias("token")).groupBy("token").count()
-    seen = [row.token for row in counts.orderBy(F.desc("count"), "token").collect()]
-    return [*seen, *(token for token in COMMON if token not in seen)]
 
+# Bits of the table that tells known tokens from nearly all others by their hash.
+SLOTS = 4096
+# If two sentences together are close to a template, one of them has at least this cosine:
+# a pair's vector is no shorter than the sum of its halves' lengths by the root of two.
+HALF_COSINE = LEAST_COSINE / math.sqrt(2)
 
-def cues(common: Sequence[str] = COMMON) -> list[str]:
-    """Tokens of which every passage that reaches ``LEAST_COSINE`` has at least one.
 
-    Tokens are spared in the order of ``common``, the commonest first.
+def reaching():
+    """A condition on texts that all with a cosine of ``least`` or more to a template meet.
 
-    A passage's cosine to a template is at most the length of the template's unit vector
-    over the tokens they share. So of each template the commonest tokens may go whose
-    squares sum to less than ``LEAST_COSINE`` squared, and any of the others is a cue.
+    It is the cosine itself, but for tokens that a text repeats: its length is taken as if
+    each occurrence were another token, which makes it shorter at most. The sums are over
+    the tokens that templates have, which are told by a table of their hashes first.
     """
-    vectors: dict[tuple[str, int], list[tuple[float, str, float]]] = {}
-    for name, i, token, weight, idf in template_vectors()[0]:
-        order = common.index(token) if token in common else len(common)
-        vectors.setdefault((name, i), []).append((order, idf, token, weight))
-    found = set()
-    for terms in vectors.values():
-        spared = 0.0
-        for _, _, token, weight in sorted(terms):
-            spared += weight * weight
-            if spared >= LEAST_COSINE**2 - 1e-6:
-                found.add(token)
-    return sorted(found)
+    rows, unknown = template_vectors()
+    numbers = {key: i for i, key in enumerate(dict.fromkeys((name, i) for name, i, *_ in rows))}
+    idf = {token: value for _, _, token, _, value in rows}
+    products = {token: [0.0] * len(numbers) for token in idf}
+    for name, i, token, weight, value in rows:
+        products[token][numbers[name, i]] = weight * value
+    largest = max(row[3] for row in rows)
+    bits = [0] * (SLOTS // 64)
+    for token in idf:
+        slot = xxhash.xxh64(token, seed=42).intdigest() % SLOTS
+        bits[slot // 64] |= 1 << slot % 64
+    signed = [b - (1 << 64) if b >> 63 else b for b in bits]
+    table = F.expr(f"array({', '.join(f'{b}L' if b != -(1 << 63) else 'bigint(-9223372036854775808)' for b in signed)})")
+    idfs = F.expr(f"map({', '.join(f"'{t}', {v!r}D" for t, v in idf.items())})")
+    vectors = F.expr(
+        f"map({', '.join(f"'{t}', array({', '.join(f'{x!r}D' for x in v)})" for t, v in products.items())})"
+    )
+    nothing = F.expr(f"array_repeat(0.0D, {len(numbers)})")
+
+    def known(token: Column) -> Column:
+        slot = F.pmod(F.xxhash64(token), F.lit(SLOTS)).cast("int")
+        word = F.get(table, F.shiftright(slot, 6))
+        return F.expr("1L").bitwiseAND(F.call_function("shiftrightunsigned", word, slot.bitwiseAND(63))) == 1
+
+    def add(sums: Column, token: Column) -> Column:
+        value = F.coalesce(F.try_element_at(idfs, token), F.lit(0.0))
+        return F.struct(
+            (sums["s"] + value).alias("s"),
+            (sums["squares"] + value * value).alias("squares"),
+            (sums["n"] + (value > 0).cast("int")).alias("n"),
+        )
 
+    def dots(tokens: Column) -> Column:
+        return F.aggregate(
+            tokens,
+            nothing,
+            lambda sums, token: F.zip_with(
+                sums, F.coalesce(F.try_element_at(vectors, token), nothing), lambda x, y: x + y
+            ),
+        )
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with the value worked out once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
+    def reaches(text: Column, least: float) -> Column:
+        start = F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("squares"), F.lit(0).alias("n"))
+        least *= 1 - 1e-6
 
+        def judged(count: Column, tokens: Column) -> Column:
+            def by_sums(sums: Column) -> Column:
+                others = (count - sums["n"]).cast("double")
+                length = F.sqrt(sums["squares"] + others * F.lit(unknown * unknown))
+                # The first condition is cheap, and nearly always decides.
+                return (
+                    (sums["n"] > 0)
+                    & (sums["s"] * F.lit(largest) >= length * F.lit(least))
+                    & (F.array_max(dots(tokens)) >= length * F.lit(least))
+                )
 
-def _prefilters(common: Sequence[str] = COMMON):
-    """Conditions without which no passage reaches ``LEAST_COSINE``: it has a cue, and its
-    tokens that templates have are long enough beside the others.
+            return _let(F.aggregate(tokens, start, add), by_sums)
 
-    The cosine is at most the length of the passage's unit vector over known tokens. That
-    is bounded by the largest known idf and by one occurrence of each unknown token.
-    """
-    rows, unknown = template_vectors()
-    wanted = F.array(*[F.lit(cue) for cue in cues(common)])
-    vocabulary = F.array(*[F.lit(t) for t in sorted({row[2] for row in rows})])
-    largest = max(row[4] for row in rows)
-    least = LEAST_COSINE**2 / (1 - LEAST_COSINE**2) * (unknown / largest) ** 2 * (1 - 1e-6)
-
-    def cued(text: Column) -> Column:
-        return F.arrays_overlap(F.split(F.lower(text), TOKEN), wanted)
-
-    def near(tokens: Column) -> Column:
-        different = F.array_distinct(tokens)
-        known = F.array_intersect(different, vocabulary)
-        squares = F.transform(
-            known, lambda k: F.pow(F.size(F.filter(tokens, lambda t: t == k)).cast("double"), 2.0)
-        )
-        total = F.aggregate(squares, F.lit(0.0), lambda x, y: x + y)
-        return total >= (F.size(different) - F.size(known)) * F.lit(least)
+        def by_tokens(tokens: Column) -> Column:
+            return _let(F.filter(tokens, known), lambda found: judged(F.size(tokens), found))
 
-    def close(text: Column) -> Column:
-        tokens = F.filter(F.split(F.lower(text), TOKEN), lambda t: t != "")
-        return _let(tokens, lambda t: F.arrays_overlap(t, wanted) & near(t))
+        return _let(F.filter(F.split(F.lower(text), TOKEN), lambda t: t != ""), by_tokens)
 
-    return cued, close
+    return reaches
 
 
 def passages(files: DataFrame) -> DataFrame:
@@ -277,36 +275,53 @@ def passages(files: DataFrame) -> DataFrame:
     The text is cut twice: at line ends, and into the sentences of paragraphs whose lines
     are joined, so that a notice is found whether or not it is wrapped. A further cut
     (``share`` NULL) has each two sentences that follow one another, for a full stop
-    inside a notice, and a licence file's whole text. Cued passages are kept.
+    inside a notice, and a licence file's whole text. Passages that can't be close to a
+    template are left out as they are cut.
     """
     name = F.element_at(F.split("path", "/"), -1)
-    cued, close = _prefilters(common_tokens(files))
-
-    def kept(cut: int, parts: Column) -> Column:
-        chosen = F.filter(parts, close)
-        return F.transform(
-            chosen, lambda x: F.struct(F.lit(cut).alias("cut"), x.alias("passage"))
+    reaches = reaching()
+    piece = lambda cut, text: F.struct(F.lit(cut).alias("cut"), text.alias("passage"))
+
+    def of_lines(text: Column) -> Column:
+        close = F.filter(F.split(text, PASSAGE), lambda x: reaches(x, LEAST_COSINE))
+        return F.transform(close, lambda x: piece(LINES, x))
+
+    def of_paragraph(paragraph: Column) -> Column:
+        """A paragraph's sentences, and its pairs of neighbours, that are close."""
+        marked = F.transform(
+            F.split(paragraph, SENTENCE),
+            lambda x: F.struct(x.alias("text"), reaches(x, HALF_COSINE).alias("near")),
         )
 
-    joined = F.flatten(
-        F.transform(F.split("text", PARAGRAPH), lambda x: F.split(x, SENTENCE))
-    )
-    two = lambda x: F.transform(
-        F.sequence(F.lit(1), F.size(x)), lambda i: F.array_join(F.slice(x, i, F.lit(2)), " ")
-    )
-    pairs = F.flatten(
-        F.transform(F.split("text", PARAGRAPH), lambda x: _let(F.split(x, SENTENCE), two))
-    )
+        def close(sentences: Column) -> Column:
+            one = F.filter(sentences, lambda x: x["near"] & reaches(x["text"], LEAST_COSINE))
+            # Pairs begin at each sentence but the last that is near, or is before a near one.
+            at = F.filter(
+                F.sequence(F.lit(0), F.size(sentences) - 1),
+                lambda i: (i + 1 < F.size(sentences)) & (F.get(sentences, i)["near"] | F.get(sentences, i + 1)["near"]),
+            )
+            two = F.transform(
+                at, lambda i: F.concat(F.get(sentences, i)["text"], F.lit(" "), F.get(sentences, i + 1)["text"])
+            )
+            two = F.filter(two, lambda x: reaches(x, LEAST_COSINE))
+            return F.concat(
+                F.transform(one, lambda x: piece(SENTENCES, x["text"])), F.transform(two, lambda x: piece(PAIRS, x))
+            )
+
+        none = F.array().cast("array<struct<cut:int,passage:string>>")
+        return _let(marked, lambda x: F.when(F.exists(x, lambda y: y["near"]), close(x)).otherwise(none))
+
     whole = F.when(
         F.col("named"),
         F.array(F.struct(F.lit(WHOLE).alias("cut"), F.col("text").alias("passage"))),
     ).otherwise(F.array().cast("array<struct<cut:int,passage:string>>"))
-    pieces = F.concat(
-        kept(LINES, F.split("text", PASSAGE)), kept(SENTENCES, joined), kept(PAIRS, pairs), whole
-    )
+    paragraphs = F.flatten(F.transform(F.split("text", PARAGRAPH), of_paragraph))
     marked = files.select("path", "text", name.rlike(LICENSE_FILE).alias("named"))
-    found = marked.where(F.col("named") | cued(F.col("text"))).select(
-        "path", "named", F.length("text").alias("n"), F.explode(pieces).alias("piece")
+    found = marked.select(
+        "path",
+        "named",
+        F.length("text").alias("n"),
+        F.explode(F.concat(of_lines(F.col("text")), paragraphs, whole)).alias("piece"),
     )
     share = F.when(
         F.col("piece.cut").isin(LINES, SENTENCES),

@@ -511,15 +511,15 @@ def test_headers_of_each_version(spark):
     assert {name: found[f"src/{i}"][0] for i, name in enumerate(HEADERS)} == {n: want for n, (_, want) in HEADERS.items()}
 
 
-def test_the_order_of_common_tokens_changes_no_result(spark, monkeypatch):
-    dice = random.Random(8)
-    texts = [t for ts in licenses.TEMPLATES.values() for t in ts] + [text for text, _ in HEADERS.values()]
-    files = [(f"d{i % 7}/{i}", f"Some {dice.random()} words.\n{text}") for i, text in enumerate(texts)]
-    want = scanned(spark, files)
-    tokens = sorted({row[2] for row in licenses.template_vectors()[0]})
-    for order in ([], tokens, tokens[::-1]):
-        monkeypatch.setattr(licenses, "common_tokens", lambda files, order=order: order)
-        assert scanned(spark, files) == want
+def test_pairs_are_found_by_their_halves(spark):
+    """A notice in two sentences, each of them too far from the template."""
+    first, second = "This program is free software under terms; of the", "GNU General Public License as published by the Free Software Foundation."
+    text = f"Words here. You can redistribute it and/or modify it. {first} {second} And more."
+    found = licenses.passages(spark.createDataFrame([("a", text)], "path STRING, text STRING")).collect()
+    sentences = re.split(r"(?<=[.!?;]) +", text)
+    want = {f"{a} {b}" for a, b in zip(sentences, sentences[1:], strict=False)}
+    close = {r.passage for r in licenses.closest_templates(spark, spark.createDataFrame([(t,) for t in want], "passage STRING")).collect()}
+    assert close and close <= {r.passage for r in found if r.cut == licenses.PAIRS}
 
 
 def test_files_with_clashing_columns_and_long_texts(spark):
@@ -539,10 +539,12 @@ def test_prefilter_skips_nothing_close(spark):
         words = dice.choices(words, k=dice.randint(1, 12)) + dice.choices([*vocabulary, "foo", "bar", "baz"], k=dice.randint(0, 4))
         texts.add(" ".join(words))
     found = spark.createDataFrame([(t,) for t in sorted(texts)], "passage STRING")
-    close = licenses._prefilters()[1]
-    kept = {r.passage for r in found.where(close(F.col("passage"))).collect()}
+    reaches = licenses.reaching()
+    kept = {r.passage for r in found.where(reaches(F.col("passage"), licenses.LEAST_COSINE)).collect()}
     reach = {r.passage for r in licenses.closest_templates(spark, found).collect()}
     assert len(reach) > 300 and reach <= kept
+    # What it lets through beyond them repeats a token.
+    assert all(len(set(text.split())) < len(text.split()) for text in kept - reach)
 
 
 def test_cosines_agree_with_brute_force(spark):

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
 from importlib import resources
 
 import xxhash

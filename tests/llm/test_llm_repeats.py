@@ -10,10 +10,18 @@ import numpy as np
 import pytest
 
 from halfspace.llm import repeats
+from halfspace.workspace import setting
 
 SCHEMA = "doc_id BIGINT, text STRING, lang STRING"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Many small joins over a few rows: with two partitions each, half the time."""
+    with setting(spark, "spark.sql.shuffle.partitions", "2"):
+        yield
+
+
 def brute(texts: list[bytes], length: int) -> list[tuple[list, bytes]]:
     counts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
     out = []

@@ -16,6 +16,13 @@ SCHEMA = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Many small joins over a few rows: with two partitions each, half the time."""
+    with setting(spark, "spark.sql.shuffle.partitions", "2"):
+        yield
+
+
 def brute(rows: list[tuple]) -> list[tuple]:
     turns: dict = {}
     for conv, turn, role, text in rows:
@@ -88,7 +95,8 @@ def test_a_conversation_is_spread_over_parts(spark, rows, monkeypatch):
     monkeypatch.setattr(turn_trie, "CHUNK", 2)
     some = [r for r in sql_base(rows) if r[0] in (401, 402, 403, 404, 500, 501)]
     df = spark.createDataFrame(some, SCHEMA)
-    with setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"):
+    whole = setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false")
+    with whole, setting(spark, "spark.sql.shuffle.partitions", "8"):
         turns = turn_trie._sorted_turns(df, 0, turn_trie.MODULUS)
         assert turns.where("conv_id = 500").select("part").distinct().count() > 2
         assert built(df) == brute(some)

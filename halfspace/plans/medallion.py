@@ -38,7 +38,14 @@ from halfspace.operators.quality import Check
 from halfspace.plans import published
 from halfspace.plans.trusted import trusted_events, trusted_matches
 from halfspace.sinks import append_rows, remove, replace_partitions, replace_table
-from halfspace.sinks.versions import Version, commit, current_version, first_version, read_version
+from halfspace.sinks.versions import (
+    Version,
+    commit,
+    current_version,
+    first_version,
+    new_part,
+    read_version,
+)
 from halfspace.sources import FileFeed, TableFeed, read_table, read_table_or_empty
 from halfspace.sources.feeds import Batch, Scope, listed_matches
 
@@ -57,6 +64,7 @@ PASSED_TABLE = (
     f"state STRING, over INT, added {FOLDERS}, dropped {FOLDERS}, metrics MAP<STRING, STRING>, "
     "finished TIMESTAMP"
 )
+BEGUN_TABLE = "part STRING"
 RUNS_TABLE = "run_id STRING, stage STRING, finished TIMESTAMP, metrics MAP<STRING, STRING>"
 
 EVENT_CHECKS: tuple[Check, ...] = (
@@ -360,7 +368,10 @@ def _stage(spark: SparkSession, lake: Lake, now: Version) -> published.Change:
         rows = rows.unionByName(old.join(kept.select("match_id", *SCOPE), ["match_id", *SCOPE], "left_semi"))
     # Sorted by type inside each task, so the filters of the queries skip other types.
     rows = rows.sortWithinPartitions(*SCOPE, "event_type")
-    return published.write(rows, known, lake.checks, lake.scopes, path, now, dropped)
+    # Noted first, so that the part of a run that dies is removed by the next one.
+    part = new_part()
+    append_rows(spark.createDataFrame([(part,)], BEGUN_TABLE), _staging(lake, "begun"))
+    return published.write(rows, known, lake.checks, lake.scopes, path, now, dropped, part)
 
 
 def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
@@ -375,8 +386,8 @@ def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
     before = _passed(spark, lake, state)
     if before:
         return dict(before.metrics)
-    remove(spark, _staging(lake, ""))
     path, now = lake.path(EVENTS), _trusted_version(spark, lake)
+    _discard_begun(spark, lake, now)
     metrics = _published_as(now, lake, state)
     staged = published.Change()
     if metrics is None:
@@ -385,7 +396,7 @@ def validate_events(spark: SparkSession, lake: Lake) -> Metrics:
         try:
             metrics = _gate(spark, lake, after)
         except BaseException:
-            published.discard(spark, path, after, staged)
+            _discard_begun(spark, lake, now)
             raise
     finished = datetime.now(timezone.utc)
     passed = (state, now.number, sorted(staged.added), sorted(staged.dropped), metrics, finished)
@@ -407,6 +418,13 @@ def _with_values(live: DataFrame, lake: Lake, report: list[dict]) -> list[dict]:
     return [{**entry, "commonest": found[key]} if key in found else entry for key, entry in keyed]
 
 
+def _discard_begun(spark: SparkSession, lake: Lake, now: Version) -> None:
+    """Remove the staging folder, and parts written for it that were not published."""
+    begun = read_table_or_empty(spark, _staging(lake, "begun"), BEGUN_TABLE)
+    published.discard(spark, lake.path(EVENTS), now, [row.part for row in begun.collect()])
+    remove(spark, _staging(lake, ""))
+
+
 def _gate(spark: SparkSession, lake: Lake, after: Version) -> Metrics:
     """Judge the scopes' rows of a version that may be published."""
     path = lake.path(EVENTS)

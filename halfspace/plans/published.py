@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from halfspace.operators import ObservedTally, judge, tally
 from halfspace.operators.quality import MOST_OBSERVED, TALLY, Check
 from halfspace.sinks import append_rows, remove
-from halfspace.sinks.versions import Version, new_part, notes_folder, part_folder, read_version, write_part
+from halfspace.sinks.versions import Version, notes_folder, part_folder, read_version, write_part
 
 SCOPE = ["competition_id", "season_id"]
 # A folder is a partition, one scope, of a part.
@@ -79,13 +79,14 @@ def write(
     path: str,
     version: Version,
     dropped: Folders,
+    part: str,
 ) -> Change:
-    """Write a part with its notes: ``rows``, the matches ``known``, and their counts.
+    """Write a new part with its notes: ``rows``, the matches ``known``, and their counts.
 
     The counts are taken by the pass that writes the rows, unless scopes and checks are
     very many.
     """
-    spark, part = rows.sparkSession, new_part()
+    spark = rows.sparkSession
     wanted = sorted(set(scopes))
     observed = None
     if len(wanted) * (2 * len(checks) + 1) <= MOST_OBSERVED:
@@ -152,8 +153,8 @@ def report(
     return judge(spark.createDataFrame(rows, f"competition_id INT, season_id INT, {TALLY}"), checks, SCOPE)
 
 
-def discard(spark: SparkSession, path: str, version: Version, change: Change) -> None:
-    """Remove a part that no version will name."""
-    for part in {part for _, part in change.added}:
+def discard(spark: SparkSession, path: str, version: Version, parts: Collection[str]) -> None:
+    """Remove parts that no version will name."""
+    for part in set(parts) - version.parts():
         remove(spark, part_folder(path, version, part))
         remove(spark, notes_folder(path, version, part))

@@ -132,6 +132,23 @@ def test_many_parts_are_written_together(spark, nightly, lake, monkeypatch):
     assert published(spark, lake) == {(90, i): 2 for i in range(1, 6)}
 
 
+def test_what_a_dead_run_has_staged_is_removed(spark, nightly, lake, monkeypatch):
+    nightly(1, 2)
+    before = files(lake)
+
+    def dies(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(medallion, "_stage", lambda *a, plain=medallion._stage: (plain(*a), dies()))
+    with pytest.raises(KeyboardInterrupt):
+        nightly(1, 2, 3)
+    monkeypatch.undo()
+    assert files(lake) > before
+    nightly(1, 2, 3)
+    assert len({f.split("/")[0] for f in files(lake)}) == 2
+    assert published(spark, lake) == {(90, 1): 2, (90, 2): 2, (90, 3): 2}
+
+
 def test_checks_of_keys_hold_the_gate(spark, nightly, lake):
     keyed = replace(lake, key_checks=(Unique(("event_id",)), Referenced("match_id", "matches", "match_id")))
     nightly(1, 2, over=keyed)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from halfspace.workspace import fresh_dir
 
 SPLIT = ["path", "block"]
+SPLITS_TO_A_TASK = 8
 UNSOUND = "a document is no array of objects"
 
 
@@ -39,11 +40,18 @@ def _summed(rows: DataFrame, column: str, name: str) -> DataFrame:
     splits = rows.groupBy(*SPLIT).agg(F.sum(column).alias("sum"))
     splits = splits.select(*SPLIT, F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("offset"))
     here = F.coalesce(F.sum(column).over(inside), F.lit(0))
-    return rows.withColumn("here", here).join(splits, SPLIT).withColumn(
+    return rows.withColumn("here", here).join(F.broadcast(splits), SPLIT).withColumn(
         name, F.col("here") + F.col("offset")
     ).drop("here", "offset")
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Deal out splits, a few to a task: merged partitions of text are many times as large sorted."""
+    splits = rows.select(*SPLIT).distinct().count()
+    most = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(1, min(splits, most), splits // SPLITS_TO_A_TASK), *SPLIT)
+
+
 def _written(df: DataFrame, purpose: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
@@ -75,7 +83,8 @@ def split_elements(spark: SparkSession, paths: str | list[str]) -> DataFrame:
         _outside("pieces", 1).alias("if_inside"),
     )
     # Written once: the sums below read the numbers several times, and the text once.
-    rows = _summed(_written(fragments, "fragments"), "quotes", "quotes_before")
+    rows = _spread(_written(fragments, "fragments"))
+    rows = _summed(rows, "quotes", "quotes_before")
     inside = F.col("quotes_before") % 2 == 1
     ends_outside = (F.col("quotes_before") + F.col("quotes")) % 2 == 0
     # The brace that the fragment ended with is one level up. After a file's last fragment
@@ -88,25 +97,23 @@ def split_elements(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     rows = rows.withColumn("closes", closes.cast("bigint"))
     rows = _summed(rows, "closes", "pos")
 
+    # Texts are judged row by row: to keep texts of a group, Spark would sort all of them.
     whole = rows.groupBy("path").agg(
         F.sum("closes").alias("elements"),
         F.sum("change").alias("depth"),
         F.max_by("ends_outside", "seq").alias("ends_outside"),
-        F.min_by(F.substring("text", 1, 4096), "seq").alias("first"),
-        F.max_by(F.regexp_replace("text", r"\s+", ""), "seq").alias("last"),
-    )
-    sound = (
-        (F.col("depth") == -1)
-        & F.col("ends_outside")
-        & F.col("first").rlike(r"^\s*\[")
-        & F.col("last").rlike(r"^\[?\]$")
+        F.min_by(F.substring("text", 1, 4096).rlike(r"^\s*\["), "seq").alias("opened"),
+        F.max_by(F.regexp_replace("text", r"\s+", "").rlike(r"^\[?\]$"), "seq").alias("closed"),
     )
+    sound = (F.col("depth") == -1) & F.col("ends_outside") & F.col("opened") & F.col("closed")
     checked = whole.select(
         "path", "elements", F.when(sound, True).otherwise(F.raise_error(F.lit(UNSOUND)).cast("boolean")).alias("sound")
     )
 
-    # What follows the last element is no element.
-    members = rows.join(checked.where("sound"), "path").where(F.col("pos") < F.col("elements"))
+    # What follows the last element is no element. There is one row for each file, which is
+    # sent to the fragments: by path, all of a file would meet in one task.
+    sound_files = F.broadcast(checked.where("sound"))
+    members = rows.join(sound_files, "path").where(F.col("pos") < F.col("elements"))
     ordered = F.sort_array(F.collect_list(F.struct("seq", "text")))
     joined = F.concat(F.array_join(ordered.getField("text"), "}"), F.lit("}"))
     pieces = members.groupBy(*SPLIT, "pos").agg(

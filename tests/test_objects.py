@@ -13,7 +13,7 @@ from conftest import event, match
 from halfspace.plans import Lake
 from halfspace.plans.medallion import IncompleteBatchError, land_events, land_matches, landed_events, side_by_side
 from halfspace.sinks import objects, write_named_arrays, write_objects
-from halfspace.sources import FileFeed, scan_documents
+from halfspace.sources import FileFeed, scan_documents, split_arrays
 from halfspace.sources.split_arrays import split_elements
 from halfspace.workspace import setting
 
@@ -75,6 +75,27 @@ def test_no_array_is_a_row_and_no_file_the_drivers(spark, tmp_path, monkeypatch)
     assert "Aggregate" not in plans[0] and len(texts(tmp_path)) == 10
 
 
+def test_long_arrays_are_written_in_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(objects, "PIECE", 100)
+    monkeypatch.setattr(objects, "BLOCK", 64)
+    rows = [("a/b c%", i, json.dumps({"i": i})) for i in range(-3, 1050)] + [("a/b c%", None, '{"i": null}')]
+    rows += [("short", i, str(i)) for i in range(5)] + [("empty", None, None), ("gap", 500, None), ("gap", 900, "7")]
+    random.Random(1).shuffle(rows)
+    plans = []
+    plain = objects._save
+    monkeypatch.setattr(objects, "_save", lambda df, *a, **o: (plans.append(df), plain(df, *a, **o)))
+    write_named_arrays(spark.createDataFrame(rows, NAMED), str(tmp_path))
+    found = {name: json.loads(text) for name, text in texts(tmp_path).items() if not name.endswith(".crc")}
+    assert found == {
+        "a/b c%.json": [{"i": i} for i in (None, *range(-3, 1050))],
+        "short.json": list(range(5)),
+        "empty.json": [],
+        "gap.json": [7],
+    }
+    most = plans[0].groupBy("name").count().agg(F.max("count")).first()[0]
+    assert len(plans) == 2 and most == 100
+
+
 def test_numbered_files_land_as_one_match(spark, site, tmp_path):
     site.season([match(i, "Reds", "Blues", (1, 0)) for i in (1, 2, 3)])
     rows = [(str(i), n, json.dumps(event("Pass", id=f"{i}-{n}"))) for i, k in ((1, 8), (2, 1)) for n in range(k)]
@@ -152,6 +173,18 @@ def test_what_is_no_array_of_objects_fails(spark, tmp_path, text):
         pieces(spark, str(tmp_path / "x.json"), 1000)
 
 
+def test_the_fragments_of_one_file_never_meet_in_one_task(spark, tmp_path):
+    (tmp_path / "x.json").write_text(json.dumps([{"i": i} for i in range(2000)]))
+    plans = []
+    with pytest.MonkeyPatch.context() as patch, setting(spark, "spark.sql.files.maxPartitionBytes", "1000"):
+        plain = split_arrays._written
+        patch.setattr(split_arrays, "_written", lambda df, name: (plans.append(df._jdf.queryExecution().executedPlan().toString()), plain(df, name))[1])
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            assert split_elements(spark, str(tmp_path / "x.json")).count() == 2000
+    assert "BroadcastHashJoin [path" in plans[1]
+    assert "SortMergeJoin" not in plans[1] and "SortAggregate" not in plans[1]
+
+
 def test_a_file_is_read_by_many_tasks(spark, tmp_path):
     rows = [{"i": i, "text": "{" * (i % 5) + "]" * (i % 3)} for i in range(2000)]
     (tmp_path / "x.json").write_text(json.dumps(rows))

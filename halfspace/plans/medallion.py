@@ -47,7 +47,8 @@ from halfspace.sinks.versions import (
     read_version,
 )
 from halfspace.sources import FileFeed, TableFeed, read_table, read_table_or_empty
-from halfspace.sources.feeds import Batch, Scope, listed_matches
+from halfspace.sources.feeds import OPEN_COST, SMALL, Batch, Scope, listed_matches
+from halfspace.workspace import setting
 
 SCOPE = ["competition_id", "season_id"]
 GROUPS = ("ingestion", "validation", "transformation")
@@ -242,7 +243,8 @@ def land_events(spark: SparkSession, lake: Lake, feed: FileFeed | TableFeed) ->
     if counts.ingested:
         new = unlanded_keys(listed, landed, "match_id")
         batches = feed.events(spark, new, counts.ingested)
-        ingested = sum(side_by_side(lambda batch: _land_batch(spark, lake, batch), batches, lake.jobs))
+        with setting(spark, OPEN_COST, SMALL):
+            ingested = sum(side_by_side(lambda batch: _land_batch(spark, lake, batch), batches, lake.jobs))
     return {
         "ingested": str(ingested),
         "skipped_existing": str(counts.total - ingested),

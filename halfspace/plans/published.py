@@ -18,8 +18,12 @@ from halfspace.operators import ObservedTally, judge, tally
 from halfspace.operators.quality import MOST_OBSERVED, TALLY, Check
 from halfspace.sinks import append_rows, remove
 from halfspace.sinks.versions import Version, notes_folder, part_folder, read_version, write_part
+from halfspace.workspace import setting
 
 SCOPE = ["competition_id", "season_id"]
+
+# A task sorts the rows of so much raw text, which is twentyfold in memory, whatever the table's size.
+RAW_SPLIT = "8m"
 # A folder is a partition, one scope, of a part.
 Folders = Collection[tuple[str, str]]
 
@@ -91,7 +95,8 @@ def write(
     observed = None
     if len(wanted) * (2 * len(checks) + 1) <= MOST_OBSERVED:
         observed = ObservedTally(rows, checks, SCOPE, wanted)
-    added = write_part(observed.rows if observed else rows, path, version, part)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", RAW_SPLIT):
+        added = write_part(observed.rows if observed else rows, path, version, part)
     notes = notes_folder(path, version, part)
     scopes_seen = Observation()
     listed = F.collect_set(F.struct(*SCOPE)).alias("listed")

@@ -25,6 +25,10 @@ Scope = tuple[int, int]
 
 LOOKUP_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 PATHS_PER_LOOKUP = 100
+# Jobs beyond which a job takes more matches than asked for, and how many at most.
+JOBS, MOST_PATHS = 32, 50_000
+# What opening a small file counts for. By default a task takes some 30 files.
+OPEN_COST, SMALL = "spark.sql.files.openCostInBytes", "512k"
 
 KEYS = "match_id INT"
 EVENTS_FILE = r"/(-?\d+)(?:\.(\d+))?\.json$"
@@ -54,7 +58,8 @@ class FileFeed:
     """
 
     root: str
-    # Matches read and appended per job, and so the paths the driver holds at a time.
+    # Matches read and appended per job, and so the paths the driver holds at a time. If that
+    # gives very many jobs, each takes more, but no more than ``MOST_PATHS``.
     batch: int = 50_000
     numbered: int | None = None
 
@@ -83,7 +88,7 @@ class FileFeed:
         itself: the driver holds the paths of one batch, whatever the number of matches.
         """
         plan = fresh_dir(spark, "landing")
-        batches = max(1, math.ceil(count / self.batch))
+        batches = max(1, math.ceil(count / self._matches_a_job(count)))
         # Keys are distinct, so the batches are of like size, and each becomes one file.
         spread = F.pmod(F.xxhash64("match_id"), F.lit(batches)).cast("int")
         numbered = keys.withColumn("batch", spread).repartition("batch")
@@ -93,6 +98,9 @@ class FileFeed:
         finally:
             remove(spark, plan)
 
+    def _matches_a_job(self, count: int) -> int:
+        return max(self.batch, min(math.ceil(count / JOBS), MOST_PATHS))
+
     def _batches(self, spark: SparkSession, plan: str, batches: int) -> Iterator[Batch]:
         found = self._numbered_files(spark, plan) if self.numbered else None
         for number in range(batches):
@@ -134,7 +142,8 @@ class FileFeed:
         keys = spark.read.parquet(plan).select("batch", F.col("match_id").cast("string").alias("key"))
         files = found.join(keys, "key").select("path", "batch").repartition("batch")
         path = f"{plan}/files"
-        files.write.partitionBy("batch").parquet(path)
+        with setting(spark, OPEN_COST, SMALL):
+            files.write.partitionBy("batch").parquet(path)
         return path
 
 

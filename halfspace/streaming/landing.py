@@ -10,23 +10,30 @@ some hundred bytes; sources of many million files should be landed by key instea
 from __future__ import annotations
 
 import hashlib
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
-from halfspace.operators import unlanded_keys
 from halfspace.plans.medallion import LANDED_TABLE, RAW_ROW_GROUP, Lake
 from halfspace.sinks import append_rows, remove
 from halfspace.sinks.files import located
 from halfspace.sources import read_table_or_empty
+from halfspace.sources.feeds import LOOKUP_TASKS, OPEN_COST, PATHS_PER_LOOKUP, SMALL
 from halfspace.sources.json_documents import elements
+from halfspace.sources.objects import list_by_tasks
+from halfspace.workspace import setting
 
 
 # Without it, files a week older than the newest one seen would never be landed.
 NO_AGE_LIMIT = "36500d"
 
 
+# Micro-batches beyond which one takes more files than asked for, and how many at most.
+BATCHES, MOST_FILES = 16, 20_000
+
+
 class EmptyFileError(Exception):
     """Raised when files of zero bytes lie in a source; the others have landed."""
 
@@ -44,6 +51,9 @@ def _files(spark: SparkSession, array_files: bool, files_per_batch: int) -> Data
 
 def empty_files(spark: SparkSession, source: str) -> list[str]:
     """Files of zero bytes below a folder, which Spark's file sources pass over."""
+    listed = list_by_tasks(spark, source)
+    if listed is not None:
+        return sorted(row.path for row in listed.where("length = 0").collect())
     files, location = located(spark, source)
     found, left = [], files.listFiles(location, True)
     while left.hasNext():
@@ -60,6 +70,13 @@ def _refuse_empty_files(spark: SparkSession, source: str) -> None:
         raise EmptyFileError(f"{len(empty)} files of zero bytes: {empty[:5]}")
 
 
+def _files_a_batch(spark: SparkSession, source: str, wanted: int) -> int:
+    """Files for a micro-batch, so that very many files do not take as many micro-batches."""
+    listed = list_by_tasks(spark, source)
+    there = listed.count() if listed is not None else 0
+    return max(wanted, min(math.ceil(there / BATCHES), MOST_FILES))
+
+
 def land_new_files(
     spark: SparkSession,
     source: str,
@@ -116,20 +133,24 @@ def land_event_files(
         # What an attempt that broke off has left is in no manifest.
         remove(files.sparkSession, folder)
         named = files.withColumn("match_id", _match_id())
-        new = unlanded_keys(named, manifest, "match_id")
-        rows = elements(named.join(new, "match_id").select("match_id", F.col("value").alias("payload")), "match_id")
+        # Without a pass for the keys alone, which would read the files twice.
+        new = named.join(manifest.select("match_id").distinct(), "match_id", "left_anti")
+        rows = elements(new.select("match_id", F.col("value").alias("payload")), "match_id")
         append_rows(rows, folder, row_group=RAW_ROW_GROUP)
         landed = read_table_or_empty(files.sparkSession, folder, "match_id INT").distinct()
         append_rows(landed.select("match_id", F.lit(batch).alias("batch")), lake.path("raw/landed"))
 
-    files = _files(spark, True, files_per_batch).load(source).select("value", F.col("_metadata.file_path").alias("path"))
-    query = (
-        files.writeStream.foreachBatch(land)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    some = _files_a_batch(spark, source, files_per_batch)
+    files = _files(spark, True, some).load(source).select("value", F.col("_metadata.file_path").alias("path"))
+    # The stream keeps the settings that it begins with.
+    with setting(spark, LOOKUP_TASKS, str(math.ceil(some / PATHS_PER_LOOKUP))), setting(spark, OPEN_COST, SMALL):
+        query = (
+            files.writeStream.foreachBatch(land)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     _refuse_empty_files(spark, source)
 
 

@@ -295,3 +295,12 @@ def test_partitions_of_any_name_and_emptied_tables(spark, tmp_path):
     left = read_table(spark, path)
     assert left.count() == 0 and left.schema == rows.schema
     assert exists(spark, path)
+
+
+def test_raw_text_is_staged_in_splits_of_bounded_size(spark, nightly, lake, monkeypatch):
+    sizes, plain = [], medallion.published.write_part
+    monkeypatch.setattr(
+        medallion.published, "write_part", lambda df, *a: (sizes.append(spark.conf.get("spark.sql.files.maxPartitionBytes")), plain(df, *a))[1]
+    )
+    nightly(1, 2)
+    assert sizes == [medallion.published.RAW_SPLIT]

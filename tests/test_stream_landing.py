@@ -96,3 +96,16 @@ def test_what_was_landed_by_key_is_not_streamed(spark, site, lake, drop):
     land_events(spark, lake, feed)
     drop(1, 2)
     assert landed(spark, lake) == [(1, 1), (2, 2)]
+
+
+def test_very_many_files_do_not_make_as_many_batches(spark, site, lake, drop, monkeypatch):
+    monkeypatch.setattr(landing, "BATCHES", 2)
+    drop(*range(1, 9), files_per_batch=1)
+    manifest = read_table(spark, lake.path("raw/landed"))
+    assert manifest.count() == 8 and manifest.select("batch").distinct().count() == 2
+
+
+def test_empty_files_are_not_looked_up_one_by_one_in_the_driver(spark, site, lake, drop, monkeypatch):
+    monkeypatch.setattr(landing, "located", None)
+    drop(1, 2)
+    assert landed(spark, lake) == [(1, 2), (2, 2)]

@@ -15,7 +15,7 @@ from halfspace.functions import at_path, parse_json, safe_number
 from halfspace.operators import flatten
 from halfspace.plans import checked_events, trusted_events, trusted_matches
 from halfspace.sinks import replace_table, write_named_arrays, write_objects
-from halfspace.sources import list_objects, read_bytes, read_table, read_texts, scan_documents
+from halfspace.sources import list_objects, read_bytes, read_table, read_texts, read_texts_below, scan_documents
 from halfspace.streaming import land_new_files
 from halfspace.workspace import fresh_dir, setting
 
@@ -315,7 +315,7 @@ def object_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("c"), key % 10, F.lit("/"), key, F.lit(".txt")).alias("name")
     text = F.concat("c_name", F.lit("\n"), "c_mktsegment").alias("content")
     write_objects(table(spark, sf_dir, "customer").select(name, text), root)
-    found = read_texts(spark, f"{root}/*")
+    found = read_texts_below(spark, root)
     return found.select(F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("name"), F.col("payload").alias("text"))
 
 

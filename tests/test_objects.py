@@ -13,7 +13,7 @@ from conftest import event, match
 from halfspace.plans import Lake
 from halfspace.plans.medallion import IncompleteBatchError, land_events, land_matches, landed_events, side_by_side
 from halfspace.sinks import objects, write_named_arrays, write_objects
-from halfspace.sources import FileFeed, scan_documents, split_arrays
+from halfspace.sources import FileFeed, read_texts_below, scan_documents, split_arrays
 from halfspace.sources.split_arrays import split_elements
 from halfspace.workspace import setting
 
@@ -193,3 +193,31 @@ def test_a_file_is_read_by_many_tasks(spark, tmp_path):
         assert df.select("_metadata.file_block_start").distinct().count() > 5
         found = scan_documents(spark, str(tmp_path / "x.json"), "i INT, text STRING", splittable=True)
         assert sorted(map(tuple, found.collect())) == [(r["i"], r["text"]) for r in rows]
+
+
+# --- Very many objects ------------------------------------------------------------------
+
+
+def test_objects_of_one_split_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    plain, tasks = objects._save, []
+    monkeypatch.setattr(objects, "_save", lambda df, *a, **o: (tasks.append(df.rdd.getNumPartitions()), plain(df, *a, **o)))
+    rows = spark.range(100).coalesce(1).select(F.concat(F.lit("f/"), "id").alias("name"), F.col("id").cast("string").alias("content"))
+    write_objects(rows, str(tmp_path))
+    assert tasks == [8] and len(texts(tmp_path / "f")) == 100
+
+
+def test_texts_below_a_folder_are_listed_and_read_by_tasks(spark, tmp_path):
+    rows = [(f"{i % 3}/deep/{i} é%.txt", f"text {i}\n") for i in range(50)]
+    rows += [("top.txt", "top"), ("0/empty", None), ("0/_hidden", "no"), ("_hid/x", "no")]
+    write_objects(spark.createDataFrame(rows, "name STRING, content STRING"), str(tmp_path))
+    found = read_texts_below(spark, str(tmp_path))
+    got = {r.path.removeprefix(f"file:{tmp_path}/"): r.payload for r in found.collect()}
+    assert got == dict(rows[:51])
+    assert "BatchScan" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "FileScan" not in plan
+    assert read_texts_below(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_very_many_matches_do_not_make_as_many_jobs(spark, monkeypatch):
+    feed = FileFeed("x", batch=256)
+    assert [feed._matches_a_job(n) for n in (10, 6_000, 60_000, 360_000, 10_000_000)] == [256, 256, 1875, 11250, 50_000]
+    assert FileFeed("x", batch=70_000)._matches_a_job(10_000_000) == 70_000

@@ -38,6 +38,7 @@ MEMO = 300_000
 MEMO_CHARS = 48
 # Pairs of pieces whose stability is remembered at a time.
 PAIRS = 2_000_000
+NO_PIECE = float("-inf")
 
 
 class Pieces:
@@ -57,8 +58,9 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.special = np.array(special)
         self.id = {self.text[i]: i for i in range(size) if not special[i]}
-        self.score = {i: model.get_score(i) for i in self.id.values()}
+        self.scores = {p: model.get_score(i) for p, i in self.id.items()}
         self.longest = max(map(len, self.id))
+        self.characters = frozenset(p for p in self.id if len(p) == 1)
         inner = [p for p in self.id if p.strip(SPACE) and SPACE in p.lstrip(SPACE)]
         lone = {c for p in self.id for c in p} - self.id.keys()
         if inner or lone or len(self.byte) != 256:
@@ -99,16 +101,15 @@ class Pieces:
 
     def merge(self, text: str) -> list[int]:
         """Byte-pair merges of a short text: the best pair first, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                number = self.id.get(parts[i] + parts[i + 1])
-                if number is not None and (best is None or self.score[number] > best):
-                    best, at = self.score[number], i
-            if best is None:
-                return [self.id[p] for p in parts]
+        parts, scores = list(text), self.scores
+        while len(parts) > 1:
+            found = [scores.get(left + right, NO_PIECE) for left, right in zip(parts, parts[1:])]
+            best = max(found)
+            if best == NO_PIECE:
+                break
+            at = found.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return [self.id[p] for p in parts]
 
     def follows(self, before: int, piece: int) -> bool:
         """Whether a piece is stable after another, or at a start (``before`` is -1)."""
@@ -152,11 +153,11 @@ class Pieces:
         boundaries settled on the way are kept in ``last``.
         """
         below, ending = self.backward, ()
-        for at in range(end - 1, -1, -1):
-            node = below.get(text[at])
-            if node is None:
-                break
-            ending, below = node
+        try:
+            for character in text[end - 1 :: -1]:
+                ending, below = below[character]
+        except KeyError:
+            pass
         stable = self.stable
         for length, piece in ending:
             before = last[end - length]
@@ -267,6 +268,11 @@ class Codec:
         """Ids of words that follow one space."""
         return {}
 
+    @cached_property
+    def older(self) -> dict[str, bytes]:
+        """The words remembered before ``words`` was emptied last."""
+        return {}
+
     @cached_property
     def runs(self) -> dict[str, list[int]]:
         """Ids of runs of known characters."""
@@ -302,10 +308,10 @@ class Codec:
 
     def _stretch(self, stretch: str) -> list[int]:
         """A stretch in runs of known characters; unknown ones are bytes, and merge with none."""
-        known = self.pieces.id
-        unknown = [i for i, character in enumerate(stretch) if character not in known]
-        if not unknown:
+        known = self.pieces.characters
+        if known.issuperset(stretch):
             return self._run(stretch)
+        unknown = [i for i, character in enumerate(stretch) if character not in known]
         ids, start = [], 0
         for i in unknown:
             ids += self._remembered_run(stretch[start:i])
@@ -322,10 +328,12 @@ class Codec:
             return b"".join(packed(self._remembered_stretch(s)) for s in stretches)
         tokens, words = text.split(" "), self.words
         if len(words) >= MEMO:
+            # The words of the last memory that come again are taken over.
+            self.older = dict(words)
             words.clear()
-        new = set(tokens).difference(words)
+        new, older = set(tokens).difference(words), self.older
         for word in new:
-            words[word] = packed(self._stretch(SPACE + word))
+            words[word] = older.get(word) or packed(self._stretch(SPACE + word))
         ids = b"".join(map(words.__getitem__, tokens))
         for word in new:
             if len(word) > MEMO_CHARS:
@@ -336,7 +344,7 @@ class Codec:
         return self._remembered_run(stretch) if self._plain(stretch) else self._stretch(stretch)
 
     def _plain(self, stretch: str) -> bool:
-        return all(map(self.pieces.id.__contains__, stretch))
+        return self.pieces.characters.issuperset(stretch)
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids. Bytes that are not UTF-8 give U+FFFD, control ids nothing."""

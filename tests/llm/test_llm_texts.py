@@ -569,3 +569,15 @@ def test_cosines_agree_with_brute_force(spark):
     assert ours.keys() == expected.keys()
     for text, (name, cosine) in expected.items():
         assert ours[text][0] == name and ours[text][1] == pytest.approx(cosine, abs=2e-9)
+
+
+def test_words_that_come_again_outlive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "MEMO", 3)
+    codec = sentence_pieces.Codec(sentence_pieces.public_model())
+    searched, plain = [], codec._stretch
+    monkeypatch.setattr(codec, "_stretch", lambda text: (searched.append(text), plain(text))[1])
+    texts = ["some common words", "common words again", "more common words"]
+    ids = [codec.encode(text) for text in texts]
+    assert len(searched) == len(set(searched)) == 5
+    fresh = [sentence_pieces.Codec(codec.path).encode(text) for text in texts]
+    assert ids == fresh and len(codec.words) <= 3 + 3
